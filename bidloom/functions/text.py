@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MATCH = "\u0001"  # brackets a match inside a marked text
@@ -32,6 +32,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are evaluated once per row however often later steps refer to them.
+
+    Plain projections are merged by the optimizer, which then copies a costly expression into every place
+    that uses it. Expanding a one-element array keeps the steps apart without a shuffle.
+    """
+    row = F.struct(*(c.alias(name) for name, c in columns.items()))
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(row)))
+
+
 def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WHITESPACE))
 

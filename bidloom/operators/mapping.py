@@ -91,24 +91,48 @@ def mapped_data(data: Column, kind: Column, config: MappingConfig) -> Column:
     """The same on the result struct of all document types; fields outside the mapping become null."""
     fields = []
     for field, field_type in S.FIELD_TYPES.items():
-        case = None
-        for doc_type, emitted in S.EMITTED_FIELDS.items():
-            mapping = config.resolve(doc_type)
-            if not mapping.get("fields"):
-                value = data[field] if field in emitted else None
-            elif field in mapping.get("list_fields", {}):
-                names = T.DataType.fromDDL(S.FIELD_TYPES[field]).elementType.fieldNames()
-                source = data[field] if field in emitted else F.lit(None).cast(field_type)
-                value = _conform(map_items(source, names, mapping["list_fields"][field]), field, names, mapping)
-            else:
-                source = _targets(emitted, mapping).get(field)
-                value = data[source] if source else None
-            if value is not None:
-                case = (F if case is None else case).when(kind == doc_type, value.cast(field_type))
-        fields.append((F.lit(None).cast(field_type) if case is None else case).alias(field))
+        plans = {t: _field_plan(field, t, config) for t in S.EMITTED_FIELDS}
+        emitting = {p for t, p in plans.items() if field in S.EMITTED_FIELDS[t]}
+        if emitting == {("as_is", field)}:
+            value = data[field]
+            listed = [t for t in plans if field in config.resolve(t).get("list_fields", {})]
+            if listed:
+                value = F.coalesce(value, F.when(kind.isin(*listed), F.array().cast(field_type)))
+        else:
+            value = F.lit(None)
+            for doc_type, plan in plans.items():
+                if plan[0] != "absent":
+                    value = F.when(kind == doc_type, _planned(data, field, doc_type, plan, config)).otherwise(value)
+        fields.append(value.cast(field_type).alias(field))
     return F.struct(*fields)
 
 
+def _field_plan(field: str, doc_type: str, config: MappingConfig) -> tuple[str, str]:
+    """How a result field is filled for one document type: as_is, from another field, as mapped list, absent."""
+    mapping, emitted = config.resolve(doc_type), S.EMITTED_FIELDS[doc_type]
+    if not mapping.get("fields"):
+        return ("as_is", field) if field in emitted else ("absent", "")
+    if field in mapping.get("list_fields", {}):
+        names = T.DataType.fromDDL(S.FIELD_TYPES[field]).elementType.fieldNames()
+        chosen = _targets(names, mapping["list_fields"][field])
+        whole = all(chosen.get(n) == n for n in names)
+        return ("as_is", field) if whole and field in emitted else ("list", field)
+    source = _targets(emitted, mapping).get(field)
+    if source is None:
+        return ("absent", "")
+    return ("as_is", field) if source == field else ("from", source)
+
+
+def _planned(data: Column, field: str, doc_type: str, plan: tuple[str, str], config: MappingConfig) -> Column:
+    kind = S.FIELD_TYPES[field]
+    if plan[0] != "list":
+        return data[plan[1]].cast(kind)
+    mapping = config.resolve(doc_type)
+    names = T.DataType.fromDDL(kind).elementType.fieldNames()
+    source = data[field] if field in S.EMITTED_FIELDS[doc_type] else F.lit(None).cast(kind)
+    return _conform(map_items(source, names, mapping["list_fields"][field]), field, names, mapping).cast(kind)
+
+
 def _conform(items: Column, field: str, names: Sequence[str], mapping: Mapping) -> Column:
     """Give mapped items the full item struct again, absent members null."""
     chosen = _targets(names, mapping["list_fields"][field])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.parse import falsy, money_text
 from ..functions.ranks import SMALL_GROUP, group_quantiles
-from ..functions.text import let
+from ..functions.text import computed_once, let
 
 # Tolerances and messages
 AWARD_TOLERANCE = 0.01
@@ -157,11 +157,12 @@ def validate_results(results: DataFrame) -> DataFrame:
         "goals": goals_rule(data["mbe_goal"], data["wbe_goal"], data["combined_goal"]),
         "bidder_outliers": outliers_rule(bidders),
     }
-    rows = F.array(*(
-        F.struct(F.lit(r).alias("rule"), verdicts[r]["valid"].alias("valid"), verdicts[r]["message"].alias("message"))
-        for r in RULES
-    ))
-    judged = results.withColumn("rules", F.when(F.col("status") == "success", rows))
+    def named(rule: str) -> Column:
+        return let(verdicts[rule], lambda v: F.struct(
+            F.lit(rule).alias("rule"), v["valid"].alias("valid"), v["message"].alias("message")))
+
+    rows = F.array(*(named(r) for r in RULES))
+    judged = computed_once(results, rules=F.when(F.col("status") == "success", rows))
     return judged.withColumn("valid", F.coalesce(F.forall("rules", lambda r: r["valid"]), F.lit(True))).withColumn(
         "message", F.when(F.col("rules").isNull(), SKIPPED)
     )

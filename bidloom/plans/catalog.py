@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import catalog_text  # noqa: F401  (registers its queries)
+from . import catalog_rules, catalog_text  # noqa: F401  (they register their queries)
 from .registry import QUERIES, SQL  # noqa: F401

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.text import basename
+from ..functions.text import basename, computed_once
 from ..operators import fields, groups, mapping, status
 from ..operators.classify import document_type
 
@@ -76,14 +76,13 @@ def process_documents(
     config = config or mapping.MappingConfig()
     kind, name = F.col("document_type"), F.col("file_name")
     typed = with_type(docs)
-    first = typed.withColumn("_raw", _extracted(F.col("text"), F.col("tables"), config))
+    first = computed_once(typed, _raw=_extracted(F.col("text"), F.col("tables"), config))
     first = _assessed(first, config, F.col("text_length"), F.col("pages_with_content"))
     if "ocr_text" in docs.columns:
         use_ocr = (F.size("needs_ocr_reasons") > 0) & F.col("ocr_text").isNotNull() & (kind != S.UNKNOWN)
         first = first.withColumn("ocr_applied", use_ocr)
-        again = first.withColumn(
-            "_raw", F.when(use_ocr, _extracted(F.col("ocr_text"), F.col("tables"), config)).otherwise(F.col("_raw"))
-        )
+        reread = _extracted(F.col("ocr_text"), F.col("tables"), config)
+        again = computed_once(first, _raw=F.when(F.col("ocr_applied"), reread).otherwise(F.col("_raw")))
         length = F.when(F.col("ocr_applied"), F.length("ocr_text")).otherwise(F.col("text_length"))
         pages = F.when(F.col("ocr_applied"), F.greatest(F.col("pages_with_content"), F.lit(1))).otherwise(
             F.col("pages_with_content")
@@ -130,19 +129,18 @@ def process_documents(
 
 def _assessed(df: DataFrame, config: mapping.MappingConfig, length: Column, pages: Column) -> DataFrame:
     """From `_raw`: mapped and key-repaired `data` with the reasons for OCR and for being partial."""
-    name, raw_key = F.col("file_name"), F.col("_mapped.contract_number")
-    mapped = df.withColumn(
-        "_mapped", F.when(F.col("_raw").isNotNull(), mapping.mapped_data(F.col("_raw"), F.col("document_type"), config))
+    raw, name = F.col("_raw"), F.col("file_name")
+    found = F.col("_mapped.contract_number")
+    mapped = computed_once(df, _mapped=F.when(raw.isNotNull(), mapping.mapped_data(raw, F.col("document_type"), config)))
+    repaired = F.col("_mapped").withField("contract_number", status.repaired_key(found, name))
+    whole = computed_once(
+        mapped,
+        data=F.when(F.col("_mapped").isNotNull(), repaired),
+        contract_number_source=F.when(F.col("_mapped").isNotNull(), status.key_source(found, name)),
     )
-    repaired = mapped.withColumn(
-        "data",
-        F.when(
-            F.col("_mapped").isNotNull(),
-            F.col("_mapped").withField("contract_number", status.repaired_key(raw_key, name)),
-        ),
-    ).withColumn("contract_number_source", F.when(F.col("_mapped").isNotNull(), status.key_source(raw_key, name)))
-    values = status.data_values(F.col("data"))
     has_data = F.col("data").isNotNull()
-    return repaired.withColumn(
-        "needs_ocr_reasons", status.triage_reasons(values, length, pages, has_data)
-    ).withColumn("partial_reasons", status.partial_reasons(F.col("data.contract_number"), has_data)).drop("_mapped")
+    return computed_once(
+        whole,
+        needs_ocr_reasons=status.triage_reasons(status.data_values(F.col("data")), length, pages, has_data),
+        partial_reasons=status.partial_reasons(F.col("data.contract_number"), has_data),
+    ).drop("_mapped")

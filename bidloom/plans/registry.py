@@ -118,7 +118,7 @@ nb AS (SELECT k, count(*) AS bids FROM bt GROUP BY k),
 ni AS (SELECT k, count(*) AS items FROM it GROUP BY k),
 rs AS (
   -- results of the document plan
-  SELECT dk.*,
+  SELECT dk.*, bids,
     CASE WHEN document_type = 'unknown' THEN 'skipped' WHEN empty OR found_key IS NULL
            OR (t IN (1, 4, 5, 6) AND bids IS NULL) THEN 'partial'
          ELSE 'success' END AS status,
