@@ -94,8 +94,8 @@ def percent_in(line: Column) -> Column:
 
 
 def percent_text(part: Column, whole: Column) -> Column:
-    """`96.0%`; a zero whole gives `0%`."""
-    return F.when(whole > 0, F.format_string("%.1f%%", part * 100.0 / whole)).otherwise("0%")
+    """`96.0%`, ties to even; a zero whole gives `0%`."""
+    return F.when(whole > 0, F.format_string("%.1f%%", F.bround(part / whole * 100, 1))).otherwise("0%")
 
 
 def money_text(amount: Column) -> Column:

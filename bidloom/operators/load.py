@@ -83,6 +83,7 @@ def upsert_contracts(existing: DataFrame, incoming: DataFrame, order: str, run_t
     old, fresh = existing.alias("old"), new.withColumn("_in", F.lit(True)).alias("new")
     merged = old.join(fresh, KEY, "full_outer")
     columns = [F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")).alias(c) for c in values]
+    columns += [F.col(f"old.{c}") for c in existing.columns if c not in (KEY, "created_at", "updated_at", *values)]
     if run_ts is not None:
         touched = F.col("new._in").isNotNull()
         columns += [

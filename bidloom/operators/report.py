@@ -36,7 +36,7 @@ def _type_counts() -> list[Column]:
 
 def summary_by_type(results: DataFrame) -> DataFrame:
     counts = results.groupBy("document_type").agg(*_type_counts())
-    return counts.withColumn("success_rate", F.round(F.col("successful") * 100.0 / F.col("total"), 1))
+    return counts.withColumn("success_rate", F.rint(F.col("successful") / F.col("total") * 100 * 10) / 10)
 
 
 def summary_rollup(results: DataFrame) -> DataFrame:

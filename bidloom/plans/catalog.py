@@ -1,4 +1,4 @@
-"""All registered queries."""
+"""All registered queries. Importing the modules registers them."""
 
-from . import catalog_rules, catalog_text  # noqa: F401  (they register their queries)
+from . import catalog_load, catalog_report, catalog_rules, catalog_text  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
