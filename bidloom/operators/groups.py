@@ -16,6 +16,7 @@ from ..functions.ranks import running_count
 from ..functions.text import (
     blank_to_null, capture_line, captures, let, located_captures, rx, squeeze, strip, text_lines, unmarked,
 )
+from ..session import materialise
 
 # ---- fixed values: line patterns ----------------------------------------------------------------------
 NAME = r"[A-Z][A-Z0-9&.,'\- ]{3,}"
@@ -37,22 +38,21 @@ TABLE_WORDS = ["item", "description", "quantity", "unit", "price", "total"]
 # name and place characters may stand.
 _SHAPE = rf"(?=[A-Z][A-Z0-9&.,'\- ]*,\s*[A-Z]{{2}}\s+{AMOUNT}"
 # After an amount the name takes the rest of the line, place included, so no place is ever split off.
-_AMOUNT_FIRST = (rx(rf"^({AMOUNT})\s+({NAME}+)$"), (2, 0, 1, 0, 0))
-#: Patterns in order of trial with the groups (name, place, amount, rank, percent).
+_AMOUNT_FIRST = (rf"^({AMOUNT})\s+({NAME}+)$", (2, 0, 1, 0, 0))
+#: Patterns in order of trial with the groups (name, place, amount, rank, percent). Lines come squeezed, the
+#: only whitespace in them is the space, so the slower Unicode classes are not needed here.
 LINE_PATTERNS = {
     S.AS_READ: [
-        (rx(rf"^{_SHAPE}(?:\s+\d+)?$)({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+(\d+))?$"), (1, 2, 3, 4, 0)),
+        (rf"^{_SHAPE}(?:\s+\d+)?$)({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+(\d+))?$", (1, 2, 3, 4, 0)),
         _AMOUNT_FIRST,
     ],
     S.SUMMARY: [
         (
-            rx(
-                rf"^(\d+)\s+{_SHAPE}(?:\s+[-+]?\d+(?:\.\d+)?)?%?$)"
-                rf"({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+([-+]?\d+(?:\.\d+)?))?%?$"
-            ),
+            rf"^(\d+)\s+{_SHAPE}(?:\s+[-+]?\d+(?:\.\d+)?)?%?$)"
+            rf"({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+([-+]?\d+(?:\.\d+)?))?%?$",
             (2, 3, 4, 1, 5),
         ),
-        (rx(rf"^{_SHAPE}\s+\d+$)({NAME})\s+({PLACE})\s+({AMOUNT})\s+(\d+)$"), (1, 2, 3, 4, 0)),
+        (rf"^{_SHAPE}\s+\d+$)({NAME})\s+({PLACE})\s+({AMOUNT})\s+(\d+)$", (1, 2, 3, 4, 0)),
         _AMOUNT_FIRST,
     ],
 }
@@ -133,18 +133,20 @@ def line_bidders(kind: str, text: Column) -> Column:
     )
 
 
-def bidder_rows(pages: DataFrame, kind: str, fill_rank: bool = True) -> DataFrame:
+def bidder_rows(pages: DataFrame, kind: str) -> DataFrame:
     """Long form of `line_bidders`: lines never cross pages, so pages(doc_id, page_no, text) are parsed where
-    they lie and only accepted lines leave them."""
-    rows = pages.select("doc_id", "page_no", F.inline(located_bidders(kind, F.col("text")))).select(
+    they lie and only accepted lines leave them, with the rank as printed."""
+    return pages.select("doc_id", "page_no", F.inline(located_bidders(kind, F.col("text")))).select(
         "doc_id", "page_no", "line_no", "b.*"
     )
-    return rank_fill(rows) if fill_rank else rows
 
 
 def rank_fill(rows: DataFrame) -> DataFrame:
-    """Rank = ordinal of the row in its document where the text gives none."""
-    located = rows.withColumn(
+    """Rank = ordinal of the row in its document where the text gives none.
+
+    Counting reads the rows twice, so they are written once instead of being parsed from text again.
+    """
+    located = materialise(rows, "bidder-lines").withColumn(
         "_at", F.shiftleft(F.col("page_no").cast("bigint"), 32) + F.col("line_no").cast("bigint")
     )
     counted = running_count(located, ["doc_id"], "_at", F.lit(True), "_ordinal", block=1 << 38)

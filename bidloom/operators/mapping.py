@@ -92,8 +92,10 @@ def mapped_data(data: Column, kind: Column, config: MappingConfig) -> Column:
     fields = []
     for field, field_type in S.FIELD_TYPES.items():
         plans = {t: _field_plan(field, t, config) for t in S.EMITTED_FIELDS}
-        emitting = {p for t, p in plans.items() if field in S.EMITTED_FIELDS[t]}
-        if emitting == {("as_is", field)}:
+        unchanged = all(
+            p == ("as_is", field) or (p[0] == "absent" and field not in S.EMITTED_FIELDS[t]) for t, p in plans.items()
+        )
+        if unchanged:
             value = data[field]
             listed = [t for t in plans if field in config.resolve(t).get("list_fields", {})]
             if listed:

@@ -72,16 +72,17 @@ def items_table(spark, sf_dir):
     WHEN 'bid_tabs' THEN 'BidTabsExtractor' WHEN 'award_letter' THEN 'AwardLetterExtractor' WHEN 'item_c_report' THEN 'ItemCExtractor'
     WHEN 'bid_summary' THEN 'BidSummaryExtractor' WHEN 'bids_as_read' THEN 'BidsAsReadExtractor' END AS extraction_method,
   CASE WHEN document_type = 'unknown' THEN 'No extractor available for this document type' END AS error_message,
-  CASE WHEN document_type <> 'unknown' THEN CAST(n_bidders + n_items AS INTEGER) END AS records_extracted,
-  CASE WHEN document_type <> 'unknown' THEN empty OR (t IN (1, 4, 5, 6) AND bids IS NULL) END AS needs_ocr,
+  CAST(n_bidders + n_items AS INTEGER) AS records_extracted,
+  document_type <> 'unknown' AND (empty OR (t IN (1, 4, 5, 6) AND bids IS NULL)) AS needs_ocr,
   CASE WHEN document_type <> 'unknown' AND (empty OR (t IN (1, 4, 5, 6) AND bids IS NULL)) THEN
     CASE WHEN found_key IS NULL THEN 'no_text_extracted,empty_data' WHEN t = 1 THEN 'no_text_extracted,low_field_coverage'
       ELSE 'no_text_extracted' END END AS needs_ocr_reasons,
   CASE WHEN document_type <> 'unknown' THEN 'run-1' END AS run_id FROM rs""")
 def extraction_log(spark, sf_dir):
     return L.log_rows(results(spark, sf_dir)).select(
-        "file_path", "document_type", "status", "extraction_method", "error_message", "records_extracted", "needs_ocr",
-        "needs_ocr_reasons", "run_id")
+        "file_path", "document_type", "status", "extraction_method", "error_message",
+        F.coalesce("records_extracted", F.lit(0)).alias("records_extracted"),
+        F.coalesce("needs_ocr", F.lit(False)).alias("needs_ocr"), "needs_ocr_reasons", "run_id")
 
 
 @query("""SELECT total, successful, total - successful AS failed, format('{:.1f}%', successful / total * 100) AS success_rate FROM (
@@ -234,11 +235,11 @@ def route_sources(spark, sf_dir):
 
 # ---- result files ---------------------------------------------------------------------------------------------------
 @query("""SELECT file_path, found_key AS "data.contract_number", CASE WHEN t = 2 AND NOT empty THEN awarded_to END AS "data.awarded_to",
-  CASE WHEN document_type <> 'unknown' THEN empty OR (t IN (1, 4, 5, 6) AND bids IS NULL) END AS "meta.needs_ocr",
+  CASE WHEN document_type <> 'unknown' THEN 'run-1' END AS "meta.run_id",
   CASE WHEN document_type <> 'unknown' THEN document_type || '_default' END AS "meta.mapping.mapping_name" FROM rs""")
 def flatten_results(spark, sf_dir):
     flat = K.flatten(results(spark, sf_dir))
-    names = ["file_path", "data.contract_number", "data.awarded_to", "meta.needs_ocr", "meta.mapping.mapping_name"]
+    names = ["file_path", "data.contract_number", "data.awarded_to", "meta.run_id", "meta.mapping.mapping_name"]
     return flat.select(*(F.col(f"`{n}`") for n in names))
 
 

@@ -39,13 +39,15 @@ def _line_pages(spark: SparkSession, sf_dir: str, line, header: str) -> DataFram
 @query("""SELECT contract_number, bidder_name, bidder_location, CAST(total_bid_amount AS DOUBLE) AS total_bid_amount,
   bid_rank FROM b""")
 def bidders_as_read(spark, sf_dir):
-    return _bidder_columns(G.bidder_rows(_line_pages(spark, sf_dir, star.as_read_line, "BIDS AS READ"), S.AS_READ))
+    pages = _line_pages(spark, sf_dir, star.as_read_line, "BIDS AS READ")
+    return _bidder_columns(pages.select("doc_id", F.inline(G.line_bidders(S.AS_READ, F.col("text")))))
 
 
 @query("""SELECT contract_number, bidder_name, bidder_location, CAST(total_bid_amount AS DOUBLE) AS total_bid_amount,
   bid_rank, nullif(tenths / 10.0, 0.0) AS percentage_diff FROM b""")
 def bidders_summary(spark, sf_dir):
-    rows = G.bidder_rows(_line_pages(spark, sf_dir, star.summary_line, "BID SUMMARY"), S.SUMMARY)
+    pages = _line_pages(spark, sf_dir, star.summary_line, "BID SUMMARY")
+    rows = pages.select("doc_id", F.inline(G.line_bidders(S.SUMMARY, F.col("text"))))
     return _bidder_columns(rows, "percentage_diff")
 
 
@@ -86,7 +88,7 @@ def asof_next_total(spark, sf_dir):
 @query("SELECT contract_number, bidder_name, ordinal AS bid_rank FROM b")
 def rank_fill(spark, sf_dir):
     line = lambda b: F.concat_ws(" ", b["bidder_name"], b["bidder_location"], star.money(b["total_bid_amount"]))
-    rows = G.bidder_rows(_line_pages(spark, sf_dir, line, "BIDS AS READ"), S.AS_READ)
+    rows = G.rank_fill(G.bidder_rows(_line_pages(spark, sf_dir, line, "BIDS AS READ"), S.AS_READ))
     return rows.select(F.col("doc_id").alias("contract_number"), "bidder_name", "bid_rank")
 
 
