@@ -56,7 +56,7 @@ def blocked_quantiles(
 
     `value` is a decimal with `scale` fraction digits. Equal values are counted together first; the
     distinct ones are ranked level by level, so no window holds more than 2**21 rows. Also returns
-    the group's non-null row count as `n`, and `lowest` and `highest`.
+    the group's non-null row count as `n`, and `mean`, `lowest` and `highest`.
     """
     keys = list(keys)
     unscaled = (F.col(value) * F.lit(10**scale)).cast("bigint")
@@ -105,8 +105,15 @@ def blocked_quantiles(
         )
     return (
         ranked.groupBy(*keys)
-        .agg(F.max("_rows").alias("n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), *aggs)
-        .select(*keys, "n", (F.col("_min") / float(10**scale)).alias("lowest"),
+        .agg(
+            F.max("_rows").alias("n"),
+            F.sum(F.col("_v").cast("decimal(20,0)") * F.col("_n").cast("decimal(18,0)")).alias("_total"),
+            F.min("_v").alias("_min"),
+            F.max("_v").alias("_max"),
+            *aggs,
+        )
+        .select(*keys, "n", (F.col("_total").cast("double") / F.col("n") / float(10**scale)).alias("mean"),
+                (F.col("_min") / float(10**scale)).alias("lowest"),
                 (F.col("_max") / float(10**scale)).alias("highest"), *outs)
     )
 
@@ -133,11 +140,12 @@ def group_quantiles(
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.avg(number).alias("mean"),
             F.min(number).alias("lowest"),
             F.max(number).alias("highest"),
             F.percentile(number, F.array(*(F.lit(float(p)) for p in probs.values()))).alias("_q"),
         )
-        .select(*keys, "n", "lowest", "highest", *(F.col("_q")[i].alias(name) for i, name in enumerate(probs)))
+        .select(*keys, "n", "mean", "lowest", "highest", *(F.col("_q")[i].alias(name) for i, name in enumerate(probs)))
     )
     large_part = blocked_quantiles(rows.join(large, keys, "left_semi"), keys, value, probs, scale)
     return small_part.unionByName(large_part)

@@ -53,8 +53,8 @@ def squeeze(col: Column) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    # not nullif: inside CASE or coalesce that evaluates its argument, often a regex, twice
-    return let(col, lambda v: F.when(v != "", v))
+    # not nullif on the column itself: inside CASE or coalesce it evaluates its argument, often a regex, twice
+    return F.call_function("transform", F.array(col), F.expr("v -> nullif(v, '')"))[0]
 
 
 def unmarked(text: Column) -> Column:

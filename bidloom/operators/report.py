@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -89,10 +89,10 @@ def describe_by_type(results: DataFrame, value: str, scale: int) -> DataFrame:
 
     There are few types and many rows of each, so the quartiles come from the blocked form.
     """
-    moments = results.where(F.col(value).isNotNull()).groupBy("document_type").agg(
-        F.avg(value).cast("double").alias("mean"), F.stddev_samp(F.col(value).cast("double")).alias("std")
+    spread = results.where(F.col(value).isNotNull()).groupBy("document_type").agg(
+        F.stddev_samp(F.col(value).cast("double")).alias("std")
     )
-    return blocked_quantiles(results, ["document_type"], value, QUARTILES, scale).join(moments, "document_type").select(
+    return blocked_quantiles(results, ["document_type"], value, QUARTILES, scale).join(spread, "document_type").select(
         "document_type", F.col("n").alias("count"), "mean", "std", F.col("lowest").alias("min"),
         *QUARTILES, F.col("highest").alias("max"),
     )
@@ -105,13 +105,13 @@ def boxplot_by_type(results: DataFrame, value: str, scale: int) -> DataFrame:
     )
     number = F.col(value).cast("double")
     inside = number.between(F.col("p25") - 1.5 * F.col("_iqr"), F.col("p75") + 1.5 * F.col("_iqr"))
-    # at most one box per document type, a fixed domain
-    points = results.where(F.col(value).isNotNull()).join(F.broadcast(boxes), "document_type")
-    return points.groupBy("document_type").agg(
+    # equal values of a type are one row from here on, so the few type keys carry little into the join
+    points = results.where(F.col(value).isNotNull()).groupBy("document_type", value).agg(F.count(F.lit(1)).alias("_n"))
+    return points.join(boxes, "document_type").groupBy("document_type").agg(
         F.first("p25").alias("q1"), F.first("p50").alias("median"), F.first("p75").alias("q3"),
         F.min(F.when(inside, number)).alias("whisker_low"),
         F.max(F.when(inside, number)).alias("whisker_high"),
-        F.count_if(~inside).alias("outliers"),
+        F.sum(F.when(~inside, F.col("_n")).otherwise(0)).alias("outliers"),
     )
 
 
@@ -131,30 +131,23 @@ def contract_coverage(results: DataFrame) -> DataFrame:
 
 
 def award_stats(contracts: DataFrame, value: str = "awarded_amount") -> DataFrame:
-    quantiles = blocked_quantiles(contracts, [], value, {"median": 0.5}, 2)
-    mean = contracts.agg(F.avg(value).cast("double").alias("mean"))
-    # two one-row aggregates side by side
-    return quantiles.crossJoin(mean).select(F.col("n").alias("count"), "mean", "median",
-                                            F.col("lowest").alias("min"), F.col("highest").alias("max"))
+    stats = blocked_quantiles(contracts, [], value, {"median": 0.5}, 2)
+    return stats.select(F.col("n").alias("count"), "mean", "median", F.col("lowest").alias("min"), F.col("highest").alias("max"))
 
 
 def award_histogram(contracts: DataFrame, value: str = "awarded_amount", bins: int = 20) -> DataFrame:
     """Equal-width bins between minimum and maximum, the last one closed; empty bins are listed too."""
-    number = F.col(value).cast("double")
-    filled = contracts.where(F.col(value).isNotNull()).select(number.alias("_x"))
-    edges = filled.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    placed = filled.crossJoin(F.broadcast(edges))  # one row
-    share = F.try_divide(F.col("_x") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
+    filled = contracts.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_x"))
+    low, high = filled.agg(F.min("_x")).scalar(), filled.agg(F.max("_x")).scalar()
+    share = F.try_divide(F.col("_x") - low, high - low)
     at = F.least(F.lit(bins - 1), F.floor(F.coalesce(share, F.lit(0.0)) * bins))
-    counts = placed.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
-    frame = edges.where("_lo is not null").select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin"), "_lo", "_hi"
+    counts = filled.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))
+    width = (high - low) / bins
+    frame = contracts.sparkSession.range(bins).select(
+        F.col("id").alias("bin"), (low + width * F.col("id")).alias("bin_start"), (low + width * (F.col("id") + 1)).alias("bin_end")
     )
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    return frame.join(counts, "bin", "left").select(
-        "bin", (F.col("_lo") + width * F.col("bin")).alias("bin_start"),
-        (F.col("_lo") + width * (F.col("bin") + 1)).alias("bin_end"),
-        F.coalesce("_n", F.lit(0)).alias("frequency"),
+    return frame.where("bin_start is not null").join(counts, "bin", "left").select(
+        "bin", "bin_start", "bin_end", F.coalesce("_n", F.lit(0)).alias("frequency")
     )
 
 
@@ -172,8 +165,6 @@ def bid_ranking(bidders: DataFrame, contracts: DataFrame) -> DataFrame:
     The rank counts strictly lower bids: equal bids share it. It is computed from the distinct amounts
     of a contract and joined back, so repeated bids weigh nothing in the window.
     """
-    from pyspark.sql import Window
-
     key = "contract_number"
     levels = bidders.where("total_bid_amount is not null").groupBy(key, "total_bid_amount").agg(
         F.count(F.lit(1)).alias("_n")
