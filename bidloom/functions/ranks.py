@@ -118,34 +118,6 @@ def blocked_quantiles(
     )
 
 
-def group_quantiles(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    probs: dict[str, float],
-    scale: int = 2,
-    small_group: int = SMALL_GROUP,
-) -> DataFrame:
-    """Exact quantiles for many groups, most of them small.
-
-    Groups up to `small_group` rows use the built-in `percentile`; larger ones, should there be any,
-    go through `blocked_quantiles`. Both give the same numbers.
-    """
-    keys = list(keys)
-    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    large = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small_group).select(*keys)
-    number = F.col(value).cast("double")
-    small_part = (
-        rows.join(large, keys, "left_anti")
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(number).alias("mean"),
-            F.min(number).alias("lowest"),
-            F.max(number).alias("highest"),
-            F.percentile(number, F.array(*(F.lit(float(p)) for p in probs.values()))).alias("_q"),
-        )
-        .select(*keys, "n", "mean", "lowest", "highest", *(F.col("_q")[i].alias(name) for i, name in enumerate(probs)))
-    )
-    large_part = blocked_quantiles(rows.join(large, keys, "left_semi"), keys, value, probs, scale)
-    return small_part.unionByName(large_part)
+def large_groups(rows: DataFrame, keys: Sequence[str], small_group: int = SMALL_GROUP) -> DataFrame:
+    """Keys with more than `small_group` rows; counted with map-side combine, normally none."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small_group).select(*keys)

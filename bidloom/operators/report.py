@@ -138,7 +138,8 @@ def award_stats(contracts: DataFrame, value: str = "awarded_amount") -> DataFram
 def award_histogram(contracts: DataFrame, value: str = "awarded_amount", bins: int = 20) -> DataFrame:
     """Equal-width bins between minimum and maximum, the last one closed; empty bins are listed too."""
     filled = contracts.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("_x"))
-    low, high = filled.agg(F.min("_x")).scalar(), filled.agg(F.max("_x")).scalar()
+    edges = filled.agg(F.struct(F.min("_x").alias("low"), F.max("_x").alias("high"))).scalar()
+    low, high = edges["low"], edges["high"]
     share = F.try_divide(F.col("_x") - low, high - low)
     at = F.least(F.lit(bins - 1), F.floor(F.coalesce(share, F.lit(0.0)) * bins))
     counts = filled.groupBy(at.alias("bin")).agg(F.count(F.lit(1)).alias("_n"))

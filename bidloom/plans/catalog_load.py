@@ -220,13 +220,13 @@ def scan_files(spark, sf_dir):
 
 @query("""SELECT 'raw/' || e.user_id % 3 || '/' || r.event_id || '.pdf' AS src_key,
   CASE WHEN status IN ('success', 'partial') THEN 'processed/' ELSE 'error/' END || r.event_id || '.pdf' AS new_key
-  FROM r JOIN events e USING (event_id) WHERE r.event_id % 10 <> 9""")
+  FROM r JOIN events e USING (event_id) WHERE e.event_type <> 'signup'""")
 def route_sources(spark, sf_dir):
-    """Local results to source keys; of two keys with one base name the last listed counts, some are unknown."""
+    """Local results to source keys; of two keys with one base name the last listed counts; sign-ups have none."""
     e = star.table(spark, sf_dir, "events")
     id_text = F.col("event_id").cast("string")
     key = lambda folder: F.concat(F.lit("raw/"), folder, F.lit("/"), id_text, F.lit(".pdf"))
-    known = e.where("event_id % 10 <> 9")
+    known = e.where("event_type <> 'signup'")
     first = known.select(key(F.lit("0")).alias("key"), F.lit(0).alias("seq"))
     last = known.select(key((F.col("user_id") % 3).cast("string")).alias("key"), F.lit(1).alias("seq"))
     keys = FS.key_map(first.unionByName(last), "run/", "seq")

@@ -6,7 +6,7 @@ from decimal import Decimal
 import numpy as np
 from pyspark.sql import functions as F
 
-from bidloom.functions.ranks import blocked_quantiles, group_quantiles, running_count
+from bidloom.functions.ranks import blocked_quantiles, running_count
 from bidloom.operators import report as R
 from bidloom.operators import validate as V
 
@@ -23,13 +23,13 @@ def test_quantiles_equal_numpy(spark):
     groups = {}
     for k, v in rows:
         groups.setdefault(k, []).append(float(v))
-    for got in (blocked_quantiles(df, ["k"], "v", probs), group_quantiles(df, ["k"], "v", probs, small_group=50)):
-        have = {r.k: r for r in got.collect()}
-        assert set(have) == set(groups)
-        for k, values in groups.items():
-            assert have[k].n == len(values) and have[k].lowest == min(values) and have[k].highest == max(values)
-            for name, p in probs.items():
-                assert np.isclose(have[k][name], np.quantile(values, p), rtol=1e-12, atol=1e-9), (k, name)
+    have = {r.k: r for r in blocked_quantiles(df, ["k"], "v", probs).collect()}
+    assert set(have) == set(groups)
+    for k, values in groups.items():
+        assert have[k].n == len(values) and have[k].lowest == min(values) and have[k].highest == max(values)
+        assert np.isclose(have[k].mean, np.mean(values))
+        for name, p in probs.items():
+            assert np.isclose(have[k][name], np.quantile(values, p), rtol=1e-12, atol=1e-9), (k, name)
 
 
 def test_whole_table_quantile(spark):
