@@ -69,9 +69,13 @@ TOKENS = ["AB", "A", "INC", "CO", "&", ",", " ", " ", "  ", "\n", "\t", "12", "1
           "CONTRACT TOTAL", "7,", ",8", "9.9.9", "%"]
 
 
-def random_texts(seed, n, parts):
+TAB_TOKENS = ["AB ", "CD EF ", "INC ", " X, NC", " WILSON, NC", " WILSON,", ",", "\n", "1 ", "TOTAL 5", "CONTRACT TOTAL 1,2.5", "TOTAL , ", "&", " ", "NC", "TO",
+              "Q", "x"]
+
+
+def random_texts(seed, n, parts, tokens=TOKENS):
     rnd = random.Random(seed)
-    return ["".join(rnd.choice(TOKENS) + rnd.choice(["", " ", " "]) for _ in range(rnd.randint(1, parts))) for _ in range(n)]
+    return ["".join(rnd.choice(tokens) + rnd.choice(["", " ", " "]) for _ in range(rnd.randint(1, parts))) for _ in range(n)]
 
 
 def test_item_c_equals_the_plain_pattern(spark):
@@ -92,7 +96,7 @@ def test_item_c_equals_the_plain_pattern(spark):
 
 
 def test_bid_tabs_equal_the_plain_patterns(spark):
-    texts = random_texts(11, 4000, 24)
+    texts = random_texts(11, 6000, 18, TAB_TOKENS)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
     got = {r.i: [(b.bidder_name, b.bidder_location, None if b.total_bid_amount is None else float(b.total_bid_amount)) for b in r.b]
            for r in df.select("i", G.bid_tab_bidders(F.col("t")).alias("b")).collect()}
@@ -173,3 +177,65 @@ def test_next_value_over_blocks_equals_brute_force(spark):
     for k, p, i in left:
         later = sorted((q, v) for kk, q, v in right if kk == k and q > p and v is not None)
         assert have[i] == (later[0][1] if later else None)
+
+
+# The plain line patterns, in order of trial, with the groups (name, place, amount, rank, percent).
+NAME, PLACE, AMOUNT = r"[A-Z][A-Z0-9&.,'\- ]{3,}", r"[A-Z][A-Z .\-]+,\s*[A-Z]{2}", r"[\d,]+\.\d{2}"
+PLAIN_LINES = {
+    S.AS_READ: [(rf"^({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+(\d+))?$", (1, 2, 3, 4, 0)), (rf"^({AMOUNT})\s+({NAME})(?:\s+({PLACE}))?$", (2, 3, 1, 0, 0))],
+    S.SUMMARY: [(rf"^(\d+)\s+({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+([-+]?\d+(?:\.\d+)?))?%?$", (2, 3, 4, 1, 5)),
+                (rf"^({NAME})\s+({PLACE})\s+({AMOUNT})\s+(\d+)$", (1, 2, 3, 4, 0)), (rf"^({AMOUNT})\s+({NAME})(?:\s+({PLACE}))?$", (2, 3, 1, 0, 0))],
+}
+LINE_TOKENS = ["ACME", "A&B", "CO.", "O'NEIL", " ", " ", "  ", "\t", "WILSON, NC", "NEW BERN, NC", ",", "1,234.50", "5.00", ".50", "7", "-3.5", "0.0%", "%", "x", "(",
+               "TOTAL", "SUMMARY", "\n", "\r\n", "3 ", "A, NC", "ST. X-Y, VA"]
+
+
+def test_bidder_lines_equal_the_plain_patterns(spark):
+    texts = random_texts(21, 20000, 9, LINE_TOKENS)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
+    for kind in (S.AS_READ, S.SUMMARY):
+        got = {r.i: [tuple(b) for b in r.b] for r in df.select("i", G.line_bidders(kind, F.col("t")).alias("b")).collect()}
+        hits = 0
+        for i, text in enumerate(texts):
+            want = []
+            for line in (re.sub(r"\s+", " ", x).strip() for x in text.splitlines()):
+                if not line or any(w in line for w in G.HEADER_WORDS[kind]):
+                    continue
+                for pattern, groups in PLAIN_LINES[kind]:
+                    m = re.match(pattern, line)
+                    if m:
+                        name, place, amount, rank, percent = (m[g] if g else None for g in groups)
+                        share = float(percent) if percent and float(percent) else None
+                        want.append([name.strip(), place, round(number(amount), 2), int(rank) if rank else None, share])
+                        break
+            for n, row in enumerate(want, 1):
+                row[3] = row[3] if row[3] is not None else n
+            hits += bool(want)
+            assert [[b[0], b[1], float(b[2]), b[3], b[4]] for b in got[i]] == want, text
+        assert hits > 100, kind
+
+
+def test_item_lines_equal_a_row_wise_reading(spark):
+    tokens = ["0001 ", "0002 P1 ", "P2 5 ", "1,200.5 ", "Lump ", "SUM ", "lump sum ", "EA ", "ton ", "LS ", "Work ", "12.345 ", "9.00 ", "1,000.00 ", "\n", "x", " ", "5,.00 "]
+    rnd = random.Random(9)
+    texts = ["0001 P1 2 " + "".join(rnd.choice(tokens) for _ in range(rnd.randint(1, 12))) for _ in range(3000)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
+    got = {r.i: [(b.item_number, b.item_code, b.description, b.unit, None if b.unit_price is None else float(b.unit_price),
+                  None if b.total_price is None else float(b.total_price)) for b in r.b] for r in df.select("i", G.text_items(F.col("t")).alias("b")).collect()}
+    for i, text in enumerate(texts):
+        want = []
+        for line in filter(None, map(str.strip, text.splitlines())):
+            m = re.match(r"^(\d{4})\s+(\S+)\s+([\d,]+(?:\.\d+)?)\s+(.+)$", line)
+            if m:
+                prices = [p for p in map(number, PRICE.findall(m[4])) if p is not None]
+                words = [w for w in m[4].split() if not re.fullmatch(r"[\d,]+\.\d{2}", w)]
+                spans = [(at, n) for at in range(len(words)) for n in (2, 1) if " ".join(words[at:at + n]).upper() in G.UNITS]
+                unit = None
+                if spans:
+                    at = max(spans)[0]
+                    width = next(n for a, n in spans if a == at)
+                    unit = " ".join(words[at:at + width]).title()
+                    words = words[:at] + words[at + width:]
+                want.append((m[1], m[2], " ".join(words) or None, unit, prices[0] if prices else None,
+                             prices[1] if len(prices) > 1 else prices[0] if prices else None))
+        assert got[i] == want, text
