@@ -13,6 +13,7 @@ import time
 from pyspark.sql import SparkSession
 
 from bidloom.plans.catalog import QUERIES
+from bidloom.session import apply_settings
 
 HEADLINE = [
     "bid_audit", "extract_all", "validate_all", "contracts_table", "bidders_table",
@@ -29,10 +30,8 @@ def session(cpus: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bidloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.adaptive.enabled", "true")
         # as many shuffle partitions as cores: merging them would leave cores idle in the regex stages
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -41,7 +40,7 @@ def session(cpus: str) -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return spark
+    return apply_settings(spark)
 
 
 def main() -> None:

@@ -58,10 +58,6 @@ def parse_datetime(date_text: Column, time_text: Column) -> Column:
     return let(F.struct(parse_date(date_text).alias("day"), F.split(clock, " ").alias("clock")), stamp)
 
 
-def parse_iso_date(value: Column) -> Column:
-    return F.when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), F.substring(value, 1, 10).try_cast("date"))
-
-
 def parse_iso_timestamp(value: Column) -> Column:
     """ISO date or date-time without zone; other shapes are null."""
     shape = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"

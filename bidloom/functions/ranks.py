@@ -49,21 +49,22 @@ def _interpolated(low: Column, high: Column, weight: Column, scale: int) -> Colu
     return (low / unit) * (1 - weight) + (high / unit) * weight
 
 
-def blocked_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], scale: int = 2
-) -> DataFrame:
-    """Exact linear-interpolation quantiles for groups of any size.
+def unscaled(value: str, scale: int) -> Column:
+    return (F.col(value) * F.lit(10**scale)).cast("bigint")
+
 
-    `value` is a decimal with `scale` fraction digits. Equal values are counted together first; the
-    distinct ones are ranked level by level, so no window holds more than 2**21 rows. Also returns
-    the group's non-null row count as `n`, and `mean`, `lowest` and `highest`.
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
+    """Distinct values of each group with their ranks: (keys, _v, _n, _first, _rows).
+
+    `_v` is the unscaled integer of a decimal with `scale` fraction digits, `_n` its number of rows, `_first` the
+    number of rows with a smaller value and `_rows` that of the group. Equal values are counted together first; the
+    distinct ones are ranked level by level, so no window holds more than 2**21 rows.
     """
     keys = list(keys)
-    unscaled = (F.col(value) * F.lit(10**scale)).cast("bigint")
     mask = F.lit((1 << LEVEL_BITS) - 1).cast("bigint")
     values = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, unscaled.alias("_v"))
+        .groupBy(*keys, unscaled(value, scale).alias("_v"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_top", F.shiftright("_v", 2 * LEVEL_BITS))
         .withColumn("_mid", F.shiftright("_v", LEVEL_BITS).bitwiseAND(mask))
@@ -81,12 +82,23 @@ def blocked_quantiles(
         *keys, "_top", before("_n_top", keys, "_top").alias("_b_top"), F.sum("_n_top").over(whole).alias("_rows")
     )
     mids = mids.withColumn("_b_mid", before("_n_mid", [*keys, "_top"], "_mid")).join(tops, [*keys, "_top"])
-    ranked = (
+    return (
         values.withColumn("_b_low", before("_n", [*keys, "_top", "_mid"], "_v"))
         .join(mids, [*keys, "_top", "_mid"])
-        .withColumn("_first", F.col("_b_top") + F.col("_b_mid") + F.col("_b_low"))
+        .select(*keys, "_v", "_n", (F.col("_b_top") + F.col("_b_mid") + F.col("_b_low")).alias("_first"), "_rows")
     )
 
+
+def blocked_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], scale: int = 2
+) -> DataFrame:
+    """Exact linear-interpolation quantiles for groups of any size, from `value_ranks`.
+
+    Also returns the group's non-null row count as `n`, and `mean`, `lowest` and `highest`.
+    """
+    keys = list(keys)
+    ranked = value_ranks(df, keys, value, scale)
+
     def at(rank: Column) -> Column:
         holds = (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_n"))
         return F.max(F.when(holds, F.col("_v")))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -195,8 +193,3 @@ def children_with_id(children: DataFrame, contracts: DataFrame) -> DataFrame:
     """Resolve the parent: only children of existing contracts, with the contract's surrogate id."""
     parents = contracts.select(KEY, contract_id(F.col(KEY)).alias("contract_id"))
     return children.join(parents, KEY)
-
-
-def table_columns(table: str) -> Sequence[str]:
-    return list({"contracts": S.CONTRACT_COLUMNS, "bidders": S.BIDDER_COLUMNS, "bid_items": S.ITEM_COLUMNS,
-                 "extraction_logs": S.LOG_COLUMNS}[table])

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.parse import percent_text
-from ..functions.ranks import blocked_quantiles
+from ..functions.ranks import blocked_quantiles, unscaled, value_ranks
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -163,24 +163,24 @@ def items_report(results: DataFrame) -> DataFrame:
 def bid_ranking(bidders: DataFrame, contracts: DataFrame) -> DataFrame:
     """Rank by amount within the contract, with percent over the low bid and over the estimate.
 
-    The rank counts strictly lower bids: equal bids share it. It is computed from the distinct amounts
-    of a contract and joined back, so repeated bids weigh nothing in the window.
+    The rank counts strictly lower bids, equal bids share it. It is found per distinct amount and joined back.
     """
     key = "contract_number"
-    levels = bidders.where("total_bid_amount is not null").groupBy(key, "total_bid_amount").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    lower = Window.partitionBy(key).orderBy("total_bid_amount").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = levels.withColumn("rank", F.coalesce(F.sum("_n").over(lower), F.lit(0)) + 1)
-    low = levels.groupBy(key).agg(F.min("total_bid_amount").alias("low_bid"))
+    priced = bidders.where("total_bid_amount is not null")
+    ranked = value_ranks(priced, [key], "total_bid_amount").select(key, "_v", (F.col("_first") + 1).alias("rank"))
+    low = priced.groupBy(key).agg(F.min("total_bid_amount").alias("low_bid"))
     amount = F.col("total_bid_amount").cast("double")
-    over = lambda base: F.try_divide(amount - base.cast("double"), base.cast("double")) * 100
+
+    def over(base: str) -> Column:
+        return F.try_divide(amount - F.col(base).cast("double"), F.col(base).cast("double")) * 100
+
     return (
-        bidders.join(ranked.drop("_n"), [key, "total_bid_amount"], "left")
+        bidders.withColumn("_v", unscaled("total_bid_amount", 2))
+        .join(ranked, [key, "_v"], "left")
         .join(low, key, "left")
         .join(contracts.select(key, "estimated_cost"), key, "left")
         .select(key, "bidder_name", "total_bid_amount", "rank",
-                over(F.col("low_bid")).alias("over_low"), over(F.col("estimated_cost")).alias("over_estimate"))
+                over("low_bid").alias("over_low"), over("estimated_cost").alias("over_estimate"))
     )
 
 
@@ -189,14 +189,18 @@ def sample_results(results: DataFrame, n: int = 3, fields: int = 5) -> DataFrame
     data = F.col("data")
     shown = []
     for name, kind in S.FIELD_TYPES.items():
-        text = F.concat(F.lit(f"{name}: "), data[name].cast("string"))
-        filled = (F.size(data[name]) > 0) if kind.startswith("array") else (
-            data[name] != "" if kind == "string" else (data[name] != 0 if kind in ("double",) or kind.startswith("decimal") else data[name].isNotNull())
-        )
-        label = F.concat(F.lit(f"{name}: "), F.size(data[name]).cast("string"), F.lit(" rows")) if kind.startswith("array") else text
-        expected = [t for t, names in S.EXPECTED_FIELDS.items() if name in names[:fields]]
-        if expected:
-            shown.append(F.when(F.col("document_type").isin(*expected) & F.coalesce(filled, F.lit(False)), label))
+        value, text = data[name], data[name].cast("string")
+        if kind.startswith("array"):
+            filled, text = F.size(value) > 0, F.concat(F.size(value).cast("string"), F.lit(" rows"))
+        elif kind == "string":
+            filled = value != ""
+        elif kind == "double" or kind.startswith("decimal"):
+            filled = value != 0
+        else:
+            filled = value.isNotNull()
+        kinds = [t for t, names in S.EXPECTED_FIELDS.items() if name in names[:fields]]
+        if kinds:
+            shown.append(F.when(F.col("document_type").isin(*kinds) & filled, F.concat(F.lit(f"{name}: "), text)))
     return (
         results.orderBy("file_path").limit(n)
         .select("file_path", "file_name", "document_type", "status",

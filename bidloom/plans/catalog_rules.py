@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.text import basename
 from ..operators import fields as X
 from ..operators import mapping as M
 from ..operators import quality as Q

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.text import basename
 from ..operators import classify as C
 from ..operators import fields as X
 from ..operators import groups as G

@@ -36,10 +36,6 @@ def page_text(pages: DataFrame, number: int) -> DataFrame:
     return found.select("doc_id", "text", F.when(~F.col("_found"), f"Page {number} does not exist").alias("error"))
 
 
-def first_pages(pages: DataFrame) -> DataFrame:
-    return pages.where("page_no = 0").select("doc_id", F.col("text").alias("first_page"))
-
-
 def first_nonblank(*candidates: Column) -> Column:
     """First candidate with visible text, else the last one (null as empty)."""
     last = F.coalesce(candidates[-1], F.lit(""))
