@@ -351,6 +351,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("conv_id").alias("doc_id"),
         F.col("turn").cast("int").alias("page_no"),
         F.when(blank, F.lit(" \n ")).otherwise(F.col("text")).alias("text"),
+        "role",
     )
 
 

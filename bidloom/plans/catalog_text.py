@@ -191,7 +191,7 @@ def _opened_documents(spark, sf_dir) -> DataFrame:
     """Raw documents, each behind one of the openings."""
     docs = star.table(spark, sf_dir, "documents")
     opening = F.get(F.array(*(F.lit(o) for o in OPENINGS)), (F.col("doc_id") % 7).cast("int"))
-    return docs.select("doc_id", F.concat(opening, F.lit("\n"), F.col("text")).alias("first_page"))
+    return docs.select("doc_id", "source", F.concat(opening, F.lit("\n"), F.col("text")).alias("first_page"))
 
 
 @query(f"SELECT file_path, {BY_NAME.format(n='lower(file_path)')} AS document_type FROM f")
@@ -213,7 +213,7 @@ def classify_content(spark, sf_dir):
 def classify(spark, sf_dir):
     label = F.get(F.array(*(F.lit(v) for v in star.LABELS)), (F.col("doc_id") % 7).cast("int"))
     d = F.col("doc_id").cast("string")
-    docs = _opened_documents(spark, sf_dir).join(star.table(spark, sf_dir, "documents").select("doc_id", "source"), "doc_id")
+    docs = _opened_documents(spark, sf_dir)
     return C.classify(docs.withColumn("file_path", F.concat("source", F.lit("/"), d, F.lit("_"), label, F.lit(".pdf")))).select(
         "file_path", "document_type"
     )
@@ -363,12 +363,10 @@ def page_text(spark, sf_dir):
 @query("""SELECT doc_id, page_no, CASE WHEN NOT blank THEN text WHEN page_no % 2 = 0 THEN role ELSE '' END AS text FROM p""")
 def text_fallback(spark, sf_dir):
     """Own text, else the speaker on even turns, else the last candidate even though it is empty."""
-    turns = star.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
-    pages = star.pages(spark, sf_dir).join(
-        turns, (F.col("doc_id") == F.col("conv_id")) & (F.col("page_no") == F.col("turn")))
+    pages = star.pages(spark, sf_dir)
     second = F.when(F.col("page_no") % 2 == 0, F.col("role")).otherwise(F.lit("\t"))
     return pages.select(
-        "doc_id", F.col("turn").alias("page_no"), P.first_nonblank(F.col("text"), second, F.lit("")).alias("text"))
+        "doc_id", F.col("page_no").cast("bigint").alias("page_no"), P.first_nonblank(F.col("text"), second, F.lit("")).alias("text"))
 
 
 @query("""SELECT doc_id, CAST(coalesce(sum(CASE WHEN NOT blank THEN length(text) END), 0) AS BIGINT) AS text_length,
