@@ -22,7 +22,7 @@ from .blocks import block_numbers, flat, grouped_texts, list_array, local_ids, p
 #: Fixed value: the pattern by which byte-level BPE vocabularies of this kind split a text.
 PRE_TOKEN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-ENCODED = "block long, payload binary, pos int, piece string"
+ENCODED = "block long, payload binary, pieces binary, first int"
 
 #: A blank with white space on both sides (or at the end); only there a cut before a blank can change the split.
 _UNSAFE = re.compile(r"\s (?:\s|\Z)")
@@ -95,19 +95,40 @@ def _encoder(specials: list[str]):
                 "gaps": list_array(ids, np.uint32), "freqs": list_array(freqs, np.uint32)})
             yield pa.RecordBatch.from_pydict({
                 "block": pa.array([block], pa.int64()), "payload": pa.array([payload], pa.binary()),
-                "pos": pa.array([None], pa.int32()), "piece": pa.array([None], pa.string())})
+                "pieces": pa.array([None], pa.binary()), "first": pa.array([None], pa.int32())})
             if last:
                 pieces = list(splitter.ids)
                 for start in range(0, len(pieces), 50_000):
-                    some = pieces[start:start + 50_000]
+                    some = pack({"piece": pa.array(pieces[start:start + 50_000], pa.string())})
                     yield pa.RecordBatch.from_pydict({
-                        "block": pa.array(np.full(len(some), block)), "payload": pa.nulls(len(some), pa.binary()),
-                        "pos": pa.array(np.arange(start, start + len(some), dtype=np.int32)), "piece": pa.array(some, pa.string())})
+                        "block": pa.array([block], pa.int64()), "payload": pa.array([None], pa.binary()),
+                        "pieces": pa.array([some], pa.binary()), "first": pa.array([start], pa.int32())})
                 splitter.clear()
                 block = next(numbers)
     return encode
 
 
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each piece of a block's dictionary."""
+    for batch in batches:
+        for block, pieces, first in zip(*(batch.column(c).to_pylist() for c in ("block", "pieces", "first"))):
+            part = unpack(pieces)
+            yield pa.RecordBatch.from_pydict({
+                "block": pa.array(np.full(part.num_rows, block)), "pos": pa.array(np.arange(first, first + part.num_rows, dtype=np.int32)),
+                "piece": part.column("piece")})
+
+
+def _by_block(block: np.ndarray, pos: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Counts of a batch as lists, one row a block."""
+    order = np.lexsort((pos, block))
+    block, pos, n = block[order], pos[order], n[order]
+    first = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1]))) if len(block) else np.empty(0, np.int64)
+    cuts = first[1:]
+    return pa.RecordBatch.from_pydict({
+        "block": pa.array(block[first]), "pos": list_array(np.split(pos, cuts) if len(block) else [], np.int32).cast(pa.list_(pa.int32())),
+        "n": list_array(np.split(n, cuts) if len(block) else [], np.int32).cast(pa.list_(pa.int32()))})
+
+
 def _counter(vocabulary: str):
     """Rows arrive sorted by piece, so equal ones are neighbours and each distinct piece is tokenised once."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,16 +146,15 @@ def _counter(vocabulary: str):
             sizes = np.array([done[x] for x in distinct], np.int64)
             last = distinct[-1] if distinct else last
             last_n = done[last] if distinct else last_n
-            yield pa.RecordBatch.from_pydict({
-                "block": batch.column("block"), "pos": batch.column("pos"),
-                "n": pa.array(sizes[runs.indices.to_numpy()] if distinct else np.empty(0, np.int64))})
+            n = sizes[runs.indices.to_numpy()] if distinct else np.empty(0, np.int64)
+            yield _by_block(batch.column("block").to_numpy(), batch.column("pos").to_numpy(), n)
     return count
 
 
 def _finish(documents: pa.Table, pieces: pa.Table) -> pa.Table:
-    pos = pieces.column("pos").to_numpy()
+    pos = pieces.column("pos").combine_chunks().flatten().to_numpy()
     sizes = np.zeros(len(pos), np.int64)
-    sizes[pos] = pieces.column("n").to_numpy()
+    sizes[pos] = pieces.column("n").combine_chunks().flatten().to_numpy()
     out = []
     for payload in documents.column("payload").to_pylist():
         batch = unpack(payload)
@@ -171,10 +191,10 @@ def token_counts(documents: DataFrame, vocabulary: str, limit: int = 512) -> Dat
         F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.coalesce(F.octet_length("text").cast("long"), F.lit(0)).alias("n_bytes"))
     encoded = materialise(rows.mapInArrow(_encoder(special_strings(vocabulary)), ENCODED), "token-blocks")
-    pieces = encoded.filter("pos IS NOT NULL").select("block", "pos", "piece")
+    pieces = encoded.filter("pieces IS NOT NULL").select("block", "pieces", "first").mapInArrow(_entries, "block long, pos int, piece string")
     counted = (
         pieces.repartition("piece").sortWithinPartitions("piece")
-        .mapInArrow(_counter(vocabulary), "block long, pos int, n long"))
+        .mapInArrow(_counter(vocabulary), "block long, pos array<int>, n array<int>"))
     payloads = encoded.filter("payload IS NOT NULL").select("block", "payload")
     return (
         payloads.groupBy("block").cogroup(counted.groupBy("block"))
