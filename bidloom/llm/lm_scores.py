@@ -16,13 +16,15 @@ from .blocks import block_numbers, flat, fold, grouped_texts, list_array, local_
 END_WORD = b"\n"
 #: Training documents are dealt over the rounds by this remainder.
 FOLDS = 7
+#: Bytes of text in a block; whole sequences of words are held, so blocks are smaller than for counts.
+BLOCK_BYTES = 16 << 20
 
 
 def _encoder(held_fold: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, ids = block_numbers(), local_ids()
         block, counts = next(numbers), np.zeros(0, np.int64)
-        for part, last in grouped_texts(batches, "text"):
+        for part, last in grouped_texts(batches, "text", BLOCK_BYTES):
             folds = part.column("fold").to_numpy()
             find, rows = ids.__getitem__, []
             for text in part.column("text").to_pylist():
