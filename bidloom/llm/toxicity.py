@@ -45,18 +45,21 @@ class Examples:
     """
 
     def __init__(self, sample: list[tuple[str, int]]):
-        counts = [Counter(t for w, n in Counter(words_of(text)).items() for t in terms_of_word(w) * n) for text, _ in sample]
         y = np.array([label for _, label in sample], np.int8)
         self.base = (y.sum() + 0.5) / (len(y) + 1)
-        df, df1 = Counter(), Counter()
-        for c, label in zip(counts, y):
-            df.update(c.keys())
+        df1: Counter = Counter()
+        for text, label in sample:
             if label:
-                df1.update(c.keys())
+                df1.update({t for w in set(words_of(text)) for t in terms_of_word(w)})
+        df1 = Counter({t: n for t, n in df1.items() if n >= 4})
+        df = Counter(df1)
+        for text, label in sample:
+            if not label:
+                df.update({t for w in set(words_of(text)) for t in terms_of_word(w) if t in df1})
         self.terms = self._choose(df, df1, int(y.sum()), len(y))
         idf = np.array([math.log((1 + len(y)) / (1 + df[t])) + 1 for t in self.terms])
         self.idf = idf
-        vectors = [self.vector({self.terms[t]: n for t, n in c.items() if t in self.terms}) for c in counts]
+        vectors = [self.vector(self.frequencies(text)) for text, _ in sample]
         kept = [i for i, (ids, _) in enumerate(vectors) if len(ids)]
         self.label = y[kept]
         # cosine 0 with all examples: the share of label 1 among sampled documents without any term
@@ -67,7 +70,7 @@ class Examples:
 
     @staticmethod
     def _choose(df: Counter, df1: Counter, n1: int, n: int) -> dict[str, int]:
-        tried = [t for t, k in df1.items() if k >= 4]
+        tried = list(df1)
         if not tried or n1 == n:
             return {}
         least = 2 * math.log(len(tried) / FALSE_TERMS)
@@ -81,6 +84,19 @@ class Examples:
                 scored.append((-g2, t))
         return {t: i for i, (_, t) in enumerate(sorted(scored)[:TERMS])}
 
+    def frequencies(self, text: str, known: dict[str, tuple[int, ...]] | None = None) -> dict[int, int]:
+        """Counts of the terms of a text; `known` keeps the terms of words from text to text."""
+        tf: dict[int, int] = {}
+        for word, n in Counter(words_of(text)).items():
+            ids = None if known is None else known.get(word)
+            if ids is None:
+                ids = tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms)
+                if known is not None:
+                    known[word] = ids
+            for i in ids:
+                tf[i] = tf.get(i, 0) + n
+        return tf
+
     def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         ids = np.array(sorted(tf), np.int64)
         w = np.array([1 + math.log(tf[i]) for i in ids.tolist()]) * self.idf[ids] if len(ids) else np.empty(0)
@@ -160,14 +176,7 @@ def _scorer(examples: Examples, held_fold: int, cut: float):
         for batch in batches:
             scores, evidence = [], []
             for text in batch.column("text").to_pylist():
-                tf: dict[int, int] = {}
-                for word, n in Counter(words_of(text or "")).items():
-                    ids = known.get(word)
-                    if ids is None:
-                        ids = known[word] = tuple(examples.terms[t] for t in terms_of_word(word) if t in examples.terms)
-                    for i in ids:
-                        tf[i] = tf.get(i, 0) + n
-                s, rows, cosines = examples.score(*examples.vector(tf))
+                s, rows, cosines = examples.score(*examples.vector(examples.frequencies(text or "", known)))
                 scores.append(s)
                 evidence.append([
                     {"example": r, "cosine": c, "label": int(examples.label[r])} for r, c in zip(rows[:3].tolist(), cosines[:3].tolist())])
