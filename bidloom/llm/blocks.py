@@ -71,15 +71,20 @@ def block_numbers() -> Iterator[int]:
     yield from range(first, first + (1 << 24))
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def grouped_texts(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, bool]]:
-    """Slices of at most 2,000 rows, and whether the block ends with it."""
+    """Slices of at most 500 rows, and whether the block ends with it."""
     size, waiting = 0, None
-    for batch in batches:
-        for start in range(0, batch.num_rows, 2000):
-            part = batch.slice(start, 2000)
-            if waiting is not None:
-                yield waiting, size >= most
-                size = 0 if size >= most else size
-            waiting, size = part, size + part.column(text).nbytes
+    for part in small(batches):
+        if waiting is not None:
+            yield waiting, size >= most
+            size = 0 if size >= most else size
+        waiting, size = part, size + part.column(text).nbytes
     if waiting is not None:
         yield waiting, True

@@ -9,6 +9,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .blocks import small
+
 # Sentences of widely used licence notices, normalised (lower case, words only).
 SENTENCES = {
     "apache-short": "licensed under the apache license version 2 0",
@@ -184,7 +186,7 @@ def scan(text: str) -> tuple[list[Found], list[Match]]:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         results = [scan(t or "") for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"),

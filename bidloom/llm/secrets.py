@@ -12,6 +12,8 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .blocks import small
+
 # The base patterns. Each has a least length, of group 2 or else of the match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -155,7 +157,7 @@ def redacted(text: str, spans: list[Span], mask: str = "[SECRET]") -> str:
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         texts = [t or "" for t in batch.column("text").to_pylist()]
         spans = [find_spans(t) for t in texts]
         base = [[s for s in row if s.kind != "literal"] for row in spans]
@@ -178,7 +180,7 @@ def secret_spans(documents: DataFrame) -> DataFrame:
 
 
 def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         texts = [t if t is None else redacted(t, find_spans(t)) for t in batch.column("text").to_pylist()]
         columns = dict(zip(batch.schema.names, batch.columns))
         yield pa.RecordBatch.from_pydict(columns | {"text": pa.array(texts, pa.string())})

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialise
+from .blocks import small
 from .bitslice import linker
 from .stars import components
 
@@ -40,7 +41,7 @@ def fingerprint(text: bytes | None, width: int) -> int:
 
 def _fingerprinter(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             fps = np.array([fingerprint(t, width) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "fp": pa.array(fps.view(np.int64))})

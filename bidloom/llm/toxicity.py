@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import fold
+from .blocks import fold, small
 from .samples import labelled_sample
 
 #: Most labelled documents learnt from, by label, and most terms of the vectors.
@@ -173,7 +173,7 @@ class Examples:
 def _scorer(examples: Examples, held_fold: int, cut: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
-        for batch in batches:
+        for batch in small(batches):
             scores, evidence = [], []
             for text in batch.column("text").to_pylist():
                 s, rows, cosines = examples.score(*examples.vector(examples.frequencies(text or "", known)))
