@@ -76,6 +76,7 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+    pa.default_memory_pool().release_unused()  # workers are used again; what one task needed should not stay with them
 
 
 def grouped_texts(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, bool]]:

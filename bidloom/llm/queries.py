@@ -8,7 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from . import decontaminate, licenses, lm_scores, mixing, quality, secrets, simhash, token_counts, topk, toxicity
 
 
+#: Rows that go to a Python worker at a time. Spark's default of 10,000 whole texts takes tens of MB on both sides.
+ARROW_ROWS = "1000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

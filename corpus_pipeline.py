@@ -8,12 +8,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bidloom.llm import decontaminate, mixing, quality, secrets, simhash
-from bidloom.llm.queries import table
+from bidloom.llm.queries import ARROW_ROWS, table
 from bidloom.session import materialise
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
 def _by_row(documents: DataFrame, decisions: DataFrame, how: str) -> DataFrame:
     """Join on the id (null counts as equal) and the hash of the text."""
     return documents.alias("d").join(
@@ -30,6 +34,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest id, once.
 
     Only documents that go, or whose row is repeated, are joined to the texts."""
+    _small_batches(spark)
     groups = simhash.near_duplicates(docs)
     special = materialise(
         groups.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.first("representative").alias("stays"))
@@ -50,6 +55,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents stay; secrets in their texts are replaced by a mark, and `n_chars` follows."""
+    _small_batches(spark)
     clean = secrets.redact(docs.select(*COLUMNS))
     return clean.select("doc_id", "text", "lang", "source", F.coalesce(F.length("text").cast("long"), F.col("n_chars")).alias("n_chars"))
 
