@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 16
 #: Bits per level when an integer value is cut into high, middle and low parts.
 LEVEL_BITS = 21
-#: Groups up to this many rows go through the built-in exact `percentile`.
-SMALL_GROUP = 1 << 20
 
 
 def running_count(
@@ -50,7 +48,11 @@ def _interpolated(low: Column, high: Column, weight: Column, scale: int) -> Colu
 
 
 def unscaled(value: str, scale: int) -> Column:
-    return (F.col(value) * F.lit(10**scale)).cast("bigint")
+    """The value as an integer number of its last digit; a value with more than `scale` fraction digits is an error, not cut."""
+    exact = F.col(value).cast(f"decimal(30,{scale})")
+    fits = F.col(value).isNull() | (exact.cast("double") == F.col(value).cast("double"))
+    error = F.raise_error(F.concat(F.lit(f"{value} has more than {scale} fraction digits: "), F.col(value).cast("string")))
+    return F.when(fits, (exact * F.lit(10**scale)).cast("bigint")).otherwise(error.cast("bigint"))
 
 
 def value_ranks(df: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
@@ -128,8 +130,3 @@ def blocked_quantiles(
                 (F.col("_min") / float(10**scale)).alias("lowest"),
                 (F.col("_max") / float(10**scale)).alias("highest"), *outs)
     )
-
-
-def large_groups(rows: DataFrame, keys: Sequence[str], small_group: int = SMALL_GROUP) -> DataFrame:
-    """Keys with more than `small_group` rows; counted with map-side combine, normally none."""
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > small_group).select(*keys)

@@ -43,8 +43,9 @@ def skip_rows(files: DataFrame, state: DataFrame, run_id: str) -> DataFrame:
 
 
 def merge_state(state: DataFrame, processed: DataFrame) -> DataFrame:
-    """Only successful results replace or add state; nothing is evicted."""
-    done = processed.where("status = 'success'").select(PATH, *PRINT)
+    """Only successful results replace or add state, one row a path (the newest, if a path was processed twice); nothing is evicted."""
+    newest = F.max(F.struct("file_mtime", *(c for c in PRINT if c != "file_mtime"))).alias("_p")
+    done = processed.where("status = 'success'").groupBy(PATH).agg(newest).select(PATH, *(F.col(f"_p.{c}").alias(c) for c in PRINT))
     old, new = state.alias("old"), done.withColumn("_in", F.lit(True)).alias("new")
     return old.join(new, PATH, "full_outer").select(
         PATH, *(F.when(F.col("new._in"), F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in PRINT)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import falsy, money_text
-from ..functions.ranks import SMALL_GROUP, blocked_quantiles, large_groups
+from ..functions.ranks import blocked_quantiles
 from ..functions.text import computed_once, let
 
 # Tolerances and messages
@@ -235,40 +235,26 @@ def bid_items_sum(contracts: DataFrame, bidders: DataFrame, items: DataFrame) ->
     )
 
 
-def bid_fences(bidders: DataFrame, small_group: int = SMALL_GROUP) -> DataFrame:
-    """Per contract: number of bids, quartiles and number of bids outside the fences.
+def bid_fences(bidders: DataFrame) -> DataFrame:
+    """Per contract: number of bids, quartiles and number of bids outside the fences, for contracts of any size.
 
-    A contract of usual size is judged in one pass, its quartiles beside its rows. One that is too large
-    for a task goes through blocked quantiles and its distinct amounts.
+    Equal amounts are counted together first; the fences come from exact quantiles and are compared with the distinct amounts.
     """
     rows = bidders.where("total_bid_amount is not null").select(KEY, "total_bid_amount")
-    large = large_groups(rows, [KEY], small_group)
     amount = F.col("total_bid_amount").cast("double")
     step = FENCE * (F.col("q3") - F.col("q1"))
     outside = (amount < F.col("q1") - step) | (amount > F.col("q3") + step)
-
-    whole = Window.partitionBy(KEY)
-    quartiles = F.percentile(amount, F.array(F.lit(0.25), F.lit(0.75))).over(whole)
-    beside = rows.join(large, KEY, "left_anti").withColumn("_q", quartiles).select(
-        KEY, "total_bid_amount", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3")
-    )
-    small_part = beside.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"), F.first("q1").alias("q1"), F.first("q3").alias("q3"), F.count_if(outside).alias("outliers")
-    )
-
-    big = rows.join(large, KEY, "left_semi")
-    fences = blocked_quantiles(big, [KEY], "total_bid_amount", {"q1": 0.25, "q3": 0.75}, scale=2).select(KEY, "n", "q1", "q3")
-    levels = big.groupBy(KEY, "total_bid_amount").agg(F.count(F.lit(1)).alias("_n"))
-    large_part = levels.join(fences, KEY).groupBy(KEY).agg(
+    fences = blocked_quantiles(rows, [KEY], "total_bid_amount", {"q1": 0.25, "q3": 0.75}, scale=2).select(KEY, "n", "q1", "q3")
+    levels = rows.groupBy(KEY, "total_bid_amount").agg(F.count(F.lit(1)).alias("_n"))
+    return levels.join(fences, KEY).groupBy(KEY).agg(
         F.max("n").alias("n"), F.max("q1").alias("q1"), F.max("q3").alias("q3"),
         F.sum(F.when(outside, F.col("_n")).otherwise(0)).alias("outliers"),
     )
-    return small_part.unionByName(large_part)
 
 
-def bidder_outliers(contracts: DataFrame, bidders: DataFrame, small_group: int = SMALL_GROUP) -> DataFrame:
+def bidder_outliers(contracts: DataFrame, bidders: DataFrame) -> DataFrame:
     """Verdict per contract with its quartiles and the number of bids outside the fences."""
-    joined = contracts.select(KEY).join(bid_fences(bidders, small_group), KEY, "left")
+    joined = contracts.select(KEY).join(bid_fences(bidders), KEY, "left")
     few = F.coalesce("n", F.lit(0)) < MIN_BIDS
     flat = F.col("q1") == F.col("q3")
     count = F.when(few | flat, 0).otherwise(F.col("outliers"))

@@ -211,13 +211,6 @@ def fingerprint(spark, sf_dir):
     return FS.fingerprint(docs).select("file_path", "file_hash", "file_size_bytes", "file_mtime_iso")
 
 
-@query()
-def scan_files(spark, sf_dir):
-    """Files of the data folder with their sizes; the content column is pruned, so no file is opened."""
-    found = FS.scan_files(spark, sf_dir, "*.parquet")
-    return found.select(F.substring_index("path", "/", -1).alias("file_name"), F.col("length").alias("file_size_bytes"))
-
-
 @query("""SELECT 'raw/' || e.user_id % 3 || '/' || r.event_id || '.pdf' AS src_key,
   CASE WHEN status IN ('success', 'partial') THEN 'processed/' ELSE 'error/' END || r.event_id || '.pdf' AS new_key
   FROM r JOIN events e USING (event_id) WHERE e.event_type <> 'signup'""")

@@ -248,8 +248,8 @@ OUTLIERS_SQL = f"""SELECT o.contract_number, round(q1, 4) AS q1, round(q3, 4) AS
     GROUP BY 1) x USING (contract_number)"""
 
 
-def _outliers(spark, sf_dir, **options):
-    verdicts = V.bidder_outliers(star.contracts(spark, sf_dir), _bidders(spark, sf_dir), **options)
+def _outliers(spark, sf_dir):
+    verdicts = V.bidder_outliers(star.contracts(spark, sf_dir), _bidders(spark, sf_dir))
     return verdicts.withColumn("q1", F.round("q1", 4)).withColumn("q3", F.round("q3", 4))
 
 
@@ -260,8 +260,8 @@ def v_bidder_outliers(spark, sf_dir):
 
 @query(OUTLIERS_SQL)
 def v_bidder_outliers_large(spark, sf_dir):
-    """The same with every contract of more than six bids treated as too large for one task."""
-    return _outliers(spark, sf_dir, small_group=6)
+    """The same query under its earlier name: contracts of all sizes take one path."""
+    return _outliers(spark, sf_dir)
 
 
 DATES_CASE = """CASE WHEN date_available >= completion_date THEN 'Date available must be before completion date'

@@ -348,10 +348,10 @@ def raw_text_tokens(spark, sf_dir):
 
 
 # ---- pages -----------------------------------------------------------------------------------------
-@query("""SELECT doc_id, page_no // 4096 AS part_no, string_agg(text, chr(10) ORDER BY page_no) || chr(10) AS text
-  FROM p GROUP BY 1, 2""")
+@query("""SELECT doc_id, string_agg(text, chr(10) ORDER BY page_no) || chr(10) AS text
+  FROM p GROUP BY 1""")
 def assemble_text(spark, sf_dir):
-    return P.assemble_text(star.pages(spark, sf_dir)).select("doc_id", F.col("part_no").cast("bigint").alias("part_no"), "text")
+    return P.assemble_text(star.pages(spark, sf_dir))
 
 
 @query("""SELECT doc_id, max(CASE WHEN page_no = 5 THEN text END) AS text,

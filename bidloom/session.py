@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +27,7 @@ def apply_settings(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, named by `spark.checkpoint.dir`.
 
-    A machine-local temporary folder is used only by a local-mode session that names none (tests).
+    Only a local session may leave it out (tests): it then gets a folder in its warehouse.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -38,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="bidloom-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

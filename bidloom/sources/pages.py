@@ -9,20 +9,14 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WHITESPACE
 
-#: Pages of one document that are joined into one cell. Longer documents become several parts, which
-#: put together in order are the whole text; nothing is cut off and no task holds more than one part.
-PART_PAGES = 4096
-
-
 def _blank(text: Column) -> Column:
     return F.coalesce(F.btrim(text, F.lit(WHITESPACE)), F.lit("")) == ""
 
 
-def assemble_text(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
-    """pages(doc_id, page_no, text) to (doc_id, part_no, text): pages in order, a line break after each."""
-    part = F.expr(f"page_no div {part_pages}")
+def assemble_text(pages: DataFrame) -> DataFrame:
+    """pages(doc_id, page_no, text) to (doc_id, text): pages in order, a line break after each, one row a document."""
     ordered = F.array_sort(F.collect_list(F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))))
-    return pages.groupBy("doc_id", part.alias("part_no")).agg(
+    return pages.groupBy("doc_id").agg(
         F.concat(F.array_join(F.transform(ordered, lambda p: p["text"]), "\n"), F.lit("\n")).alias("text")
     )
 
@@ -52,18 +46,18 @@ def text_stats(pages: DataFrame) -> DataFrame:
     )
 
 
-def documents(pages: DataFrame, part_pages: int = PART_PAGES) -> DataFrame:
+def documents(pages: DataFrame) -> DataFrame:
     """Document table for `process_documents`: text, first page and statistics from one shuffle."""
     shown = ~_blank(F.col("text"))
     page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
-    grouped = pages.groupBy("file_path", F.expr(f"page_no div {part_pages}").alias("part_no")).agg(
+    grouped = pages.groupBy("file_path").agg(
         F.array_sort(F.collect_list(page)).alias("_pages"),
         F.coalesce(F.sum(F.when(shown, F.length("text").cast("bigint"))), F.lit(0)).alias("text_length"),
         F.count_if(shown).alias("pages_with_content"),
         F.count(F.lit(1)).alias("page_count"),
     )
     return grouped.select(
-        "file_path", "part_no",
+        "file_path",
         F.when(F.col("_pages")[0]["page_no"] == 0, F.col("_pages")[0]["text"]).alias("first_page"),
         F.concat(F.array_join(F.transform("_pages", lambda p: p["text"]), "\n"), F.lit("\n")).alias("text"),
         "text_length", "pages_with_content", "page_count",

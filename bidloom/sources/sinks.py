@@ -33,9 +33,9 @@ def write_results(results: DataFrame, prefix: str, run_id: str, output_format: s
     """Flat parquet, or JSON lines for any other format; returns the written path."""
     path = results_path(prefix, run_id, output_format)
     if output_format.lower() == "parquet":
-        flatten(results).write.parquet(path)
+        flatten(results).write.mode("overwrite").parquet(path)
     else:
-        results.write.json(path, ignoreNullFields=False)
+        results.write.mode("overwrite").json(path, ignoreNullFields=False)
     return path
 
 

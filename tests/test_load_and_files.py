@@ -162,8 +162,9 @@ PAGES = "doc_id string, page_no int, text string"
 def test_pages(spark):
     df = spark.createDataFrame([("a", 1, "Some text"), ("a", 0, ""), ("b", 0, " x\n"), ("a", 2, None)], PAGES).repartition(4)
     assert {r.doc_id: r.text for r in P.assemble_text(df).collect()} == {"a": "\nSome text\n\n", "b": " x\n\n"}
-    parts = P.assemble_text(df, part_pages=2).orderBy("part_no").where("doc_id = 'a'").collect()
-    assert [p.text for p in parts] == ["\nSome text\n", "\n"], "parts in order are the whole text"
+    many = spark.range(5000).select(F.lit("c").alias("doc_id"), F.col("id").cast("int").alias("page_no"), F.concat(F.lit("p"), F.col("id")).alias("text"))
+    assert [r.text for r in P.assemble_text(many).collect()] == ["\n".join(f"p{i}" for i in range(5000)) + "\n"]
+    assert P.documents(many.withColumnRenamed("doc_id", "file_path")).count() == 1
     stats = {r.doc_id: tuple(r)[1:] for r in P.text_stats(df).collect()}
     assert stats == {"a": (9, 1, 3), "b": (3, 1, 1)}
     one = {r.doc_id: (r.text, r.error) for r in P.page_text(df, 1).collect()}

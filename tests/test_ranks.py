@@ -4,9 +4,10 @@ import random
 from decimal import Decimal
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from bidloom.functions.ranks import blocked_quantiles, running_count
+from bidloom.functions.ranks import blocked_quantiles, running_count, value_ranks
 from bidloom.operators import report as R
 from bidloom.operators import validate as V
 
@@ -51,16 +52,25 @@ def test_running_count(spark):
     assert {r.p: r.n for r in got.collect()} == want
 
 
-def test_outlier_rule_is_the_same_for_small_and_large_groups(spark):
+def test_outlier_rule_equals_numpy_for_groups_of_all_sizes(spark):
     rnd = random.Random(4)
     rows = [("hot" if i % 2 else f"c{i % 30}", f"b{i}", Decimal(rnd.randint(1, 10**6 if i % 17 == 0 else 10**4)).scaleb(-2)) for i in range(1500)]
     bidders = spark.createDataFrame(rows, "contract_number string, bidder_name string, total_bid_amount decimal(15,2)")
     contracts = bidders.select("contract_number").distinct()
-    small = sorted(map(tuple, V.bidder_outliers(contracts, bidders).collect()))
-    large = sorted(map(tuple, V.bidder_outliers(contracts, bidders, small_group=10).collect()))
-    assert [r[0] for r in small] == [r[0] for r in large] and any(not r[4] for r in small)
-    for a, b in zip(small, large):
-        assert a[3:] == b[3:] and np.allclose(a[1:3], b[1:3])
+    found = V.bidder_outliers(contracts, bidders).collect()
+    assert any(not r.valid for r in found)
+    for r in found:
+        amounts = np.array([float(a) for k, _, a in rows if k == r.contract_number])
+        q1, q3 = np.percentile(amounts, [25, 75])
+        assert np.allclose((r.q1, r.q3), (q1, q3))
+        assert r.outliers == ((amounts < q1 - 1.5 * (q3 - q1)) | (amounts > q3 + 1.5 * (q3 - q1))).sum()
+
+
+def test_values_with_more_digits_are_refused(spark):
+    times = spark.createDataFrame([("t", 0.051), ("t", 0.0745)], "k string, v double")
+    assert [r._v for r in value_ranks(times, ["k"], "v", 4).orderBy("_v").collect()] == [510, 745]
+    with pytest.raises(Exception, match="more than 2 fraction digits"):
+        value_ranks(times, ["k"], "v", 2).collect()
 
 
 def test_histogram_and_box(spark):
