@@ -137,6 +137,7 @@ def _counter(vocabulary: str):
 
         tokenizer = Tokenizer.from_file(vocabulary)
         last, last_n = None, 0
+        waiting: list[tuple[np.ndarray, ...]] = []  # until a row holds the counts of many pieces
         for batch in batches:
             runs = batch.column("piece").dictionary_encode()
             distinct = runs.dictionary.to_pylist()
@@ -147,7 +148,12 @@ def _counter(vocabulary: str):
             last = distinct[-1] if distinct else last
             last_n = done[last] if distinct else last_n
             n = sizes[runs.indices.to_numpy()] if distinct else np.empty(0, np.int64)
-            yield _by_block(batch.column("block").to_numpy(), batch.column("pos").to_numpy(), n)
+            waiting.append((batch.column("block").to_numpy(), batch.column("pos").to_numpy(), n))
+            if sum(len(w[0]) for w in waiting) >= 100_000:
+                yield _by_block(*map(np.concatenate, zip(*waiting)))
+                waiting = []
+        if waiting:
+            yield _by_block(*map(np.concatenate, zip(*waiting)))
     return count
 
 
