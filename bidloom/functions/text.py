@@ -93,29 +93,51 @@ def captures(text: Column, pattern: str, groups: Sequence[int]) -> Column:
     return F.transform(odd, lambda m: F.split(m, FIELD))
 
 
+def running_fold(
+    items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str, chunk: int = 256
+) -> Column:
+    """Fold `items` from the left; `step(state, item)` gives the next state and an element to emit, null for none.
+
+    Appending to an array copies it. Elements are gathered a chunk at a time and the chunks flattened at the end,
+    so that no long array is copied for each of its elements.
+    """
+    none = F.expr(f"cast(array() as array<{kind}>)")
+
+    def chunks(whole: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(chunk))
+        return F.transform(starts, lambda at: F.slice(whole, at + 1, chunk))
+
+    def one(acc: Column, item: Column) -> Column:
+        state, found = step(acc["state"], item)
+        grown = let(found.cast(kind), lambda f: F.when(f.isNull(), acc["out"]).otherwise(F.array_append(acc["out"], f)))
+        return F.struct(state.alias("state"), grown.alias("out"))
+
+    def many(acc: Column, part: Column) -> Column:
+        inside = F.aggregate(part, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return let(
+            inside, lambda r: F.struct(r["state"].alias("state"), F.array_append(acc["out"], r["out"]).alias("out"))
+        )
+
+    lists = F.expr(f"cast(array() as array<array<{kind}>>)")
+    return F.flatten(F.aggregate(let(items, chunks), F.struct(start.alias("state"), lists.alias("out")), many, lambda acc: acc["out"]))
+
+
 def located_captures(text: Column, pattern: str, groups: Sequence[int]) -> Column:
     """All matches in order as struct(start, stop, fields); offsets count characters from 0."""
     marked = F.regexp_replace(
         text, pattern, MATCH + FIELD.join(["$0", *(f"${g}" for g in groups)]) + MATCH
     )
     pieces = F.transform(F.split(marked, MATCH), lambda p: F.split(p, FIELD))
-    empty = F.expr(
-        "named_struct('at', 0, 'out', cast(array() as "
-        "array<struct<start:int,stop:int,fields:array<string>>>))"
-    )
 
-    def step(acc: Column, piece: Column) -> Column:
+    def step(at: Column, piece: Column) -> tuple[Column, Column]:
         # a gap has one part, a match has the matched text and its groups
-        stop = acc["at"] + F.length(piece[0])
+        stop = at + F.length(piece[0])
         hit = F.struct(
-            acc["at"].alias("start"), stop.alias("stop"), F.slice(piece, 2, len(groups)).alias("fields")
-        )
-        return F.struct(
-            stop.alias("at"),
-            F.when(F.size(piece) > 1, F.array_append(acc["out"], hit)).otherwise(acc["out"]).alias("out"),
+            at.alias("start"), stop.alias("stop"), F.slice(piece, 2, len(groups)).alias("fields")
         )
+        return stop, F.when(F.size(piece) > 1, hit)
 
-    return F.aggregate(pieces, empty, step, lambda acc: acc["out"])
+    return running_fold(pieces, F.lit(0), step, "struct<start:int,stop:int,fields:array<string>>")
 
 
 def text_lines(text: Column) -> Column:

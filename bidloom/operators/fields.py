@@ -18,7 +18,18 @@ DIGIT_KEY = r"(\d{8})"
 LONE_DIGIT_KEY = r"\b(\d{8})\b"
 # One "in" per stretch of list characters is enough: if a later one in the same stretch reached the
 # word County, so would the first. The atomic group keeps long prose linear.
-COUNTY_LIST = r"(?<![A-Za-z,\s&])(?>[A-Za-z,\s&]*?in\s)\s*([A-Za-z,\s&]+)\s+Count(?:y|ies)"
+# The group begins at once and ends a blank before the word; it is trimmed afterwards, and no run of blanks can be
+# shared out in several ways.
+COUNTY_LIST = r"(?<![A-Za-z,\s&])(?>[A-Za-z,\s&]*?in\s)([A-Za-z,\s&]+)\sCount(?:y|ies)"
+# Published as (\s+.*?)\s+has been awarded. The blanks before the name stay with it, and where nothing but blanks
+# stands before the words the group is blanks. What comes before is fixed at its first occurrence: if no award
+# follows there, none follows later.
+AWARDED_NAME = r"(\s++.*?(?=\shas been awarded)|\s++(?<=\s\s)(?=has been awarded))"
+AWARDED_TO = [
+    r"\A(?>.*?(?:NOTIFICATION OF AWARD|Award Letter))(?>.*?\n\n)(?>.*?\n(?=\n))(\n.*?)\n",
+    rf"\A(?>.*?pleased to inform you that(?=\s)){AWARDED_NAME}",
+    rf"\A(?>.*?Dear\s++Sir/\s*+Madam:)(?>.*?inform you that(?=\s)){AWARDED_NAME}",
+]
 
 
 def _any(text: Column, *patterns: str, flags: str = "i") -> Column:
@@ -96,12 +107,7 @@ def bid_opening_date(text: Column) -> Column:
 
 def awarded_to(text: Column) -> Column:
     # each group starts with the whitespace before the name, so that it is never empty
-    raw = first_match(
-        text,
-        (rx(r"(?:NOTIFICATION OF AWARD|Award Letter).*?\n\n.*?\n(\n.*?)(?:\n)", "is"), 1),
-        (rx(r"pleased to inform you that(\s+.*?)\s+has been awarded", "is"), 1),
-        (rx(r"Dear\s+Sir/\s*Madam:.*?inform you that(\s+.*?)\s+has been awarded", "is"), 1),
-    )
+    raw = first_match(text, *((rx(p, "is"), 1) for p in AWARDED_TO))
 
     def without_box(name: Column) -> Column:
         boxed = name.contains("P.O. Box") | name.contains("PO Box")

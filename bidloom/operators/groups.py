@@ -14,17 +14,18 @@ from .. import schemas as S
 from ..functions.parse import parse_int, parse_money, parse_number, parse_quantity, percent_in
 from ..functions.ranks import running_count
 from ..functions.text import (
-    blank_to_null, capture_line, captures, let, located_captures, rx, squeeze, strip, text_lines, unmarked,
+    blank_to_null, capture_line, captures, let, located_captures, running_fold, rx, squeeze, strip, text_lines, unmarked,
 )
 from ..session import materialise
 
 # ---- fixed values: line patterns ----------------------------------------------------------------------
 NAME = r"[A-Z][A-Z0-9&.,'\- ]{3,}"
-PLACE = r"[A-Z][A-Z .\-]+,\s*[A-Z]{2}"
 AMOUNT = r"[\d,]+\.\d{2}"
 TOTAL = r"(?:CONTRACT\s+)?TOTAL\s+([\d,]+\.?\d*)"
-RANK_SECTION = r"BIDDERS IN ORDER.*?CONTRACT TOTAL(.*?)(?:\n\n|\z)"
-RANK_LINE = r"[\d,]+\.?\d*\s*[A-Z\s&]+(?:INC|LLC)?\s+(\d+)"
+RANK_SECTION = r"\A(?>.*?BIDDERS IN ORDER)(?>.*?CONTRACT TOTAL)(.*?)(?:\n\n|\z)"
+# Finds what [\d,]+\.?\d*\s*[A-Z\s&]+(?:INC|LLC)?\s+(\d+) finds: the first stretch of letters behind a number
+# that ends in a blank before a digit. Only the end of the number matters, so it is looked back at.
+RANK_LINE = r"(?<=[\d,]|[\d,]\.)[A-Z\s&]++(?<=[A-Z\s&]\s)(\d+)"
 ITEM_LINE = r"^(\d{4})\s+(\S+)\s+([\d,]+(?:\.\d+)?)\s+(.+)$"
 HEADER_WORDS = {
     S.AS_READ: ["BIDS AS READ", "BID SUMMARY", "CONTRACT", "TOTAL", "ENGINEER", "BIDDER", "BIDDERS"],
@@ -33,26 +34,25 @@ HEADER_WORDS = {
 UNITS = ["LUMP SUM", "LS", "EA", "TON", "LF", "SY", "CY", "HR", "DAY", "MI", "GAL"]
 TABLE_WORDS = ["item", "description", "quantity", "unit", "price", "total"]
 
-# Name and place share most characters, so a long line that does not fit would be retried at every
-# split. The lookahead rejects such lines in one pass: up to the last comma before the state code only
-# name and place characters may stand.
-_SHAPE = rf"(?=[A-Z][A-Z0-9&.,'\- ]*,\s*[A-Z]{{2}}\s+{AMOUNT}"
+# A place is published as [A-Z][A-Z .\-]+,\s*[A-Z]{2}. A name takes as much of the line as it can, so the place begins at the last word that can begin one. Seen from
+# there the later words of a place start with a dot or a dash, or are one letter before the comma. Written so, no
+# word is looked at from more than one split, whatever the line holds.
+_PLACE = r"[A-Z](?!,)[A-Z.\-]*+(?: [.\-][A-Z.\-]*+)*+(?: [A-Z]?(?=,))?+,\s*[A-Z]{2}"
 # After an amount the name takes the rest of the line, place included, so no place is ever split off.
 _AMOUNT_FIRST = (rf"^({AMOUNT})\s+({NAME}+)$", (2, 0, 1, 0, 0))
 #: Patterns in order of trial with the groups (name, place, amount, rank, percent). Lines come squeezed, the
 #: only whitespace in them is the space, so the slower Unicode classes are not needed here.
 LINE_PATTERNS = {
     S.AS_READ: [
-        (rf"^{_SHAPE}(?:\s+\d+)?$)({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+(\d+))?$", (1, 2, 3, 4, 0)),
+        (rf"^({NAME})\s+({_PLACE})\s+({AMOUNT})(?:\s+(\d+))?$", (1, 2, 3, 4, 0)),
         _AMOUNT_FIRST,
     ],
     S.SUMMARY: [
         (
-            rf"^(\d+)\s+{_SHAPE}(?:\s+[-+]?\d+(?:\.\d+)?)?%?$)"
-            rf"({NAME})\s+({PLACE})\s+({AMOUNT})(?:\s+([-+]?\d+(?:\.\d+)?))?%?$",
+            rf"^(\d+)\s+({NAME})\s+({_PLACE})\s+({AMOUNT})(?:\s+([-+]?\d+(?:\.\d+)?))?%?$",
             (2, 3, 4, 1, 5),
         ),
-        (rf"^{_SHAPE}\s+\d+$)({NAME})\s+({PLACE})\s+({AMOUNT})\s+(\d+)$", (1, 2, 3, 4, 0)),
+        (rf"^({NAME})\s+({_PLACE})\s+({AMOUNT})\s+(\d+)$", (1, 2, 3, 4, 0)),
         _AMOUNT_FIRST,
     ],
 }
@@ -201,17 +201,13 @@ def bid_tab_bidders(text: Column) -> Column:
     )
     # at equal positions the total sorts first, hence is met last from the right: it must start after
     from_right = F.reverse(F.array_sort(F.concat(bidders, totals)))
-    start = F.expr(f"named_struct('next', cast(null as decimal(18,2)), 'out', cast(array() as array<{_EVENT}>))")
 
-    def step(acc: Column, event: Column) -> Column:
+    def step(nearest: Column, event: Column) -> tuple[Column, Column]:
         is_total = event["side"] == 0
-        filled = event.withField("amount", acc["next"])
-        return F.struct(
-            F.when(is_total, event["amount"]).otherwise(acc["next"]).alias("next"),
-            F.when(is_total, acc["out"]).otherwise(F.array_append(acc["out"], filled)).alias("out"),
-        )
+        filled = F.when(~is_total, event.withField("amount", nearest))
+        return F.when(is_total, event["amount"]).otherwise(nearest), filled
 
-    matched = F.reverse(F.aggregate(from_right, start, step, lambda acc: acc["out"]))
+    matched = F.reverse(running_fold(from_right, F.lit(None).cast("decimal(18,2)"), step, _EVENT))
     return with_section_ranks(
         F.transform(
             matched, lambda e: _bidder(e["name"], e["place"], e["amount"], e["ordinal"], F.lit(None))
