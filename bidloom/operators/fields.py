@@ -54,6 +54,26 @@ def contract_number(kind: str, text: Column, file_name: Column | None = None) ->
     return in_text if file_name is None else F.coalesce(in_text, key_from_name(F.upper(file_name)))
 
 
+def key_by_page(text: Column, page_ends: Column) -> Column:
+    """Bid-tab key of the first page that has one, the DA form first; without page borders the text is one page.
+
+    Keys hold no line break, so none lies across two pages, and the first key of each form decides.
+    """
+    def before(key: str) -> Column:
+        return F.length(F.regexp_extract(text, rx(rf"\A(.*?){key}", "s"), 1))
+
+    def chosen(found: Column) -> Column:
+        border = F.exists(page_ends, lambda end: (end > found["digits_at"]) & (end <= found["da_at"]))
+        digits_first = found["digits"].isNotNull() & (found["da"].isNull() | F.coalesce(border, F.lit(False)))
+        return F.when(digits_first, found["digits"]).otherwise(found["da"])
+
+    da, digits = first_match(text, (rx(DA_KEY), 1)), first_match(text, (rx(DIGIT_KEY), 1))
+    return let(
+        F.struct(da.alias("da"), digits.alias("digits"), before(DA_KEY).alias("da_at"), before(DIGIT_KEY).alias("digits_at")),
+        chosen,
+    )
+
+
 def wbs_element(kind: str, text: Column) -> Column:
     if kind == S.AWARD:
         return strip(_any(text, r"WBS\s+Element:\s+([^\n]+)"))

@@ -16,7 +16,6 @@ from ..functions.ranks import running_count
 from ..functions.text import (
     blank_to_null, capture_line, captures, let, located_captures, running_fold, rx, squeeze, strip, text_lines, unmarked,
 )
-from ..session import materialise
 
 # ---- fixed values: line patterns ----------------------------------------------------------------------
 NAME = r"[A-Z][A-Z0-9&.,'\- ]{3,}"
@@ -144,9 +143,9 @@ def bidder_rows(pages: DataFrame, kind: str) -> DataFrame:
 def rank_fill(rows: DataFrame) -> DataFrame:
     """Rank = ordinal of the row in its document where the text gives none.
 
-    Counting reads the rows twice, so they are written once instead of being parsed from text again.
+    Counting reads the rows twice: pass a written table (`session.materialise`), or they are parsed from text again.
     """
-    located = materialise(rows, "bidder-lines").withColumn(
+    located = rows.withColumn(
         "_at", F.shiftleft(F.col("page_no").cast("bigint"), 32) + F.col("line_no").cast("bigint")
     )
     counted = running_count(located, ["doc_id"], "_at", F.lit(True), "_ordinal", block=1 << 38)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,47 @@ def load_key(key: Column, file_name: Column) -> Column:
     return F.when(falsy(key, "text"), key_from_name(file_name)).otherwise(normalize_key(key))
 
 
+def misfits(table: str, kinds: dict[str, str], value: Callable[[str], Column | None]) -> Column:
+    """Names of the columns whose value the table's type or declared length cannot hold."""
+    lengths = S.MAX_LENGTH[table]
+    found = []
+    for name, kind in kinds.items():
+        v = value(name)
+        if v is None:
+            continue
+        bad = v.try_cast(kind).isNull()
+        if name in lengths:
+            bad = bad | (F.length(v.cast("string")) > lengths[name])
+        found.append(F.when(v.isNotNull() & bad, F.lit(name)))
+    return F.array_compact(F.array(*found))
+
+
+def contract_misfits() -> Column:
+    """Columns over a result that the contracts table would refuse."""
+    given = {**{f: F.col(f"data.{f}") for f in S.SCALAR_TYPES}, "source_file_hash": F.col("meta.file_hash"),
+             "extraction_run_id": F.col("meta.run_id"), KEY: load_key(F.col("data.contract_number"), F.col("file_name"))}
+    return misfits("contracts", S.CONTRACT_COLUMNS, given.get)
+
+
+def list_misfits(list_name: str) -> Column:
+    """Columns that any entry of a result's bidders or bid items breaks; one broken entry refuses the whole list."""
+    kinds = S.BIDDER_COLUMNS if list_name == "bidders" else S.ITEM_COLUMNS
+    rows = F.transform(f"data.{list_name}", lambda row: misfits(list_name, kinds, lambda c: row[c]))
+    return F.array_distinct(F.flatten(rows))
+
+
+def rejected_rows(results: DataFrame) -> DataFrame:
+    """What the tables refuse: (file_path, table_name, columns), a row per result and table. A refused contract takes the
+    lists of its document with it."""
+    named = [("contracts", contract_misfits()), *((n, F.coalesce(list_misfits(n), F.array())) for n in ("bidders", "bid_items"))]
+    entries = F.array(*(F.struct(F.lit(n).alias("table_name"), c.cast("array<string>").alias("columns")) for n, c in named))
+    return loadable(results).select("file_path", F.inline(entries)).where(F.size("columns") > 0)
+
+
 def contract_rows(results: DataFrame) -> DataFrame:
-    """One contract row per loadable result, typed as the contracts table; rows without key stay null-keyed."""
+    """One contract row per loadable result, typed as the contracts table; rows without key stay null-keyed.
+
+    A result with a value that the table cannot hold gives no row (`rejected_rows` names it)."""
     meta = {
         "contract_number": load_key(F.col("data.contract_number"), F.col("file_name")),
         "source_file_path": F.col("file_path"),
@@ -41,13 +82,16 @@ def contract_rows(results: DataFrame) -> DataFrame:
         else:
             value = F.lit(None)
         columns.append(value.try_cast(kind).alias(name))
-    return loadable(results).select(*columns)
+    return loadable(results).where(F.size(contract_misfits()) == 0).select(*columns)
 
 
 def child_rows(results: DataFrame, list_name: str) -> DataFrame:
-    """Explode bidders or bid_items of loadable results with a key into (contract_number, position, ...)."""
+    """Explode bidders or bid_items of loadable results with a key into (contract_number, position, ...).
+
+    Lists with an entry that does not fit, and all lists of a refused contract, are left out (`rejected_rows`)."""
     columns = S.BIDDER_COLUMNS if list_name == "bidders" else S.ITEM_COLUMNS
-    exploded = loadable(results).select(
+    fits = (F.size(contract_misfits()) == 0) & (F.size(F.coalesce(list_misfits(list_name), F.array())) == 0)
+    exploded = loadable(results).where(fits).select(
         load_key(F.col("data.contract_number"), F.col("file_name")).alias(KEY),
         F.col("file_path").alias("source_file_path"),
         F.col("meta.file_hash").alias("source_file_hash"),
@@ -74,19 +118,25 @@ def upsert_contracts(existing: DataFrame, incoming: DataFrame, order: str, run_t
     """New snapshot of the contracts table.
 
     A known key takes every non-null incoming value, a null never erases; a new key is inserted; rows
-    without key are rejected. With `run_ts` the audit columns are kept too.
+    without key are rejected. Columns that only one side has are kept. With `run_ts` the audit columns
+    `created_at` and `updated_at` are written, without it those of the old snapshot stay as they are.
     """
     new = latest_values(incoming, order)
-    values = [c for c in new.columns if c != KEY and c in existing.columns]
+    values = [c for c in new.columns if c != KEY]
+    audit = () if run_ts is None else ("created_at", "updated_at")
+    old_audit = {c: F.col(f"old.{c}") if c in existing.columns else F.lit(None).cast("timestamp") for c in audit}
     old, fresh = existing.alias("old"), new.withColumn("_in", F.lit(True)).alias("new")
     merged = old.join(fresh, KEY, "full_outer")
-    columns = [F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")).alias(c) for c in values]
-    columns += [F.col(f"old.{c}") for c in existing.columns if c not in (KEY, "created_at", "updated_at", *values)]
+    columns = [
+        F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")).alias(c) if c in existing.columns else F.col(f"new.{c}")
+        for c in values if c not in audit
+    ]
+    columns += [F.col(f"old.{c}") for c in existing.columns if c not in (KEY, *audit, *values)]
     if run_ts is not None:
         touched = F.col("new._in").isNotNull()
         columns += [
-            F.coalesce(F.col("old.created_at"), run_ts).alias("created_at"),
-            F.when(touched, run_ts).otherwise(F.col("old.updated_at")).alias("updated_at"),
+            F.coalesce(old_audit["created_at"], run_ts).alias("created_at"),
+            F.when(touched, run_ts).otherwise(old_audit["updated_at"]).alias("updated_at"),
         ]
     return merged.select(KEY, *columns)
 
@@ -156,13 +206,15 @@ def log_rows(results: DataFrame) -> DataFrame:
     return results.select(*(values[c].try_cast(t).alias(c) for c, t in S.LOG_COLUMNS.items()))
 
 
-def load_tables(results: DataFrame, existing: dict[str, DataFrame], order: str = "source_file_path") -> dict[str, DataFrame]:
+def load_tables(
+    results: DataFrame, existing: dict[str, DataFrame], order: str = "source_file_path", run_ts: Column | None = None
+) -> dict[str, DataFrame]:
     """The four tables after loading `results` on top of `existing` (log, contracts, bidders, bid_items)."""
     bidders = child_rows(results, "bidders").withColumn("_order", F.struct("source_file_path", "position"))
     fresh = new_bidders(existing["bidders"], accepted_batches(bidders), "_order").drop("_order")
     items = new_items(existing["bid_items"], child_rows(results, "bid_items"))
     contracts = upsert_contracts(
-        existing["contracts"], contract_rows(results).withColumn("_order", F.col(order)), "_order"
+        existing["contracts"], contract_rows(results).withColumn("_order", F.col(order)), "_order", run_ts
     )
     return {
         "extraction_logs": existing["extraction_logs"].unionByName(log_rows(results)),
@@ -173,10 +225,10 @@ def load_tables(results: DataFrame, existing: dict[str, DataFrame], order: str =
 
 
 def load_summary(results: DataFrame) -> DataFrame:
-    """total, successful, failed, success_rate. Results that are only logged count as successful."""
+    """total, successful, failed, success_rate. Results that are only logged count as successful, refused ones as failed."""
     gate = F.col("status").isin("success", "partial") & F.col("data").isNotNull()
     key = load_key(F.col("data.contract_number"), F.col("file_name"))
-    ok = F.coalesce(~gate | ~falsy(key, "text"), F.lit(False))
+    ok = F.coalesce(~gate | (~falsy(key, "text") & (F.size(contract_misfits()) == 0)), F.lit(False))
     counts = results.agg(F.count(F.lit(1)).alias("total"), F.count_if(ok).alias("successful"))
     return counts.select(
         "total", "successful", (F.col("total") - F.col("successful")).alias("failed"),

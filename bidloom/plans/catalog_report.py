@@ -153,22 +153,24 @@ def stream_status_counts(spark, sf_dir):
 
 @query("SELECT document_type, count(*) AS results, CAST(sum(processing_time) AS DOUBLE) AS total_time FROM r GROUP BY 1")
 def stream_dedup(spark, sf_dir):
-    """Every result is delivered twice; the watermark keeps one."""
-    log = star.log_of(_event_stream(spark, sf_dir))
-    once = ST.drop_redelivered(log.union(log), ["file_path"], "ts", "1 hour")
-    table = ST.append_to_table(once, "dedup")
+    """Every result is delivered twice; one of them counts."""
+    def twice(df):
+        log = star.log_of(df)
+        return log.union(log)
+
+    table = ST.first_deliveries(_event_stream(spark, sf_dir), twice, ["file_path"], "dedup")
     return table.groupBy("document_type").agg(
         F.count(F.lit(1)).alias("results"), F.sum("processing_time").cast(DOUBLE).alias("total_time"))
 
 
 @query("""SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS day, document_type, count(*) AS results,
   count(*) FILTER (status = 'success') AS successful, count(*) FILTER (status = 'failed') AS failed,
-  CAST(sum(processing_time) AS DOUBLE) AS total_time FROM r
-  WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM r) GROUP BY 1, 2""")
+  CAST(sum(processing_time) AS DOUBLE) AS total_time FROM r GROUP BY 1, 2""")
 def stream_window_counts(spark, sf_dir):
-    """Daily counts of the windows that the watermark has closed."""
-    log = star.log_of(_event_stream(spark, sf_dir))
-    table = ST.append_to_table(ST.status_by_window(log, "ts", "1 day", "1 hour"), "windows")
+    """Daily counts, those of the days still open included: partial counts of the batches, added up."""
+    partial = ST.collect_batches(
+        _event_stream(spark, sf_dir), lambda df: ST.window_counts(star.log_of(df), "ts", "1 day"), "windows")
+    table = ST.counts_from_batches(partial, ["window_start", "document_type"])
     return table.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "document_type", "results", "successful", "failed",
         F.col("total_time").cast(DOUBLE).alias("total_time"))

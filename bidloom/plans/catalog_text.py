@@ -10,6 +10,7 @@ from ..operators import classify as C
 from ..operators import fields as X
 from ..operators import groups as G
 from ..operators.asof import next_value
+from ..session import materialise
 from ..sources import pages as P
 from . import bidstar as star
 from .registry import query
@@ -87,7 +88,7 @@ def asof_next_total(spark, sf_dir):
 @query("SELECT contract_number, bidder_name, ordinal AS bid_rank FROM b")
 def rank_fill(spark, sf_dir):
     line = lambda b: F.concat_ws(" ", b["bidder_name"], b["bidder_location"], star.money(b["total_bid_amount"]))
-    rows = G.rank_fill(G.bidder_rows(_line_pages(spark, sf_dir, line, "BIDS AS READ"), S.AS_READ))
+    rows = G.rank_fill(materialise(G.bidder_rows(_line_pages(spark, sf_dir, line, "BIDS AS READ"), S.AS_READ), "bidder-lines"))
     return rows.select(F.col("doc_id").alias("contract_number"), "bidder_name", "bid_rank")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.text import basename, computed_once
+from ..functions.text import basename, computed_once, strip
 from ..operators import fields, groups, mapping, status
 from ..operators.classify import document_type
 
@@ -22,7 +22,13 @@ OPTIONAL = {
     "file_size_bytes": "bigint",
     "file_mtime": "timestamp_ntz",
     "processing_time": "double",
+    "page_ends": "array<int>",
     "ocr_text": "string",
+    "ocr_text_length": "bigint",
+    "ocr_pages_with_content": "bigint",
+    "ocr_page_count": "bigint",
+    "ocr_page_ends": "array<int>",
+    "ocr_error": "string",
     "ocr_method": "string",
     "ocr_duration_seconds": "double",
 }
@@ -56,6 +62,14 @@ def _extracted(text: Column, tables: Column, config: mapping.MappingConfig) -> C
     return F.when(readable, raw_data(kind, text, name, tables))
 
 
+def _with_page_key(raw: Column, text: Column, page_ends: Column) -> Column:
+    """The key of bid tabs that hold any list is looked for page by page; in all others over the whole text."""
+    listed = (F.size(raw["bidders"]) > 0) | (F.size(raw["bid_items"]) > 0)
+    paged = (F.col("document_type") == S.BID_TABS) & listed & (F.size(page_ends) > 1)
+    key = F.when(paged, fields.key_by_page(text, page_ends)).otherwise(raw["contract_number"])
+    return F.when(raw.isNotNull(), raw.withField("contract_number", key))
+
+
 def with_type(docs: DataFrame) -> DataFrame:
     for name, kind in OPTIONAL.items():
         if name not in docs.columns:
@@ -71,25 +85,41 @@ def process_documents(
     """docs(file_path, first_page, text, text_length, pages_with_content, page_count, ...) to results.
 
     Where OCR text is joined in (`ocr_text`) and triage asks for it, extraction is repeated on that text
-    only for the flagged rows; the original path stays.
+    only for the flagged rows; the original path stays. Triage then judges the statistics of the OCR text
+    (`ocr_text_length`, `ocr_pages_with_content`; without them those of one page). A row with `ocr_error` keeps
+    its first reading, with `ocr_applied` false and the error in its meta.
     """
     config = config or mapping.MappingConfig()
     kind, name = F.col("document_type"), F.col("file_name")
     typed = with_type(docs)
     first = computed_once(typed, _raw=_extracted(F.col("text"), F.col("tables"), config))
+    first = computed_once(first, _raw=_with_page_key(F.col("_raw"), F.col("text"), F.col("page_ends")))
     first = _assessed(first, config, F.col("text_length"), F.col("pages_with_content"))
+    asked = (F.size("needs_ocr_reasons") > 0) & (kind != S.UNKNOWN)
     if "ocr_text" in docs.columns:
-        use_ocr = (F.size("needs_ocr_reasons") > 0) & F.col("ocr_text").isNotNull() & (kind != S.UNKNOWN)
-        first = first.withColumn("ocr_applied", use_ocr)
-        reread = _extracted(F.col("ocr_text"), F.col("tables"), config)
-        again = computed_once(first, _raw=F.when(F.col("ocr_applied"), reread).otherwise(F.col("_raw")))
-        length = F.when(F.col("ocr_applied"), F.length("ocr_text")).otherwise(F.col("text_length"))
-        pages = F.when(F.col("ocr_applied"), F.greatest(F.col("pages_with_content"), F.lit(1))).otherwise(
-            F.col("pages_with_content")
+        tried = asked & (F.col("ocr_text").isNotNull() | F.col("ocr_error").isNotNull())
+        first = computed_once(
+            first, ocr_enabled=F.when(asked, F.lit(True)), ocr_attempted=F.when(asked, tried),
+            ocr_applied=F.when(tried, F.col("ocr_text").isNotNull() & F.col("ocr_error").isNull()),
         )
-        first = _assessed(again, config, length, pages).withColumn("text_length", length)
+        applied = F.coalesce("ocr_applied", F.lit(False))
+        reread = _extracted(F.col("ocr_text"), F.col("tables"), config)
+        again = computed_once(first, _raw=F.when(applied, reread).otherwise(F.col("_raw")))
+        again = computed_once(again, _raw=F.when(
+            applied, _with_page_key(F.col("_raw"), F.col("ocr_text"), F.col("ocr_page_ends"))).otherwise(F.col("_raw")))
+        shown = strip(F.col("ocr_text")) != ""
+        numbers = {
+            "text_length": F.coalesce("ocr_text_length", F.when(shown, F.length("ocr_text")).otherwise(0)),
+            "pages_with_content": F.coalesce("ocr_pages_with_content", shown.cast("int")),
+            "page_count": F.coalesce("ocr_page_count", F.lit(1)),
+        }
+        again = computed_once(again, **{c: F.when(applied, v).otherwise(F.col(c)) for c, v in numbers.items()})
+        first = _assessed(again, config, F.col("text_length"), F.col("pages_with_content"))
     else:
-        first = first.withColumn("ocr_applied", F.lit(None).cast("boolean"))
+        first = first.withColumns({
+            "ocr_enabled": F.when(asked, F.lit(False)), "ocr_attempted": F.when(asked, F.lit(False)),
+            "ocr_applied": F.lit(None).cast("boolean"),
+        })
     known = kind != S.UNKNOWN
     method = F
     for doc_type, label in S.EXTRACTION_METHOD.items():
@@ -116,8 +146,11 @@ def process_documents(
             F.col("partial_reasons"),
             F.col("contract_number_source"),
             mapping.mapping_meta(kind, config).alias("mapping"),
+            F.col("ocr_enabled"),
+            F.col("ocr_attempted"),
             F.col("ocr_applied"),
-            F.when(F.col("ocr_applied"), F.col("ocr_method")).alias("ocr_method"),
+            F.when(F.col("ocr_attempted"), F.col("ocr_error")).alias("ocr_error"),
+            F.when(F.col("ocr_attempted"), F.col("ocr_method")).alias("ocr_method"),
             F.when(F.col("ocr_applied"), F.col("ocr_duration_seconds")).alias("ocr_duration_seconds"),
             F.when(known, F.col("file_hash")).alias("file_hash"),
             F.when(known, F.col("file_size_bytes")).alias("file_size_bytes"),

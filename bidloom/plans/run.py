@@ -14,7 +14,7 @@ from ..sources.pages import documents
 from ..streaming.ingest import collect_batches
 from .documents import process_documents
 
-DOCUMENT = ["file_path", "first_page", "text", "text_length", "pages_with_content", "page_count"]
+DOCUMENT = ["file_path", "first_page", "text", "text_length", "pages_with_content", "page_count", "page_ends"]
 
 
 def extract_batch(
@@ -28,18 +28,25 @@ def extract_batch(
     """Results for files(file_path, file_hash, file_size_bytes, file_mtime) from pages(file_path, page_no, text).
 
     With a state, unchanged files are left out before any page text is shuffled and come back as skipped rows.
-    Files without pages fail. `ocr_pages` has the same shape as `pages`, plus `ocr_method` and
-    `ocr_duration_seconds`, and is used only where triage asks for it.
+    Files without pages fail. `ocr_pages` has the same shape as `pages`, plus `ocr_method`, `ocr_duration_seconds` and, if
+    OCR can fail, `ocr_error` (on any row of the file), and is used only where triage asks for it.
     """
     todo = files if state is None else incremental.changed(files, state)
     texts = documents(pages.join(todo.select("file_path"), "file_path", "left_semi")).select(*DOCUMENT)
     docs = todo.join(texts, "file_path", "left")
     if ocr_pages is not None:
         scanned = ocr_pages.join(todo.select("file_path"), "file_path", "left_semi")
+        if "ocr_error" not in scanned.columns:
+            scanned = scanned.withColumn("ocr_error", F.lit(None).cast("string"))
         once = scanned.groupBy("file_path").agg(
-            F.first("ocr_method").alias("ocr_method"), F.max("ocr_duration_seconds").alias("ocr_duration_seconds")
+            F.max("ocr_method").alias("ocr_method"), F.max("ocr_duration_seconds").alias("ocr_duration_seconds"),
+            F.max("ocr_error").alias("ocr_error"),
+        )
+        ocr_text = documents(scanned).select(
+            "file_path", F.col("text").alias("ocr_text"), F.col("text_length").alias("ocr_text_length"),
+            F.col("pages_with_content").alias("ocr_pages_with_content"), F.col("page_count").alias("ocr_page_count"),
+            F.col("page_ends").alias("ocr_page_ends"),
         )
-        ocr_text = documents(scanned).select("file_path", F.col("text").alias("ocr_text"))
         docs = docs.join(ocr_text.join(once, "file_path"), "file_path", "left")
     results = process_documents(docs, run_id, config)
     if state is None:
@@ -93,9 +100,12 @@ def finish_batch(
     return paths
 
 
-def ingest_landing(page_stream: DataFrame, run_id: str, config: MappingConfig | None = None) -> DataFrame:
+def ingest_landing(
+    page_stream: DataFrame, run_id: str, config: MappingConfig | None = None, home: str | None = None
+) -> DataFrame:
     """Process every page file that has landed, in micro-batches, and return the results table.
 
-    A document's pages arrive in one file, hence in one micro-batch.
+    A document's pages arrive in one file, hence in one micro-batch. With the same `home` a later call processes only
+    files that have landed since; the table holds the results of all calls.
     """
-    return collect_batches(page_stream, lambda pages: process_documents(documents(pages), run_id, config), "landing")
+    return collect_batches(page_stream, lambda pages: process_documents(documents(pages), run_id, config), "landing", home)

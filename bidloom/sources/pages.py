@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import WHITESPACE
+from ..functions.text import WHITESPACE, running_fold
+
 
 def _blank(text: Column) -> Column:
     return F.coalesce(F.btrim(text, F.lit(WHITESPACE)), F.lit("")) == ""
@@ -47,7 +48,10 @@ def text_stats(pages: DataFrame) -> DataFrame:
 
 
 def documents(pages: DataFrame) -> DataFrame:
-    """Document table for `process_documents`: text, first page and statistics from one shuffle."""
+    """Document table for `process_documents`: text, first page and statistics from one shuffle.
+
+    `page_ends` counts, for every page, the characters of the text up to and with that page's line break.
+    """
     shown = ~_blank(F.col("text"))
     page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
     grouped = pages.groupBy("file_path").agg(
@@ -61,4 +65,7 @@ def documents(pages: DataFrame) -> DataFrame:
         F.when(F.col("_pages")[0]["page_no"] == 0, F.col("_pages")[0]["text"]).alias("first_page"),
         F.concat(F.array_join(F.transform("_pages", lambda p: p["text"]), "\n"), F.lit("\n")).alias("text"),
         "text_length", "pages_with_content", "page_count",
+        running_fold(
+            F.transform("_pages", lambda p: F.length(p["text"])), F.lit(0), lambda at, n: (at + n + 1, at + n + 1), "int"
+        ).alias("page_ends"),
     )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from ..session import fresh_path
 
@@ -29,31 +30,39 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
     query.awaitTermination()
 
 
-def collect_batches(stream: DataFrame, batch: Callable[[DataFrame], DataFrame], purpose: str) -> DataFrame:
+def written(spark: SparkSession, schema, path: str) -> DataFrame:
+    """Parquet written under `path`; no rows if nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
+def collect_batches(
+    stream: DataFrame, batch: Callable[[DataFrame], DataFrame], purpose: str, home: str | None = None
+) -> DataFrame:
     """Run `batch` on every micro-batch and return the written table.
 
     Each batch overwrites its own folder, named by the batch id, so a batch that is run again after a
-    failure replaces its first attempt instead of adding to it.
+    failure replaces its first attempt instead of adding to it. With the same `home` (output and
+    checkpoint) a later call takes up only what has arrived since, and the table holds the rows of all calls.
+    An empty landing folder gives no rows.
     """
     spark = stream.sparkSession
-    home = fresh_path(spark, purpose)
-    shape: dict[str, object] = {}
+    home = home or fresh_path(spark, purpose)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        out = batch(df)
-        shape["schema"] = out.schema
-        out.write.mode("overwrite").parquet(f"{home}/out/batch={batch_id}")
+        batch(df).write.mode("overwrite").parquet(f"{home}/out/batch={batch_id}")
 
     run_available(stream, write, f"{home}/checkpoint")
-    if not shape:
-        raise ValueError("the landing folder holds no files")
-    return spark.read.schema(shape["schema"]).option("basePath", f"{home}/out").parquet(f"{home}/out/batch=*").drop("batch")
+    schema = batch(spark.createDataFrame([], stream.schema)).schema
+    return written(spark, schema, f"{home}/out/batch=*")
 
 
-def append_to_table(stream: DataFrame, purpose: str) -> DataFrame:
-    """Run an append-mode stream to its end into a parquet table and return that table."""
+def append_to_table(stream: DataFrame, purpose: str, home: str | None = None) -> DataFrame:
+    """Run an append-mode stream to its end into a parquet table and return that table; `home` as in `collect_batches`."""
     spark = stream.sparkSession
-    home = fresh_path(spark, purpose)
+    home = home or fresh_path(spark, purpose)
     query = (
         stream.writeStream.format("parquet")
         .option("path", f"{home}/out")
@@ -63,19 +72,26 @@ def append_to_table(stream: DataFrame, purpose: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{home}/out")
+    return written(spark, stream.schema, f"{home}/out")
 
 
 def drop_redelivered(stream: DataFrame, keys: list[str], event_time: str, delay: str) -> DataFrame:
-    """First delivery per key within the watermark; state for older keys is dropped."""
+    """First delivery per key of an endless stream, within the watermark; later rows and the state of older keys are dropped.
+
+    A periodic run, whose files may come in any order, uses `first_deliveries` instead, which drops nothing.
+    """
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def status_by_window(stream: DataFrame, event_time: str, size: str, delay: str) -> DataFrame:
-    """Results, failures and processing time per type and tumbling window; late rows are taken until `delay`."""
+def first_deliveries(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], keys: list[str], purpose: str, home: str | None = None) -> DataFrame:
+    """One row per key of everything that has arrived, whatever the order and the batch: repeats fall per batch, then over the batches."""
+    return collect_batches(stream, lambda df: prepare(df).dropDuplicates(keys), purpose, home).dropDuplicates(keys)
+
+
+def window_counts(log: DataFrame, event_time: str, size: str) -> DataFrame:
+    """Results, failures and processing time per type and tumbling window."""
     return (
-        stream.withWatermark(event_time, delay)
-        .groupBy(F.window(event_time, size).alias("w"), "document_type")
+        log.groupBy(F.window(event_time, size).alias("w"), "document_type")
         .agg(
             F.count(F.lit(1)).alias("results"),
             F.count_if(F.col("status") == "success").alias("successful"),
@@ -86,6 +102,14 @@ def status_by_window(stream: DataFrame, event_time: str, size: str, delay: str)
     )
 
 
+def status_by_window(stream: DataFrame, event_time: str, size: str, delay: str) -> DataFrame:
+    """`window_counts` of an endless stream: a window comes out once, when it is closed; late rows are taken until `delay`.
+
+    For a periodic run, where the windows still open count too, collect `window_counts` of the batches instead.
+    """
+    return window_counts(stream.withWatermark(event_time, delay), event_time, size)
+
+
 def counts_from_batches(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Add up per-batch counts: batches are partial aggregates of the whole run."""
     return counts.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in counts.columns if c not in keys))
