@@ -51,10 +51,14 @@ def contracts_table(spark, sf_dir):
     CASE WHEN t = 1 THEN next_total ELSE total_bid_amount END AS amt,
     CASE WHEN t = 3 THEN ordinal + 2 WHEN t = 1 THEN ordinal ELSE bid_rank END AS bid_rank
     FROM rs JOIN b USING (k) WHERE t IN (1, 3, 4, 5, 6) AND NOT empty AND document_type <> 'unknown'
-  UNION ALL SELECT found_key, 0, 'DATE AVAILABLE', day(date_available), 1 FROM rs WHERE t = 3 AND NOT empty
-  UNION ALL SELECT found_key, 1, 'FINAL COMPLETION', day(completion_date), 2 FROM rs WHERE t = 3 AND NOT empty)
+      AND NOT (t IN (3, 4) AND k IN (SELECT k FROM b WHERE tenths >= 100000))
+  UNION ALL SELECT found_key, 0, 'DATE AVAILABLE', day(date_available), 1 FROM rs
+    WHERE t = 3 AND NOT empty AND k NOT IN (SELECT k FROM b WHERE tenths >= 100000)
+  UNION ALL SELECT found_key, 1, 'FINAL COMPLETION', day(completion_date), 2 FROM rs
+    WHERE t = 3 AND NOT empty AND k NOT IN (SELECT k FROM b WHERE tenths >= 100000))
   WHERE contract_number IS NOT NULL""")
 def bidders_table(spark, sf_dir):
+    """A document with a percentage that the table's decimal(6,2) cannot hold loads none of its bidders."""
     rows = L.child_rows(results(spark, sf_dir), "bidders")
     return rows.select("contract_number", "position", "bidder_name", *_double("total_bid_amount"), "bid_rank", "is_winner")
 
