@@ -33,6 +33,7 @@ def session(cpus: str) -> SparkSession:
         # as many shuffle partitions as cores: merging them would leave cores idle in the regex stages
         .config("spark.sql.adaptive.coalescePartitions.enabled", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", "/tmp/bidloom-bench"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # call-site capture doubles the time to build large expressions
