@@ -5,8 +5,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -85,6 +87,11 @@ def literal_weight(value: str) -> float:
     return min(1.0, entropy / 3.5) * min(1.0, 0.4 + 0.3 * (classes - 1) + 0.02 * max(0, n - 8))
 
 
+#: Longest value that is carried on as a constant. A sum that grows beyond it is judged where it stands, but names in later
+#: sums no longer stand for it; so texts that keep doubling a value stay linear.
+LONGEST_CONSTANT = 4096
+
+
 class Binding(NamedTuple):
     name: str
     value: str
@@ -92,15 +99,20 @@ class Binding(NamedTuple):
 
 
 def bindings(text: str) -> list[Binding]:
-    """Name-literal pairs in order: quoted literals, bare values, sums of literals and names, and names bound earlier."""
+    """Name-literal pairs in order: quoted literals, bare values, sums of literals and names, and names bound earlier.
+
+    A name that is bound again to something without a literal stands for no constant from there on.
+    """
     known: dict[str, Binding] = {}
     out = []
     for m in _TARGET.finditer(text):
         value, places = _expression(text, m.end(), known)
         if places:
-            bound = Binding(m["name"], value, tuple(places))
-            out.append(bound)
-            known[bound.name] = bound
+            out.append(Binding(m["name"], value, tuple(places)))
+        if places and len(value) <= LONGEST_CONSTANT:
+            known[m["name"]] = out[-1]
+        else:
+            known.pop(m["name"], None)
     return out
 
 
@@ -109,9 +121,11 @@ def _expression(text: str, at: int, known: dict[str, Binding]) -> tuple[str, lis
     while True:
         if (m := _QUOTED.match(text, at)):
             group = 1 if m[1] is not None else 2
-            value, places = value + m[group], places + [m.span(group)]
+            value, places = value + m[group], places + [m.span(group)] * bool(m[group])
         elif (m := _NAME.match(text, at)) and m[0] in known and not _BARE.match(text, m.end()):
             value, places = value + known[m[0]].value, places + list(known[m[0]].places)
+            if len(value) > LONGEST_CONSTANT:
+                places = list(dict.fromkeys(places))
         elif first and (m := _BARE.match(text, at)):  # configuration files leave values unquoted
             end = m.end() - len(m[0]) + len(m[0].rstrip("."))
             return text[at:end], [(at, end)] if end > at else []
@@ -137,8 +151,10 @@ def literal_spans(text: str) -> list[Span]:
 
 def find_spans(text: str) -> list[Span]:
     base = base_spans(text)
-    covered = sorted((s.start, s.end) for s in base)
-    added = [s for s in literal_spans(text) if not any(a <= s.start and s.end <= b for a, b in covered)]
+    starts = sorted(s.start for s in base)
+    reach = list(accumulate((s.end for s in sorted(base, key=lambda s: s.start)), max))
+    inside = lambda s: (k := bisect_right(starts, s.start)) > 0 and s.end <= reach[k - 1]
+    added = [s for s in literal_spans(text) if not inside(s)]
     return sorted(base + added, key=lambda s: (s.start, KINDS.index(s.kind)))
 
 

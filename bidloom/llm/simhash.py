@@ -19,6 +19,8 @@ from .stars import components
 BUCKET = 1024
 #: Seed of XXH64 for shingles.
 SEED = 42
+#: Shingles whose bits are counted at a time.
+COUNTED = 1 << 16
 
 
 def fingerprint(text: bytes | None, width: int) -> int:
@@ -31,12 +33,14 @@ def fingerprint(text: bytes | None, width: int) -> int:
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     n = max(1, len(words) - width + 1)
+    ends = ends[min(width, len(words)) - 1:]
     digest = xxhash.xxh64_intdigest
-    spans = zip(starts[:n].tolist(), ends[min(width, len(words)) - 1:].tolist())
-    hashes = np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64)
-    bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(n, 64)
-    set_in_most = 2 * bits.sum(0, dtype=np.int64) > n
-    return int(np.packbits(set_in_most, bitorder="little").view("<u8")[0])
+    set_in = np.zeros(64, np.int64)
+    for at in range(0, n, COUNTED):
+        spans = zip(starts[at:min(n, at + COUNTED)].tolist(), ends[at:at + COUNTED].tolist())
+        hashes = np.array([digest(line[a:b], SEED) for a, b in spans], np.uint64)
+        set_in += np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+    return int(np.packbits(2 * set_in > n, bitorder="little").view("<u8")[0])
 
 
 def _fingerprinter(width: int):

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from bidloom.llm import licenses, secrets
 
@@ -52,6 +53,22 @@ def test_assignments_are_followed():
     assert literals("the pass is over and the token ring was a key to it") == []
 
 
+def test_constants_end_with_the_next_binding():
+    assert literals('a = "q8Zr!2mfa0Lx7"\na = open(x)\npassword = a\n') == []
+    assert literals('a = "q8Zr!2mfa0Lx7"\na = "colour"\npassword = a\n') == []
+
+
+def test_growing_constants_stay_linear():
+    doubled = 'a = "q8Zr!2mfa0Lx7"\n' + "a = a + a\n" * 200 + 'password = "Tr0ub4dor&3x!"\n'
+    empty_parts = 'a = "q8Zr!2mfa0Lx7"\n' + 'a = a + ""\n' * 20_000 + "secret_value = 1\npassword = a\n"
+    many = "".join(f'token_{i} = "q8Zr!2mfa0Lx{i}"\n' for i in range(20_000))
+    began = time.perf_counter()
+    assert literals(doubled) == ["Tr0ub4dor&3x!"]
+    assert literals(empty_parts) == ["q8Zr!2mfa0Lx7"]
+    assert len(secrets.find_spans(many)) == 20_000
+    assert time.perf_counter() - began < 20
+
+
 def test_base_spans_stay_and_covered_literals_are_not_listed_again():
     text = 'token = "00e0f0a0b0c0d0e0f0"'
     assert secrets.digest(secrets.find_spans(text)) == f"assign:0:{len(text) - 1},hex:9:27"

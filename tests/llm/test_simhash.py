@@ -50,6 +50,13 @@ def signed(v):
     return v - (1 << 64) if v >> 63 else v
 
 
+def test_fingerprints_of_texts_longer_than_a_count(monkeypatch):
+    text = " ".join(random.Random(4).choices(["a", "Bc", "déf", "x1"], k=500))
+    monkeypatch.setattr(simhash, "COUNTED", 7)
+    for part in (text, text[:40], "one", "one two", ""):
+        assert simhash.fingerprint(part.encode(), 3) == plain_fingerprint(part)
+
+
 @pytest.mark.parametrize("bucket", [1024, 8])
 def test_links_connect_what_brute_force_connects(spark, monkeypatch, bucket):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
