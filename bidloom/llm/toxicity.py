@@ -1,4 +1,4 @@
-"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in block-max inverted lists."""
+"""Toxicity by the nearest labelled examples under exact TF-IDF cosine, found in inverted lists over all terms of the examples."""
 
 from __future__ import annotations
 
@@ -13,15 +13,12 @@ from pyspark.sql import DataFrame, functions as F
 from .blocks import fold, small
 from .samples import labelled_sample
 
-#: Most labelled documents learnt from, by label, and most terms of the vectors.
+#: Most labelled documents learnt from, by label.
 SAMPLE = {1: 2500, 0: 10000}
-TERMS = 4000
-#: Neighbours that vote, and examples in a block of the lists.
-NEIGHBOURS, BLOCK = 15, 128
-#: Fixed share of wrong terms accepted among all that are tried.
-FALSE_TERMS = 0.05
-#: A term is this many times likelier (as odds) in documents with label 1.
-LEAST_ODDS = 20
+#: Neighbours that vote, most frequent terms that are held as rows of a matrix, and texts whose cosines are computed at once.
+NEIGHBOURS, DENSE, TOGETHER = 15, 512, 64
+#: A term weighs LEAST_WEIGHT to 1 + LEAST_WEIGHT times its TF-IDF, half way where chance explains one such term among all in 1 / CHANCE samples.
+LEAST_WEIGHT, CHANCE = 0.02, 0.05
 _EDGES = ".,;:!?\"'()[]{}<>*%&$#|~^_-+=/\\`…«»„“”‚‘’"
 
 RESULT = "doc_id long, held_out boolean, score double, predicted int, neighbours array<struct<example: int, cosine: double, label: int>>"
@@ -38,106 +35,101 @@ def words_of(text: str) -> list[str]:
 
 
 class Examples:
-    """Unit TF-IDF vectors of labelled documents over the terms that speak for label 1, as inverted lists cut in blocks.
+    """Unit TF-IDF vectors of labelled documents over all their terms, as inverted lists; lists of frequent terms are rows of a matrix.
 
-    A term takes part if it is over-represented in documents with label 1 beyond chance (log-likelihood ratio, corrected for the number
-    of terms tried). Examples without any such term have a zero vector, cosine 0 with everything, and are not indexed.
+    TF-IDF is scaled by how surely a term goes with a label (log-likelihood ratio against the number of terms). The scale is never 0, so
+    all terms take part. Only examples without words have a zero vector, cosine 0 with everything, and are not indexed.
     """
 
     def __init__(self, sample: list[tuple[str, int]]):
         y = np.array([label for _, label in sample], np.int8)
         self.base = (y.sum() + 0.5) / (len(y) + 1)
+        df: Counter = Counter()
         df1: Counter = Counter()
         for text, label in sample:
+            terms = {t for w in set(words_of(text)) for t in terms_of_word(w)}
+            df.update(terms)
             if label:
-                df1.update({t for w in set(words_of(text)) for t in terms_of_word(w)})
-        df1 = Counter({t: n for t, n in df1.items() if n >= 4})
-        df = Counter(df1)
-        for text, label in sample:
-            if not label:
-                df.update({t for w in set(words_of(text)) for t in terms_of_word(w) if t in df1})
-        self.terms = self._choose(df, df1, int(y.sum()), len(y))
-        idf = np.array([math.log((1 + len(y)) / (1 + df[t])) + 1 for t in self.terms])
-        self.idf = idf
-        vectors = [self.vector(self.frequencies(text)) for text, _ in sample]
+                df1.update(terms)
+        order = sorted(df, key=lambda t: (-df[t], t))
+        self.terms = {t: i for i, t in enumerate(order)}
+        n, ones = np.array([df[t] for t in order], float), np.array([df1[t] for t in order], float)
+        del df, df1, order
+        self.idf = (np.log((1 + len(y)) / (1 + n)) + 1) * _certainty(n, ones, int(y.sum()), len(y))
+        known: dict[str, tuple[int, ...]] = {}
+        vectors = [self.vector_of(text, known) for text, _ in sample]
+        del known
         kept = [i for i, (ids, _) in enumerate(vectors) if len(ids)]
         self.label = y[kept]
-        # cosine 0 with all examples: the share of label 1 among sampled documents without any term
-        silent = np.delete(y, kept)
-        self.silent = (silent.sum() + 0.5) / (len(silent) + 10)
-        self._build([vectors[i] for i in kept])
-        self.slope, self.shift = self._calibrate([vectors[i] for i in kept])
-
-    @staticmethod
-    def _choose(df: Counter, df1: Counter, n1: int, n: int) -> dict[str, int]:
-        tried = list(df1)
-        if not tried or n1 == n:
-            return {}
-        least = 2 * math.log(len(tried) / FALSE_TERMS)
-        scored = []
-        for t in tried:
-            a, b = df1[t], df[t] - df1[t]
-            expected = df[t] * n1 / n
-            g2 = 2 * (a * math.log(a / expected) + (b * math.log(b / (df[t] - expected)) if b else 0))
-            odds = (a + 0.5) / (n1 - a + 0.5) / ((b + 0.5) / (n - n1 - b + 0.5))
-            if g2 >= least and odds >= LEAST_ODDS:
-                scored.append((-g2, t))
-        return {t: i for i, (_, t) in enumerate(sorted(scored)[:TERMS])}
-
-    def frequencies(self, text: str, known: dict[str, tuple[int, ...]] | None = None) -> dict[int, int]:
-        """Counts of the terms of a text; `known` keeps the terms of words from text to text."""
-        tf: dict[int, int] = {}
+        # cosine 0 with all examples: the share of label 1 among all of them
+        self.silent = (y.sum() + 0.5) / (len(y) + 10)
+        vectors = [vectors[i] for i in kept]
+        self._build(vectors)
+        self.slope, self.shift = self._calibrate(vectors)
+
+    def vector_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """The vector of a text; `known` keeps the terms of words from text to text."""
+        found, times = [], []
         for word, n in Counter(words_of(text)).items():
-            ids = None if known is None else known.get(word)
+            ids = known.get(word)
             if ids is None:
-                ids = tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms)
-                if known is not None:
-                    known[word] = ids
-            for i in ids:
-                tf[i] = tf.get(i, 0) + n
-        return tf
+                ids = known[word] = tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms)
+            found += ids
+            times += [n] * len(ids)
+        ids, place = np.unique(np.array(found, np.int64), return_inverse=True)
+        return self._unit(ids, np.bincount(place, times, len(ids)))
 
     def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        ids = np.array(sorted(tf), np.int64)
-        w = np.array([1 + math.log(tf[i]) for i in ids.tolist()]) * self.idf[ids] if len(ids) else np.empty(0)
+        ids = sorted(tf)
+        return self._unit(np.array(ids, np.int64), np.array([tf[i] for i in ids], float))
+
+    def _unit(self, ids: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        w = (1 + np.log(tf)) * self.idf[ids]
         return ids, w / math.sqrt(w @ w) if len(w) else w
 
     def _build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        n_blocks = max(1, -(-len(vectors) // BLOCK))
-        rows = np.repeat(np.arange(len(vectors)), [len(i) for i, _ in vectors])
-        ids = np.concatenate([i for i, _ in vectors]) if vectors else np.empty(0, np.int64)
+        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(i) for i, _ in vectors])
+        ids = np.concatenate([i for i, _ in vectors]).astype(np.int32) if vectors else np.empty(0, np.int32)
         weights = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        order = np.lexsort((rows, ids))
+        often = ids < DENSE
+        self.matrix = np.zeros((min(DENSE, len(self.terms)), len(vectors)))
+        self.matrix[ids[often], rows[often]] = weights[often]
+        rows, ids, weights = rows[~often], ids[~often], weights[~often]
+        order = np.argsort(ids, kind="stable")
         self.rows, self.weights = rows[order], weights[order]
-        cell = ids[order] * n_blocks + self.rows // BLOCK
-        self.cells = np.searchsorted(cell, np.arange(len(self.terms) * n_blocks + 1))
-        self.most = np.zeros((len(self.terms), n_blocks))
-        np.maximum.at(self.most.reshape(-1), cell, self.weights)
-        self.n_blocks = n_blocks
+        self.lists = np.searchsorted(ids[order], np.arange(len(self.terms) + 1))
+
+    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of each vector with every example."""
+        often = np.zeros((len(vectors), len(self.matrix)))
+        for row, (ids, w) in enumerate(vectors):
+            n = np.searchsorted(ids, len(self.matrix))
+            often[row, ids[:n]] = w[:n]
+        out = often @ self.matrix
+        for row, (ids, w) in enumerate(vectors):
+            n = np.searchsorted(ids, len(self.matrix))
+            first = self.lists[ids[n:]]
+            sizes = self.lists[ids[n:] + 1] - first
+            places = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+            if len(places):
+                out[row] += np.bincount(self.rows[places], np.repeat(w[n:], sizes) * self.weights[places], out.shape[1])
+        return out
 
     def nearest(self, ids: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Exact top k by cosine, ties to the smaller example. Blocks are opened by falling upper bound (the sum of their largest
-        weights); the first block whose bound is below the kth cosine ends the search."""
-        if not len(ids) or not len(self.label):
-            return np.empty(0, np.int64), np.empty(0)
-        bounds = w @ self.most[ids]
-        best_rows, best = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            if bounds[block] <= 0 or (len(best) == k and bounds[block] < best[-1] - 1e-12):
-                break
-            cosines = np.zeros(BLOCK)
-            for i, x in zip(ids.tolist(), w.tolist()):
-                a, b = self.cells[i * self.n_blocks + block], self.cells[i * self.n_blocks + block + 1]
-                cosines[self.rows[a:b] - block * BLOCK] += x * self.weights[a:b]
-            hit = np.flatnonzero(cosines > 0)
-            rows = hit + block * BLOCK
-            if without is not None:
-                rows = rows[rows != without]
-            best_rows = np.concatenate((best_rows, rows))
-            best = np.concatenate((best, cosines[rows - block * BLOCK]))
-            keep = np.lexsort((best_rows, -np.round(best, 12)))[:k]
-            best_rows, best = best_rows[keep], best[keep]
-        return best_rows, best
+        """Exact top k by cosine, ties to the smaller example."""
+        return self._top(self.cosines([(ids, w)])[0], k, without)
+
+    @staticmethod
+    def _top(cosines: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if without is not None:
+            cosines[without] = 0
+        if len(cosines) > k:
+            rows = np.flatnonzero(cosines >= max(np.partition(cosines, -k)[-k] - 1e-11, 0))
+        else:
+            rows = np.arange(len(cosines))
+        rows = rows[cosines[rows] > 0]
+        rows = rows[np.lexsort((rows, -np.round(cosines[rows], 12)))[:k]]
+        return rows, cosines[rows]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Log odds of the votes, each weighing as its squared cosine, so that far neighbours hardly count against the share of label 1."""
@@ -163,11 +155,22 @@ class Examples:
             beta = beta + np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2), gradient)
         return max(0.2, float(beta[0])), float(beta[1])
 
-    def score(self, ids: np.ndarray, w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        rows, cosines = self.nearest(ids, w)
-        if not len(rows):
-            return float(min(self.silent, 0.29)), rows, cosines
-        return 1 / (1 + math.exp(-np.clip(self.slope * self.vote(rows, cosines) + self.shift, -30, 30))), rows, cosines
+    def score(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, nearest examples and their cosines for each vector."""
+        found = [self._top(c) for at in range(0, len(vectors), TOGETHER) for c in self.cosines(vectors[at:at + TOGETHER])]
+        return [
+            (1 / (1 + math.exp(-np.clip(self.slope * self.vote(rows, cosines) + self.shift, -30, 30))) if len(rows) else float(self.silent),
+             rows, cosines) for rows, cosines in found]
+
+
+def _certainty(n: np.ndarray, ones: np.ndarray, all_ones: int, everything: int) -> np.ndarray:
+    """The scale of each term that is in `n` examples, `ones` of them with label 1."""
+    g2 = np.zeros(len(n))
+    for seen, share in ((ones, all_ones / max(1, everything)), (n - ones, 1 - all_ones / max(1, everything))):
+        some = seen > 0
+        g2[some] += 2 * seen[some] * np.log(seen[some] / (n[some] * share))
+    g2 = np.maximum(g2, 0)
+    return LEAST_WEIGHT + g2 / (g2 + 2 * math.log(max(2, len(n)) / CHANCE))
 
 
 def _scorer(examples: Examples, held_fold: int, cut: float):
@@ -175,12 +178,12 @@ def _scorer(examples: Examples, held_fold: int, cut: float):
         known: dict[str, tuple[int, ...]] = {}
         for batch in small(batches):
             scores, evidence = [], []
-            for text in batch.column("text").to_pylist():
-                s, rows, cosines = examples.score(*examples.vector(examples.frequencies(text or "", known)))
+            vectors = [examples.vector_of(text or "", known) for text in batch.column("text").to_pylist()]
+            for s, rows, cosines in examples.score(vectors):
                 scores.append(s)
                 evidence.append([
                     {"example": r, "cosine": c, "label": int(examples.label[r])} for r, c in zip(rows[:3].tolist(), cosines[:3].tolist())])
-            if len(known) > 1 << 20:
+            if len(known) > 1 << 17:
                 known.clear()
             score = np.array(scores, float)
             yield pa.RecordBatch.from_pydict({
@@ -195,8 +198,8 @@ def toxicity(documents: DataFrame, labels: DataFrame, held_fold: int = 2, cut: f
 
     Examples are a bounded sample (`SAMPLE` rows by label, of texts up to 50,000 characters) of the rows of `labels(doc_id, toxic)`
     whose id has crc32 modulo 4 other than `held_fold`; a score uses the text alone. `neighbours` are the three nearest examples.
-    Texts without any indexed term, null and empty ones too, get the share of label 1 among such examples, below the cut. Without
-    labels, or with one label only, all texts get such a constant. Null and repeated ids keep a row each (a null id counts as the empty
+    Texts without any term of an example, null and empty ones too, get the smoothed share of label 1 among all examples, and so do all
+    texts without labels. Null and repeated ids keep a row each (a null id counts as the empty
     text for the fold); an empty table gives an empty result; other columns are ignored; texts are scored whole.
     """
     sample = labelled_sample(documents, labels, "toxic", fold(F.col("doc_id"), 4) != held_fold, SAMPLE)

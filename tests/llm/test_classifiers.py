@@ -1,4 +1,5 @@
 import random
+import zlib
 
 import numpy as np
 
@@ -86,3 +87,19 @@ def test_bradley_terry_ranks():
     w = quality.bradley_terry(better - worse)
     assert (w > 0).all() and np.allclose(w, w.mean(), rtol=0.25)
     assert quality.weighted_cut(np.array([1.0, 2, 3, 4]), np.ones(4), 0.5) == 2.5
+
+
+def test_rare_and_ordinary_words_find_their_neighbours(spark):
+    rng = random.Random(8)
+    words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in ("lm", "rn", "st")]
+    learnt = [i for i in range(400) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = [(i, " ".join(rng.choices(words, k=20))) for i in learnt]
+    bad = set(learnt[5:8])
+    rows = [(i, "grubmook " * 3 + t if i in bad else t) for i, t in rows]
+    rows += [(1000, " ".join(rng.choices(words, k=15)) + " grubmook grubmook"), (1001, rows[20][1]), (1002, "quite unknown"), (1003, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i in bad) for i in learnt], "doc_id long, toxic boolean")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    assert {n.label for n in got[1000].neighbours} == {1} and got[1000].predicted == 1
+    assert abs(got[1001].neighbours[0].cosine - 1) < 1e-9 and got[1001].predicted == 0
+    assert not got[1002].neighbours and not got[1003].neighbours and got[1002].score == got[1003].score
