@@ -85,8 +85,8 @@ RULES = (
     Rule("All-rights-reserved", ("reserved",)),
 )
 
-#: Each known sentence holds one of these, so a text without any of them has no known sentence.
-KEYS = ("licen", "rights reserved", "permission", "copyright", "redistribution", "implied warranty")
+#: Each known sentence holds one of these inside a single word, so a text without any of them has no known sentence, wherever its lines break.
+KEYS = ("licen", "reserved", "permission", "copyright", "redistribution", "warranty")
 #: Sentences of other kinds that may stand between two sentences of a rule (a copyright line, a title).
 BETWEEN = 2
 

@@ -109,6 +109,14 @@ def test_every_sentence_is_found_and_has_a_key():
         assert [f.sentence for f in licenses.known_sentences(f"Before.\n{sentence.title()}.\nAfter it")] in ([name], ["apache-short"], ["apache-grant"])
 
 
+def test_every_sentence_is_found_over_line_breaks():
+    for between in ("\n", "  ", "\n * ", "\r\n# "):
+        for name, sentence in licenses.SENTENCES.items():
+            text = sentence.replace(" ", between)
+            assert [f.sentence for f in licenses.known_sentences(text)] == [name], (name, between)
+    assert found("(c) 2020 X. All rights\nreserved.") == ["All-rights-reserved"]
+
+
 def test_awkward_rows(spark):
     rows = awkward_rows() + [(800, "All rights reserved.\n" * 5000, "en", "a", 1)]
     got = licenses.license_scan(frame(spark, rows)).collect()
