@@ -47,7 +47,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 #: An assignment: a name (also quoted or dotted), an operator, then the place where its value begins.
-_TARGET = re.compile(r"""(?<![\w.-])["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,80})["']?[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?=\S)""")
+_TARGET = re.compile(r"""(?<![\w.-])["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["']?[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?=\S)""")
 _QUOTED = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=$@!%^&*~-]+")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
@@ -77,25 +77,53 @@ def name_weight(name: str) -> float:
     return min(1.0, sum(weights)) if weights else 0.0
 
 
-def literal_weight(value: str) -> float:
-    """How much a literal looks like a secret, 0 to 1: length, entropy and mixed character classes; placeholders count 0."""
-    if len(value) < 8 or _PLACEHOLDER.match(value) or any(c.isspace() for c in value):
-        return 0.0
-    n = len(value)
-    entropy = -sum(k / n * math.log2(k / n) for k in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 3.5) * min(1.0, 0.4 + 0.3 * (classes - 1) + 0.02 * max(0, n - 8))
+#: Signs kept from both ends of a value; placeholders show there, or in the set of all signs.
+ENDS = 32
+
+
+class Value:
+    """What scoring needs of a value, which adds up exactly however long sums of values get: length, counts of signs, both ends, and
+    the places of its literals as a tree whose parts are shared."""
+
+    __slots__ = ("length", "counts", "head", "tail", "places", "parts")
 
+    def __init__(self, literal: str = "", place: tuple[int, int] | None = None):
+        self.length, self.counts = len(literal), Counter(literal)
+        self.head, self.tail = literal[:2 * ENDS], literal[-ENDS:]
+        self.places, self.parts = [place] if place else [], []
 
-#: Longest value that is carried on as a constant. A sum that grows beyond it is judged where it stands, but names in later
-#: sums no longer stand for it; so texts that keep doubling a value stay linear.
-LONGEST_CONSTANT = 4096
+    def __add__(self, other: Value) -> Value:
+        if not other.length:
+            return self
+        if not self.length:
+            return other
+        out = Value()
+        out.length, out.counts = self.length + other.length, self.counts.copy()
+        for sign, n in other.counts.items():
+            out.counts[sign] += n
+        out.head = self.head if self.length >= 2 * ENDS else (self.head + other.head)[:2 * ENDS]
+        out.tail = (self.tail + other.tail)[-ENDS:]
+        out.parts = [self, other]
+        return out
+
+    def outline(self) -> str:
+        """The value, or if it is long, a shorter one that is a placeholder exactly if the value is."""
+        return self.head if self.length <= 2 * ENDS else self.head[:ENDS] + "".join(self.counts) + self.tail
+
+
+def literal_weight(value: Value) -> float:
+    """How much a value looks like a secret, 0 to 1: length, entropy and mixed character classes; placeholders count 0."""
+    n, signs = value.length, "".join(value.counts)
+    if n < 8 or any(c.isspace() for c in signs) or _PLACEHOLDER.match(value.outline()):
+        return 0.0
+    entropy = -sum(p * math.log2(p) for k in value.counts.values() if (p := k / n))
+    classes = sum(bool(re.search(p, signs)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
+    return min(1.0, entropy / 3.5) * min(1.0, 0.4 + 0.3 * (classes - 1) + 0.02 * min(n - 8, 100))
 
 
 class Binding(NamedTuple):
     name: str
-    value: str
-    places: tuple[tuple[int, int], ...]  # of the literals the value is made of
+    value: Value
 
 
 def bindings(text: str) -> list[Binding]:
@@ -103,37 +131,34 @@ def bindings(text: str) -> list[Binding]:
 
     A name that is bound again to something without a literal stands for no constant from there on.
     """
-    known: dict[str, Binding] = {}
+    known: dict[str, Value] = {}
     out = []
     for m in _TARGET.finditer(text):
-        value, places = _expression(text, m.end(), known)
-        if places:
-            out.append(Binding(m["name"], value, tuple(places)))
-        if places and len(value) <= LONGEST_CONSTANT:
-            known[m["name"]] = out[-1]
+        value = _expression(text, m.end(), known)
+        if value.length:
+            out.append(Binding(m["name"], value))
+            known[m["name"]] = value
         else:
             known.pop(m["name"], None)
     return out
 
 
-def _expression(text: str, at: int, known: dict[str, Binding]) -> tuple[str, list[tuple[int, int]]]:
-    value, places, first = "", [], True
+def _expression(text: str, at: int, known: dict[str, Value]) -> Value:
+    value, first = Value(), True
     while True:
         if (m := _QUOTED.match(text, at)):
             group = 1 if m[1] is not None else 2
-            value, places = value + m[group], places + [m.span(group)] * bool(m[group])
+            value += Value(m[group], m.span(group))
         elif (m := _NAME.match(text, at)) and m[0] in known and not _BARE.match(text, m.end()):
-            value, places = value + known[m[0]].value, places + list(known[m[0]].places)
-            if len(value) > LONGEST_CONSTANT:
-                places = list(dict.fromkeys(places))
+            value += known[m[0]]
         elif first and (m := _BARE.match(text, at)):  # configuration files leave values unquoted
             end = m.end() - len(m[0]) + len(m[0].rstrip("."))
-            return text[at:end], [(at, end)] if end > at else []
+            return Value(text[at:end], (at, end))
         else:
-            return value, places
+            return value
         more = _PLUS.match(text, m.end())
         if not more:
-            return value, places
+            return value
         at, first = more.end(), False
 
 
@@ -141,11 +166,17 @@ def literal_spans(text: str) -> list[Span]:
     """Literals whose value, under the name it ends up with, scores as a secret."""
     if not _ANY_SENSITIVE.search(text):
         return []
-    found = set()
+    found, listed = set(), set()
     for b in bindings(text):
         weight = name_weight(b.name)
         if weight and weight * literal_weight(b.value) >= THRESHOLD:
-            found.update(Span("literal", a, z) for a, z in b.places if z > a)
+            waiting = [b.value]
+            while waiting:  # parts that an earlier value has listed are not opened again
+                part = waiting.pop()
+                if id(part) not in listed:
+                    listed.add(id(part))
+                    found.update(Span("literal", a, z) for a, z in part.places)
+                    waiting += part.parts
     return sorted(found)
 
 

@@ -69,6 +69,25 @@ def test_growing_constants_stay_linear():
     assert time.perf_counter() - began < 20
 
 
+def test_long_constants_and_long_names():
+    long = "q8Zr!2mfa0Lx7" * 400
+    assert literals(f'blob = "{long}"\nprivate_key = blob\n') == [long]
+    assert literals(f'a = "{long}"\nb = "Xy9Qw!z"\nc = a + b\nprivate_key = c + a') == [long, "Xy9Qw!z"]
+    assert literals('a = "q8Zr!2mfa0Lx7"\n' + "a = a + a\n" * 3000 + "password = a\n") == ["q8Zr!2mfa0Lx7"]
+    for hidden in ("x" * 5000, "<" + long + ">", "your_" + long, "${" + long + "}"):
+        assert literals(f'a = "{hidden}"\nprivate_key = a\n') == []
+    name = ".".join(["service"] * 20)
+    assert literals(f'{name}.password = "q8Zr!2mfa0Lx7"') == ["q8Zr!2mfa0Lx7"]
+
+
+def test_long_sums_stay_fast():
+    began = time.perf_counter()
+    grown = 'a = "q8Zr!2mfa0Lx7"\n' + 'a = a + "Xy9Qw!z"\n' * 10_000 + "password = a\n"
+    assert len(literals(grown)) == 10_001
+    assert len(literals("password.x" * 100_000 + ' = "q8Zr!2mfa0Lx7"')) <= 1
+    assert time.perf_counter() - began < 20
+
+
 def test_base_spans_stay_and_covered_literals_are_not_listed_again():
     text = 'token = "00e0f0a0b0c0d0e0f0"'
     assert secrets.digest(secrets.find_spans(text)) == f"assign:0:{len(text) - 1},hex:9:27"
