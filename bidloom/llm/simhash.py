@@ -113,20 +113,20 @@ def near_duplicates(documents: DataFrame, width: int = 3, radius: int = 3) -> Da
     Words are maximal runs without ASCII white space, A-Z lower-cased; a text of fewer than `width` words is one shingle; a null
     or blank text has fingerprint 0 and links like any other. Fingerprints with at most `radius` differing bits are linked;
     `component_id` is the smallest doc_id of the connected documents (null where none of them has an id). `representative` marks
-    the rows with that id, or, in a group without ids, the rows with its smallest fingerprint. `text_hash` is xxhash64 of the
+    the row with the smallest id (none comes last), fingerprint and text hash, and its exact repeats. `text_hash` is xxhash64 of the
     text; (doc_id, text_hash) tells rows apart. Repeated rows keep a row each. An empty table gives an empty result; other columns are
     ignored; texts are read whole.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
     hashed = materialise(rows.mapInArrow(_fingerprinter(width), "doc_id long, text_hash long, fp long"), "fingerprints")
-    nodes = materialise(hashed.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
+    least = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("fp"), F.col("text_hash"))
+    nodes = materialise(hashed.groupBy("fp").agg(F.min(least).alias("least")), "nodes")
     roots = components(links(nodes.select("fp"), radius))
     placed = (
         nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-        .select("fp", "least_id", F.coalesce("root", "fp").alias("root")))
-    groups = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    grouped = placed.join(groups, "root").select("fp", "root", "component_id")
+        .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    groups = placed.groupBy("root").agg(F.min("least").alias("chosen"))
+    grouped = placed.join(groups, "root").select("fp", "chosen")
     return hashed.join(grouped, "fp").select(
-        "doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-        F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull() & (F.col("fp") == F.col("root")), F.lit(False))
-        .alias("representative"))
+        "doc_id", "text_hash", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("chosen.doc_id").alias("component_id"),
+        F.col("chosen").eqNullSafe(least).alias("representative"))

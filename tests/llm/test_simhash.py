@@ -114,3 +114,11 @@ def test_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (2000, 2001)], "a long, b long")
     got = {r.node: r.root for r in stars.components(edges).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, 2001: 2000}
+
+
+def test_one_text_of_a_group_is_its_representative(spark):
+    rows = [(5, "One two three four"), (5, "one two three four"), (5, "one two three four"), (6, "one TWO three four"),
+            (None, "no id at all here"), (None, "No id at all here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = simhash.near_duplicates(docs).filter("representative").select("doc_id", "text_hash").distinct().collect()
+    assert sorted(str(r.doc_id) for r in got) == ["5", "None"]
