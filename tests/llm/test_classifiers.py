@@ -2,9 +2,11 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from bidloom.llm import quality, toxicity
 from bidloom.llm.queries import QUERIES, table
+from bidloom.llm.samples import labelled_sample
 
 from .common import awkward_rows, empty, frame
 
@@ -103,3 +105,11 @@ def test_rare_and_ordinary_words_find_their_neighbours(spark):
     assert {n.label for n in got[1000].neighbours} == {1} and got[1000].predicted == 1
     assert abs(got[1001].neighbours[0].cosine - 1) < 1e-9 and got[1001].predicted == 0
     assert not got[1002].neighbours and not got[1003].neighbours and got[1002].score == got[1003].score
+
+
+def test_a_sampled_id_on_many_rows_gives_one_text(spark):
+    rows = [(1, f"text {i}") for i in range(300)] + [(2, "other")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    sample = labelled_sample(docs, labels, "toxic", F.lit(True), {1: 5, 0: 5})
+    assert len(sample) == 2 and sorted(y for _, y in sample) == [0, 1]
