@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
+import pickle
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -57,18 +60,18 @@ class Examples:
         del df, df1, order
         self.idf = (np.log((1 + len(y)) / (1 + n)) + 1) * _certainty(n, ones, int(y.sum()), len(y))
         known: dict[str, tuple[int, ...]] = {}
-        vectors = [self.vector_of(text, known) for text, _ in sample]
+        counts = [self.counts_of(text, known) for text, _ in sample]
         del known
-        kept = [i for i, (ids, _) in enumerate(vectors) if len(ids)]
+        kept = [i for i, (ids, _) in enumerate(counts) if len(ids)]
         self.label = y[kept]
         # cosine 0 with all examples: the share of label 1 among all of them
         self.silent = (y.sum() + 0.5) / (len(y) + 10)
-        vectors = [vectors[i] for i in kept]
-        self._build(vectors)
-        self.slope, self.shift = self._calibrate(vectors)
+        counts = [counts[i] for i in kept]
+        self._build(counts)
+        self.slope, self.shift = self._calibrate(counts)
 
-    def vector_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
-        """The vector of a text; `known` keeps the terms of words from text to text."""
+    def counts_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of a text and their counts; `known` keeps the terms of words from text to text."""
         found, times = [], []
         for word, n in Counter(words_of(text)).items():
             ids = known.get(word)
@@ -77,27 +80,44 @@ class Examples:
             found += ids
             times += [n] * len(ids)
         ids, place = np.unique(np.array(found, np.int64), return_inverse=True)
-        return self._unit(ids, np.bincount(place, times, len(ids)))
+        return ids.astype(np.int32), np.bincount(place, times, len(ids)).astype(np.int32)
+
+    def vector_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+        return self._unit(*self.counts_of(text, known))
 
     def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
         ids = sorted(tf)
         return self._unit(np.array(ids, np.int64), np.array([tf[i] for i in ids], float))
 
     def _unit(self, ids: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        w = (1 + np.log(tf)) * self.idf[ids]
+        w = self._raw(ids, tf)
         return ids, w / math.sqrt(w @ w) if len(w) else w
 
-    def _build(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        rows = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(i) for i, _ in vectors])
-        ids = np.concatenate([i for i, _ in vectors]).astype(np.int32) if vectors else np.empty(0, np.int32)
-        weights = np.concatenate([w for _, w in vectors]) if vectors else np.empty(0)
-        often = ids < DENSE
-        self.matrix = np.zeros((min(DENSE, len(self.terms)), len(vectors)))
-        self.matrix[ids[often], rows[often]] = weights[often]
-        rows, ids, weights = rows[~often], ids[~often], weights[~often]
+    def _raw(self, ids: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        return (1 + np.log(tf)) * self.idf[ids]
+
+    def _build(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        rows = np.repeat(np.arange(len(counts), dtype=np.uint16), [len(i) for i, _ in counts])
+        ids = np.concatenate([i for i, _ in counts]).astype(np.int32) if counts else np.empty(0, np.int32)
+        tf = np.concatenate([n for _, n in counts]) if counts else np.empty(0, np.int32)
         order = np.argsort(ids, kind="stable")
-        self.rows, self.weights = rows[order], weights[order]
-        self.lists = np.searchsorted(ids[order], np.arange(len(self.terms) + 1))
+        self.norms = np.array([math.sqrt(w @ w) for w in (self._raw(*c) for c in counts)])
+        self._lists(np.bincount(ids, minlength=len(self.terms)).astype(np.int32), rows[order], tf[order])
+
+    def _lists(self, sizes: np.ndarray, rows: np.ndarray, tf: np.ndarray) -> None:
+        self.sizes, self.tf = sizes, tf
+        self.lists = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        ids = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.rows, self.weights = rows, self._raw(ids, tf) / self.norms[rows]
+        often = self.lists[min(DENSE, len(sizes))]
+        self.matrix = np.zeros((min(DENSE, len(sizes)), len(self.norms)))
+        self.matrix[ids[:often], rows[:often]] = self.weights[:often]
+
+    def __reduce__(self):
+        """Sent to tasks as counts, compressed; lists and matrix are made again once in each worker."""
+        state = {k: getattr(self, k) for k in ("idf", "label", "base", "silent", "slope", "shift", "norms", "sizes", "rows", "tf")}
+        data = zlib.compress(pickle.dumps(("\n".join(self.terms), state), 5), 1)
+        return _unpacked, (hashlib.sha256(data).hexdigest(), data)
 
     def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """Of each vector with every example."""
@@ -138,10 +158,10 @@ class Examples:
         zero = float(weights[self.label[rows] == 0].sum()) + 1 - self.base
         return math.log(one / zero)
 
-    def _calibrate(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> tuple[float, float]:
+    def _calibrate(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[float, float]:
         """Logistic regression of the label on the vote of an example's neighbours other than itself, with smoothed targets."""
-        some = range(0, len(vectors), max(1, len(vectors) // 1500))
-        x = np.array([self.vote(*self.nearest(*vectors[i], without=i)) for i in some])
+        some = range(0, len(counts), max(1, len(counts) // 1500))
+        x = np.array([self.vote(*self.nearest(*self._unit(*counts[i]), without=i)) for i in some])
         y = np.array([float(self.label[i]) for i in some])
         if not len(y) or y.min() == y.max():
             return 1.0, 0.0
@@ -163,6 +183,23 @@ class Examples:
              rows, cosines) for rows, cosines in found]
 
 
+_HELD: dict[str, Examples] = {}
+
+
+def _unpacked(key: str, data: bytes) -> Examples:
+    """The examples of a task; a worker keeps the last ones for its next task."""
+    if key not in _HELD:
+        _HELD.clear()
+        terms, state = pickle.loads(zlib.decompress(data))
+        made = Examples.__new__(Examples)
+        made.terms = {t: i for i, t in enumerate(terms.split("\n"))} if terms else {}
+        sizes, rows, tf = (state.pop(k) for k in ("sizes", "rows", "tf"))
+        made.__dict__.update(state)
+        made._lists(sizes, rows, tf)
+        _HELD[key] = made
+    return _HELD[key]
+
+
 def _certainty(n: np.ndarray, ones: np.ndarray, all_ones: int, everything: int) -> np.ndarray:
     """The scale of each term that is in `n` examples, `ones` of them with label 1."""
     g2 = np.zeros(len(n))
