@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, licenses, lm_scores, mixing, quality, secrets, simhash, token_counts, topk, toxicity
+from . import (
+    alignment, centroids, decontaminate, licenses, lm_scores, mixing, packing, quality, secrets, simhash, token_counts, topk, toxicity)
 
 
 #: Rows that go to a Python worker at a time. Spark's default of 10,000 whole texts takes tens of MB on both sides.
@@ -58,10 +61,61 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), carry={"ids_crc32": F.crc32("ids")})
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.clusters(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(F.array_join("centroid", ","), 256)).drop("centroid")
+
+
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"),
+        render=_sha256)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (op1_token_counts, op2_secret_scan, op3_toxicity, op4_lm_scores, op5_simhash, op6_mixing, op7_decontamination, op8_quality,
-              op9_exact_topk, op10_license_scan)}
+              op9_exact_topk, op10_license_scan, op11_packing, op12_centroids, op13_alignment)}
+
+
+def _clusters_sql(k: int = 16, rounds: int = 3) -> str:
+    """The rounds of op12 written out one after the other."""
+    nearest = """
+a{r} AS MATERIALIZED (
+  SELECT n, min_by(c, distance * {k} + c) AS c, min(distance) AS distance
+  FROM (SELECT v.n, m.c, CAST(list_sum(list_transform(list_zip(v.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+        FROM v CROSS JOIN m{r} m) GROUP BY n)"""
+    moved = """
+m{next} AS MATERIALIZED (
+  SELECT m.c, coalesce(x.v, m.v) AS v
+  FROM m{r} m LEFT JOIN (
+    SELECT c, list(mean ORDER BY pos) AS v
+    FROM (SELECT c, pos, CAST(floor_div AS BIGINT) AS mean
+          FROM (SELECT c, pos, (s - ((s % n) + n) % n) // n AS floor_div
+                FROM (SELECT a.c, pos, CAST(sum(v.v[pos]) AS BIGINT) AS s, count(*) AS n
+                      FROM a{r} a JOIN v USING (n) CROSS JOIN (SELECT unnest(range(1, 65)) AS pos) GROUP BY a.c, pos))) GROUP BY c) x USING (c))"""
+    steps = [s.format(r=r, next=r + 1, k=k) for r in range(rounds) for s in (nearest, moved)] + [nearest.format(r=rounds, k=k)]
+    return """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+m0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v
+  FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, v FROM v WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT %d)),%s
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
+FROM a%d a JOIN v USING (n) JOIN m%d m ON m.c = a.c""" % (k, ",".join(steps), rounds, rounds)
 
 SQL = {
     "op6_mixing": r"""
@@ -121,4 +175,5 @@ s AS (
   FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, row) AS rank FROM s) WHERE rank <= 5""",
+    "op12_centroids": _clusters_sql(),
 }
