@@ -141,6 +141,45 @@ def upsert_contracts(existing: DataFrame, incoming: DataFrame, order: str, run_t
     return merged.select(KEY, *columns)
 
 
+AUDIT = ("created_at", "updated_at")
+CHANGES = "contract_number string, change string, columns array<string>, before_hash bigint, after_hash bigint"
+
+
+def contract_changes(existing: DataFrame, merged: DataFrame, incoming: DataFrame) -> DataFrame:
+    """What an upsert did to each incoming key: (key, change, columns, before_hash, after_hash, after).
+
+    `change` is inserted, updated or unchanged, `columns` names the columns that differ (all filled ones of a new row), `after` is the
+    new row. Values are compared null-safe, audit columns left out; the hashes are of the same columns. Rows of `merged` that come from
+    `existing` alone have no entry, so the feed is as long as the batch."""
+    values = sorted(c for c in merged.columns if c not in (KEY, *AUDIT))
+    before = [F.col(f"b.{c}") if c in existing.columns else F.lit(None).cast(merged.schema[c].dataType) for c in values]
+    keys = incoming.where(~falsy(F.col(KEY), "text")).select(KEY).distinct()
+    whole = F.struct(*(F.col(f"a.{c}") for c in merged.columns)).alias("after")
+    sides = merged.alias("a").join(keys.alias("k"), KEY, "left_semi").alias("a").join(
+        existing.withColumn("_old", F.lit(True)).alias("b"), F.col(f"a.{KEY}") == F.col(f"b.{KEY}"), "left")
+    differ = F.array_compact(F.array(*(F.when(~F.col(f"a.{c}").eqNullSafe(old), F.lit(c)) for c, old in zip(values, before))))
+    known = F.col("b._old").isNotNull()
+    return sides.select(
+        F.col(f"a.{KEY}").alias(KEY), known.alias("_known"), differ.alias("columns"),
+        F.when(known, F.xxhash64(*_null_safe(before))).alias("before_hash"),
+        F.xxhash64(*_null_safe([F.col(f"a.{c}") for c in values])).alias("after_hash"), whole,
+    ).select(
+        KEY, F.when(~F.col("_known"), "inserted").when(F.size("columns") > 0, "updated").otherwise("unchanged").alias("change"),
+        "columns", "before_hash", "after_hash", "after")
+
+
+def _null_safe(columns: list[Column]) -> list[Column]:
+    """A hash skips nulls, so that (null, x) and (x, null) would be equal: each column comes with whether it is null."""
+    return [x for c in columns for x in (c.isNull(), c)]
+
+
+def replay(existing: DataFrame, feed: DataFrame) -> DataFrame:
+    """The table after the changes of a feed."""
+    changed = feed.where("change in ('inserted', 'updated', 'unchanged')")
+    new = changed.select("after.*")
+    return existing.join(changed.select(KEY), KEY, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
 def contract_id(key: Column) -> Column:
     """Deterministic surrogate id."""
     return F.xxhash64(key)

@@ -9,10 +9,13 @@ from ..operators import incremental as I
 from ..operators import load as L
 from ..operators import report as R
 from ..sources import files as FS
+from ..session import fresh_path
 from ..sources import sinks as K
+from ..sources.snapshots import SnapshotStore
 from . import bidstar as star
 from .catalog_rules import RUN, results
 from .registry import query
+from .store import upsert
 
 DOUBLE = "double"
 
@@ -110,16 +113,68 @@ def _open_contracts(spark, sf_dir):
     FROM it GROUP BY 1) n ON n.contract_number = e.contract_number""")
 def upsert_contracts(spark, sf_dir):
     """Several documents per contract, each with some fields: the last non-null value of each field wins."""
+    merged = L.upsert_contracts(_old_contracts(spark, sf_dir), _item_documents(spark, sf_dir), "position")
+    return merged.withColumn("estimated_cost", F.col("estimated_cost").cast(DOUBLE))
+
+
+def _old_contracts(spark, sf_dir):
+    return _open_contracts(spark, sf_dir).select("contract_number", "type_of_work", "location", "estimated_cost", "wbs_element")
+
+
+def _item_documents(spark, sf_dir):
     pos = F.col("position")
-    incoming = star.items(spark, sf_dir).select(
+    return star.items(spark, sf_dir).select(
         "contract_number", "position",
         F.when(pos % 2 == 0, F.col("item_code")).alias("type_of_work"),
         F.when(pos % 3 == 0, F.col("description")).alias("location"),
         F.col("total_price").alias("estimated_cost"),
     )
-    old = _open_contracts(spark, sf_dir).select("contract_number", "type_of_work", "location", "estimated_cost", "wbs_element")
-    merged = L.upsert_contracts(old, incoming, "position")
-    return merged.withColumn("estimated_cost", F.col("estimated_cost").cast(DOUBLE))
+
+
+def _stored_upsert(spark, sf_dir):
+    """Old contracts in one commit of a store, then the documents of contracts that end in 7 in another; its feed and the store."""
+    store = SnapshotStore(spark, fresh_path(spark, "store"))
+    first = store.change("run-0")
+    old = _old_contracts(spark, sf_dir)
+    first.create("contracts", L.KEY, old.schema)
+    first.append("contracts", old)
+    first.commit()
+    second = store.change(RUN)
+    incoming = _item_documents(spark, sf_dir).where("contract_number LIKE '%7'").withColumn(
+        "estimated_cost", F.col("estimated_cost").cast("decimal(15,2)"))
+    feed = upsert(second, "contracts", incoming, "position")
+    second.commit()
+    return feed, store
+
+
+_SEVENS = """(SELECT contract_number, arg_max(item_code, position) FILTER (position % 2 = 0) AS type_of_work,
+      arg_max(description, position) FILTER (position % 3 = 0) AS location, arg_max(total_price, position) AS cost
+    FROM it WHERE contract_number LIKE '%7' GROUP BY 1)"""
+
+
+@query(f"""SELECT coalesce(n.contract_number, e.contract_number) AS contract_number, coalesce(n.type_of_work, e.type_of_work) AS type_of_work,
+  coalesce(n.location, e.location) AS location, CAST(coalesce(n.cost, e.estimated_cost) AS DOUBLE) AS estimated_cost, e.wbs_element
+  FROM (SELECT * FROM o WHERE o_orderstatus = 'F') e FULL JOIN {_SEVENS} n ON n.contract_number = e.contract_number""")
+def snapshot_upsert(spark, sf_dir):
+    """A batch into a store of bucketed snapshots; the whole table as of its last commit."""
+    _, store = _stored_upsert(spark, sf_dir)
+    return store.read("contracts").withColumn("estimated_cost", F.col("estimated_cost").cast(DOUBLE))
+
+
+@query(f"""SELECT n.contract_number, CASE WHEN e.k IS NULL THEN 'inserted' WHEN n.type_of_work IS DISTINCT FROM e.type_of_work
+      AND n.type_of_work IS NOT NULL OR n.location IS DISTINCT FROM e.location AND n.location IS NOT NULL
+      OR n.cost IS DISTINCT FROM e.estimated_cost AND n.cost IS NOT NULL THEN 'updated' ELSE 'unchanged' END AS change,
+    concat_ws(',', CASE WHEN n.cost IS NOT NULL AND n.cost IS DISTINCT FROM e.estimated_cost THEN 'estimated_cost' END,
+      CASE WHEN n.location IS NOT NULL AND n.location IS DISTINCT FROM e.location THEN 'location' END,
+      CASE WHEN n.type_of_work IS NOT NULL AND n.type_of_work IS DISTINCT FROM e.type_of_work THEN 'type_of_work' END) AS columns,
+    e.k IS NOT NULL AND (n.cost IS NULL OR n.cost IS NOT DISTINCT FROM e.estimated_cost) AND (n.location IS NULL OR n.location IS NOT DISTINCT
+      FROM e.location) AND (n.type_of_work IS NULL OR n.type_of_work IS NOT DISTINCT FROM e.type_of_work) AS same_hash
+  FROM {_SEVENS} n LEFT JOIN (SELECT * FROM o WHERE o_orderstatus = 'F') e ON n.contract_number = e.contract_number""")
+def change_feed(spark, sf_dir):
+    """What that batch did to each of its contracts."""
+    feed, _ = _stored_upsert(spark, sf_dir)
+    same = F.coalesce(F.col("before_hash") == F.col("after_hash"), F.lit(False))
+    return feed.select("contract_number", "change", F.array_join("columns", ",").alias("columns"), same.alias("same_hash"))
 
 
 @query("""SELECT contract_number, bidder_name, CAST(total_bid_amount AS DOUBLE) AS total_bid_amount FROM (

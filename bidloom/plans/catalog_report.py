@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import report as R
+from ..session import fresh_path
+from ..sources.pages import documents
 from ..streaming import ingest as ST
+from ..streaming.gather import use_rocksdb, whole_documents
 from . import bidstar as star
 from .registry import query
 
@@ -174,3 +177,23 @@ def stream_window_counts(spark, sf_dir):
     return table.select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"), "document_type", "results", "successful", "failed",
         F.col("total_time").cast(DOUBLE).alias("total_time"))
+
+
+@query("""SELECT 'conv/' || doc_id AS file_path, count(*) AS page_count, count(*) FILTER (NOT blank) AS pages_with_content,
+  sha256(string_agg(text, chr(10) ORDER BY page_no) || chr(10)) AS text_sha256 FROM p GROUP BY doc_id""")
+def gathered_pages(spark, sf_dir):
+    """Pages of each document land in three deliveries, a run after each; some pages come twice. Every document comes out once, whole."""
+    pages = star.pages(spark, sf_dir)
+    counts = pages.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("page_count"))
+    rows = pages.join(counts, "doc_id").select(
+        F.concat(F.lit("conv/"), F.col("doc_id").cast("string")).alias("file_path"), "page_no", "text",
+        F.when(F.col("page_no") % 2 == 0, F.col("page_count")).alias("page_count"))
+    land, home = fresh_path(spark, "landing"), fresh_path(spark, "gathered")
+    use_rocksdb(spark)
+    for delivery in (2, 0, 1):
+        again = F.col("page_no") % 5 == delivery
+        rows.where((F.col("page_no") % 3 == delivery) | again).write.mode("append").parquet(land)
+        stream = whole_documents(ST.landing_stream(spark, land, rows.schema))
+        done = ST.collect_batches(stream, lambda df: df, "gathered", home, idle=False)
+    docs = documents(done.where("page_error is null"), ["file_path", "file_version"])
+    return docs.select("file_path", "page_count", "pages_with_content", F.sha2("text", 256).alias("text_sha256"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,11 @@ from ..operators.status import UNCHANGED
 from ..session import materialise
 from ..sources import sinks
 from ..sources.pages import documents
+from ..sources.snapshots import SnapshotStore
+from ..streaming.gather import use_rocksdb, whole_documents
 from ..streaming.ingest import collect_batches
 from .documents import process_documents
+from .store import load_batch
 
 DOCUMENT = ["file_path", "first_page", "text", "text_length", "pages_with_content", "page_count", "page_ends"]
 
@@ -74,12 +79,17 @@ def _skipped(files: DataFrame, state: DataFrame, run_id: str, results: DataFrame
 
 def finish_batch(
     results: DataFrame, out: str, run_id: str, tables: dict[str, DataFrame] | None = None, output_format: str = "parquet",
-    state: DataFrame | None = None, summary_only: bool = False,
+    state: DataFrame | None = None, summary_only: bool = False, store: SnapshotStore | None = None,
+    run_ts: datetime.datetime | None = None,
 ) -> dict[str, str]:
     """Write everything a run leaves behind and return the paths.
 
-    The results are written once; every summary, table and report reads that copy instead of extracting again.
+    The results are written once; every summary, table and report reads that copy instead of extracting again. With a `store` the run's
+    tables, refused rows, changes and state are loaded into it in one commit, last (`load_batch`); `commit` is then its version. With
+    `tables` (and `state`) new whole tables are written beside the old ones instead. Rows of contracts are stamped with `run_ts`,
+    which is the present by default.
     """
+    run_ts = run_ts or datetime.datetime.now(datetime.timezone.utc)
     stored = materialise(results, f"results-{run_id}")
     judged = materialise(validate.validate_results(stored), f"rules-{run_id}")
     paths = {"results": sinks.write_results(stored, out, run_id, output_format)}
@@ -92,20 +102,41 @@ def finish_batch(
     sinks.write_items_report(report.items_report(stored), paths["items_report"])
     if tables is not None:
         paths["tables"] = f"{out}/tables/run_id={run_id}"
-        sinks.save_tables(load.load_tables(stored, tables), paths["tables"])
+        loaded = load.load_tables(stored, tables, run_ts=F.lit(run_ts).cast("timestamp"))
+        sinks.save_tables(loaded | {"rejected_rows": load.rejected_rows(stored)}, paths["tables"])
     if state is not None:
         done = stored.select("file_path", "status", "meta.file_hash", "meta.file_size_bytes", "meta.file_mtime")
         # last, so that a run that breaks earlier is repeated in full
         paths["state"] = incremental.write_state(incremental.merge_state(state, done), f"{out}/state", run_id)
+    if store is not None:
+        paths["commit"] = str(load_batch(stored, store, run_id, run_ts).version)
     return paths
 
 
+def gathered_documents(rows: DataFrame) -> DataFrame:
+    """Document table from rows of `whole_documents`; a document that did not become whole has no text and a `read_error`."""
+    keys = ["file_path", "file_version"]
+    whole = documents(rows.where("page_error is null").drop("page_error"), keys).withColumn("read_error", F.lit(None).cast("string"))
+    broken = rows.where("page_error is not null").select(*keys, F.col("page_error").alias("read_error"))
+    return whole.unionByName(broken, allowMissingColumns=True).withColumn(
+        "file_hash", F.nullif(F.col("file_version"), F.lit(""))).drop("file_version")
+
+
 def ingest_landing(
-    page_stream: DataFrame, run_id: str, config: MappingConfig | None = None, home: str | None = None
+    page_stream: DataFrame, run_id: str, config: MappingConfig | None = None, home: str | None = None, hold: str | None = "1 day"
 ) -> DataFrame:
     """Process every page file that has landed, in micro-batches, and return the results table.
 
-    A document's pages arrive in one file, hence in one micro-batch. With the same `home` a later call processes only
-    files that have landed since; the table holds the results of all calls.
+    With a column `page_count`, the pages of a document may arrive in any number of files, in any order, in this run or later ones: its
+    result appears once, when the document is whole (`whole_documents`). `file_version`, if given, is the file's hash: a version that has
+    been processed is not processed again when it lands anew. A document that is still not whole `hold` after its first page fails.
+    Without that column a document's pages arrive in one file, hence in one micro-batch.
+
+    With the same `home` a later call processes only files that have landed since; the table holds the results of all calls.
     """
-    return collect_batches(page_stream, lambda pages: process_documents(documents(pages), run_id, config), "landing", home)
+    if "page_count" not in page_stream.columns:
+        return collect_batches(page_stream, lambda pages: process_documents(documents(pages), run_id, config), "landing", home)
+    use_rocksdb(page_stream.sparkSession)
+    return collect_batches(
+        whole_documents(page_stream, hold), lambda rows: process_documents(gathered_documents(rows), run_id, config), "landing", home,
+        idle=hold is None, rows_once=True)

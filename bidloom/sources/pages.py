@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -47,21 +48,21 @@ def text_stats(pages: DataFrame) -> DataFrame:
     )
 
 
-def documents(pages: DataFrame) -> DataFrame:
-    """Document table for `process_documents`: text, first page and statistics from one shuffle.
+def documents(pages: DataFrame, keys: Sequence[str] = ("file_path",)) -> DataFrame:
+    """Document table for `process_documents`: text, first page and statistics from one shuffle, a row for each value of `keys`.
 
     `page_ends` counts, for every page, the characters of the text up to and with that page's line break.
     """
     shown = ~_blank(F.col("text"))
     page = F.struct("page_no", F.coalesce("text", F.lit("")).alias("text"))
-    grouped = pages.groupBy("file_path").agg(
+    grouped = pages.groupBy(*keys).agg(
         F.array_sort(F.collect_list(page)).alias("_pages"),
         F.coalesce(F.sum(F.when(shown, F.length("text").cast("bigint"))), F.lit(0)).alias("text_length"),
         F.count_if(shown).alias("pages_with_content"),
         F.count(F.lit(1)).alias("page_count"),
     )
     return grouped.select(
-        "file_path",
+        *keys,
         F.when(F.col("_pages")[0]["page_no"] == 0, F.col("_pages")[0]["text"]).alias("first_page"),
         F.concat(F.array_join(F.transform("_pages", lambda p: p["text"]), "\n"), F.lit("\n")).alias("text"),
         "text_length", "pages_with_content", "page_count",

@@ -19,14 +19,26 @@ def landing_stream(spark: SparkSession, path: str, schema, max_files: int | None
     return reader.parquet(path)
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str) -> None:
-    """Process everything that has arrived, in micro-batches, then stop: the periodic batch job."""
-    query = (
-        stream.writeStream.foreachBatch(sink)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, idle: bool = True) -> None:
+    """Process everything that has arrived, in micro-batches, then stop: the periodic batch job.
+
+    Without `idle` only batches with new rows run. A stream with timers on the clock needs that: it always has another idle batch to
+    run and would not stop; its timers are looked at whenever rows come.
+    """
+    conf, before = stream.sparkSession.conf, stream.sparkSession.conf.get(IDLE_BATCHES)
+    conf.set(IDLE_BATCHES, "true" if idle else "false")  # a query keeps the settings of its start
+    try:
+        query = (
+            stream.writeStream.foreachBatch(sink)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        conf.set(IDLE_BATCHES, before)
     query.awaitTermination()
 
 
@@ -39,22 +51,30 @@ def written(spark: SparkSession, schema, path: str) -> DataFrame:
 
 
 def collect_batches(
-    stream: DataFrame, batch: Callable[[DataFrame], DataFrame], purpose: str, home: str | None = None
+    stream: DataFrame, batch: Callable[[DataFrame], DataFrame], purpose: str, home: str | None = None, idle: bool = True,
+    rows_once: bool = False,
 ) -> DataFrame:
     """Run `batch` on every micro-batch and return the written table.
 
     Each batch overwrites its own folder, named by the batch id, so a batch that is run again after a
     failure replaces its first attempt instead of adding to it. With the same `home` (output and
     checkpoint) a later call takes up only what has arrived since, and the table holds the rows of all calls.
-    An empty landing folder gives no rows.
+    An empty landing folder gives no rows. `idle` as in `run_available`. With `rows_once` the rows of a micro-batch are written before
+    `batch` reads them, as a stateful stream needs whose rows are read more than once, and a batch without rows is left out.
     """
     spark = stream.sparkSession
     home = home or fresh_path(spark, purpose)
 
     def write(df: DataFrame, batch_id: int) -> None:
+        if rows_once:
+            path = f"{home}/rows/batch={batch_id}"
+            df.write.mode("overwrite").parquet(path)
+            df = spark.read.schema(df.schema).parquet(path)
+            if df.isEmpty():
+                return
         batch(df).write.mode("overwrite").parquet(f"{home}/out/batch={batch_id}")
 
-    run_available(stream, write, f"{home}/checkpoint")
+    run_available(stream, write, f"{home}/checkpoint", idle)
     schema = batch(spark.createDataFrame([], stream.schema)).schema
     return written(spark, schema, f"{home}/out/batch=*")
 
