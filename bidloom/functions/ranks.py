@@ -1,8 +1,8 @@
 """Exact running counts and quantiles whose work never gathers a whole group in one task.
 
 A plain window or `percentile` puts each group into a single task. Here a group is cut into blocks of
-bounded size by the value itself; only the per-block totals of a group meet, and each row combines
-its block's offset with its rank inside the block.
+bounded size, by position or by its own quantiles; only the per-block totals of a group meet, and each row
+combines its block's offset with its rank inside the block.
 """
 
 from __future__ import annotations
@@ -11,11 +11,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows per positional block.
 BLOCK = 1 << 16
-#: Bits per level when an integer value is cut into high, middle and low parts.
-LEVEL_BITS = 21
+#: Blocks that a group of more than BLOCK distinct values is cut into, and the rank error of the sketch that cuts it, as a share.
+PARTS, PRECISION = 256, 10_000
 
 
 def running_count(
@@ -42,68 +43,48 @@ def running_count(
     )
 
 
-def _interpolated(low: Column, high: Column, weight: Column, scale: int) -> Column:
-    unit = float(10**scale)
-    return (low / unit) * (1 - weight) + (high / unit) * weight
+def value_ranks(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct values of each group with their ranks: (keys, _v, _n, _first, _rows). Nulls and NaN are left out.
 
-
-def unscaled(value: str, scale: int) -> Column:
-    """The value as an integer number of its last digit; a value with more than `scale` fraction digits is an error, not cut."""
-    exact = F.col(value).cast(f"decimal(30,{scale})")
-    fits = F.col(value).isNull() | (exact.cast("double") == F.col(value).cast("double"))
-    error = F.raise_error(F.concat(F.lit(f"{value} has more than {scale} fraction digits: "), F.col(value).cast("string")))
-    return F.when(fits, (exact * F.lit(10**scale)).cast("bigint")).otherwise(error.cast("bigint"))
-
-
-def value_ranks(df: DataFrame, keys: Sequence[str], value: str, scale: int = 2) -> DataFrame:
-    """Distinct values of each group with their ranks: (keys, _v, _n, _first, _rows).
-
-    `_v` is the unscaled integer of a decimal with `scale` fraction digits, `_n` its number of rows, `_first` the
-    number of rows with a smaller value and `_rows` that of the group. Equal values are counted together first; the
-    distinct ones are ranked level by level, so no window holds more than 2**21 rows.
-    """
-    keys = list(keys)
-    mask = F.lit((1 << LEVEL_BITS) - 1).cast("bigint")
-    values = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, unscaled(value, scale).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_top", F.shiftright("_v", 2 * LEVEL_BITS))
-        .withColumn("_mid", F.shiftright("_v", LEVEL_BITS).bitwiseAND(mask))
-    )
-    mids = values.groupBy(*keys, "_top", "_mid").agg(F.sum("_n").alias("_n_mid"))
-    tops = mids.groupBy(*keys, "_top").agg(F.sum("_n_mid").alias("_n_top"))
-
-    def before(col: str, partition: list[str], order: str) -> Column:
-        rows = Window.rowsBetween(Window.unboundedPreceding, -1)
-        frame = rows.partitionBy(*partition).orderBy(order) if partition else rows.orderBy(order)
-        return F.coalesce(F.sum(col).over(frame), F.lit(0))
-
-    whole = Window.partitionBy(*keys)
-    tops = tops.select(
-        *keys, "_top", before("_n_top", keys, "_top").alias("_b_top"), F.sum("_n_top").over(whole).alias("_rows")
-    )
-    mids = mids.withColumn("_b_mid", before("_n_mid", [*keys, "_top"], "_mid")).join(tops, [*keys, "_top"])
-    return (
-        values.withColumn("_b_low", before("_n", [*keys, "_top", "_mid"], "_v"))
-        .join(mids, [*keys, "_top", "_mid"])
-        .select(*keys, "_v", "_n", (F.col("_b_top") + F.col("_b_mid") + F.col("_b_low")).alias("_first"), "_rows")
-    )
-
-
-def blocked_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], scale: int = 2
-) -> DataFrame:
-    """Exact linear-interpolation quantiles for groups of any size, from `value_ranks`.
-
-    Also returns the group's non-null row count as `n`, and `mean`, `lowest` and `highest`.
+    `_v` is the value, of any type that has an order and quantiles, `_n` its number of rows, `_first` the number of rows with a smaller
+    value and `_rows` that of the group. Equal values are counted together first. A group of up to BLOCK distinct values is one block; a
+    larger one is cut at PARTS quantiles of a mergeable sketch, so that no window holds more than BLOCK values or about a PARTS-th of a
+    group. The sketch only decides where the cuts are: ranks are exact.
     """
     keys = list(keys)
-    ranked = value_ranks(df, keys, value, scale)
+    rows = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    if isinstance(rows.schema["_v"].dataType, (T.DoubleType, T.FloatType)):
+        rows = rows.where(~F.isnan("_v"))
+    by = keys or ["_all"]
+    if not keys:
+        rows = rows.withColumn("_all", F.lit(0))
+    values = rows.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # every large group has more than BLOCK of the values, so there are few of them
+    large = values.groupBy(*by).agg(F.count(F.lit(1)).alias("_d")).where(F.col("_d") > BLOCK).drop("_d")
+    shares = F.array(*(F.lit(k / PARTS) for k in range(1, PARTS)))
+    cuts = values.join(large, by, "left_semi").groupBy(*by).agg(F.approx_percentile("_v", shares, PRECISION).alias("_cuts"))
+    block = F.coalesce(F.size(F.filter("_cuts", lambda c: c < F.col("_v"))), F.lit(0))
+    dealt = values.join(cuts, by, "left").select(*by, "_v", "_n", block.alias("_block"))
+    whole = Window.partitionBy(*by, "_block")
+    upto = whole.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    local = dealt.select(
+        *by, "_block", "_v", "_n", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_below"), F.sum("_n").over(whole).alias("_here"))
+    totals = values.join(cuts, by).groupBy(*by, block.alias("_block")).agg(F.sum("_n").alias("_t"))
+    before = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *by, "_block", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"), F.sum("_t").over(Window.partitionBy(*by)).alias("_all_rows"))
+    return local.join(offsets, [*by, "_block"], "left").select(
+        *keys, "_v", "_n", (F.col("_below") + F.coalesce("_base", F.lit(0))).alias("_first"),
+        F.coalesce("_all_rows", "_here").alias("_rows"))
+
+
+def quantiles_of(ranked: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolation quantiles from `value_ranks`, with the group's row count `n`, `mean`, `lowest` and `highest`."""
+    number = F.col("_v").cast("double")
 
     def at(rank: Column) -> Column:
         holds = (F.col("_first") <= rank) & (rank < F.col("_first") + F.col("_n"))
-        return F.max(F.when(holds, F.col("_v")))
+        return F.max(F.when(holds, number))
 
     aggs, outs = [], []
     for name, p in probs.items():
@@ -114,19 +95,18 @@ def blocked_quantiles(
             at(F.least(low + 1, F.col("_rows") - 1)).alias(f"_{name}_hi"),
             F.max(place - low).alias(f"_{name}_w"),
         ]
-        outs.append(
-            _interpolated(F.col(f"_{name}_lo"), F.col(f"_{name}_hi"), F.col(f"_{name}_w"), scale).alias(name)
-        )
+        weight = F.col(f"_{name}_w")
+        outs.append((F.col(f"_{name}_lo") * (1 - weight) + F.col(f"_{name}_hi") * weight).alias(name))
+    exact = isinstance(ranked.schema["_v"].dataType, (T.DecimalType, T.IntegralType))
+    total = F.col("_v").cast("decimal(20,4)") * F.col("_n").cast("decimal(18,0)") if exact else number * F.col("_n")
     return (
         ranked.groupBy(*keys)
-        .agg(
-            F.max("_rows").alias("n"),
-            F.sum(F.col("_v").cast("decimal(20,0)") * F.col("_n").cast("decimal(18,0)")).alias("_total"),
-            F.min("_v").alias("_min"),
-            F.max("_v").alias("_max"),
-            *aggs,
-        )
-        .select(*keys, "n", (F.col("_total").cast("double") / F.col("n") / float(10**scale)).alias("mean"),
-                (F.col("_min") / float(10**scale)).alias("lowest"),
-                (F.col("_max") / float(10**scale)).alias("highest"), *outs)
+        .agg(F.max("_rows").alias("n"), F.sum(total).alias("_total"), F.min(number).alias("lowest"), F.max(number).alias("highest"), *aggs)
+        .where(F.col("n").isNotNull())
+        .select(*keys, "n", (F.col("_total").cast("double") / F.col("n")).alias("mean"), "lowest", "highest", *outs)
     )
+
+
+def blocked_quantiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Exact linear-interpolation quantiles for groups of any size and values of any digits; also `n`, `mean`, `lowest`, `highest`."""
+    return quantiles_of(value_ranks(df, keys, value), list(keys), probs)

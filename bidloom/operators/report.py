@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.parse import percent_text
-from ..functions.ranks import blocked_quantiles, unscaled, value_ranks
+from ..functions.ranks import blocked_quantiles, quantiles_of, value_ranks
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -84,30 +84,28 @@ def timing_metrics(results: DataFrame, time: str = "processing_time") -> DataFra
     )
 
 
-def describe_by_type(results: DataFrame, value: str, scale: int) -> DataFrame:
-    """count, mean, sample deviation, minimum, quartiles, maximum of a decimal column per document type.
+def describe_by_type(results: DataFrame, value: str) -> DataFrame:
+    """count, mean, sample deviation, minimum, quartiles, maximum of a numeric column per document type.
 
     There are few types and many rows of each, so the quartiles come from the blocked form.
     """
     spread = results.where(F.col(value).isNotNull()).groupBy("document_type").agg(
         F.stddev_samp(F.col(value).cast("double")).alias("std")
     )
-    return blocked_quantiles(results, ["document_type"], value, QUARTILES, scale).join(spread, "document_type").select(
+    return blocked_quantiles(results, ["document_type"], value, QUARTILES).join(spread, "document_type").select(
         "document_type", F.col("n").alias("count"), "mean", "std", F.col("lowest").alias("min"),
         *QUARTILES, F.col("highest").alias("max"),
     )
 
 
-def boxplot_by_type(results: DataFrame, value: str, scale: int) -> DataFrame:
+def boxplot_by_type(results: DataFrame, value: str) -> DataFrame:
     """Quartiles, whiskers (furthest values within 1.5 IQR) and the number of points outside."""
-    boxes = blocked_quantiles(results, ["document_type"], value, QUARTILES, scale).withColumn(
-        "_iqr", F.col("p75") - F.col("p25")
-    )
-    number = F.col(value).cast("double")
+    ranked = value_ranks(results, ["document_type"], value)
+    boxes = quantiles_of(ranked, ["document_type"], QUARTILES).withColumn("_iqr", F.col("p75") - F.col("p25"))
+    number = F.col("_v").cast("double")
     inside = number.between(F.col("p25") - 1.5 * F.col("_iqr"), F.col("p75") + 1.5 * F.col("_iqr"))
-    # equal values of a type are one row from here on, so the few type keys carry little into the join
-    points = results.where(F.col(value).isNotNull()).groupBy("document_type", value).agg(F.count(F.lit(1)).alias("_n"))
-    return points.join(boxes, "document_type").groupBy("document_type").agg(
+    # equal values of a type are one row, so the few type keys carry little into the join
+    return ranked.join(boxes, "document_type").groupBy("document_type").agg(
         F.first("p25").alias("q1"), F.first("p50").alias("median"), F.first("p75").alias("q3"),
         F.min(F.when(inside, number)).alias("whisker_low"),
         F.max(F.when(inside, number)).alias("whisker_high"),
@@ -131,7 +129,7 @@ def contract_coverage(results: DataFrame) -> DataFrame:
 
 
 def award_stats(contracts: DataFrame, value: str = "awarded_amount") -> DataFrame:
-    stats = blocked_quantiles(contracts, [], value, {"median": 0.5}, 2)
+    stats = blocked_quantiles(contracts, [], value, {"median": 0.5})
     return stats.select(F.col("n").alias("count"), "mean", "median", F.col("lowest").alias("min"), F.col("highest").alias("max"))
 
 
@@ -163,22 +161,21 @@ def items_report(results: DataFrame) -> DataFrame:
 def bid_ranking(bidders: DataFrame, contracts: DataFrame) -> DataFrame:
     """Rank by amount within the contract, with percent over the low bid and over the estimate.
 
-    The rank counts strictly lower bids, equal bids share it. It is found per distinct amount and joined back.
+    The rank counts strictly lower bids, equal bids share it. It is found per distinct amount; the low bid of a contract, which is the
+    amount without lower ones, and its estimate come as one row a contract.
     """
     key = "contract_number"
-    priced = bidders.where("total_bid_amount is not null")
-    ranked = value_ranks(priced, [key], "total_bid_amount").select(key, "_v", (F.col("_first") + 1).alias("rank"))
-    low = priced.groupBy(key).agg(F.min("total_bid_amount").alias("low_bid"))
+    ranked = value_ranks(bidders, [key], "total_bid_amount")
+    low = ranked.where("_first = 0").select(key, F.col("_v").alias("low_bid"))
+    bases = contracts.select(key, "estimated_cost").join(low, key, "full_outer")
     amount = F.col("total_bid_amount").cast("double")
 
     def over(base: str) -> Column:
         return F.try_divide(amount - F.col(base).cast("double"), F.col(base).cast("double")) * 100
 
+    places = ranked.select(key, F.col("_v").alias("total_bid_amount"), (F.col("_first") + 1).alias("rank"))
     return (
-        bidders.withColumn("_v", unscaled("total_bid_amount", 2))
-        .join(ranked, [key, "_v"], "left")
-        .join(low, key, "left")
-        .join(contracts.select(key, "estimated_cost"), key, "left")
+        bidders.join(places, [key, "total_bid_amount"], "left").join(bases, key, "left")
         .select(key, "bidder_name", "total_bid_amount", "rank",
                 over("low_bid").alias("over_low"), over("estimated_cost").alias("over_estimate"))
     )

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import falsy, money_text
-from ..functions.ranks import blocked_quantiles
-from ..functions.text import computed_once, let
+from ..functions.ranks import quantiles_of, value_ranks
+from ..functions.text import computed_once, let, running_fold
 
 # Tolerances and messages
 AWARD_TOLERANCE = 0.01
@@ -88,28 +88,45 @@ def goals_rule(mbe: Column, wbe: Column, combined: Column) -> Column:
     )
 
 
-def items_rule(bidders: Column, items: Column) -> Column:
-    """Only items that name their bidder and have a price can count for a bidder."""
+def _item_sums(bidders: Column, items: Column) -> Column:
+    """For every bidder, in order: (at, n, sum) of its items, in n log n.
+
+    Items that name their bidder and have a price are sorted by name together with the bidders, each bidder behind its items, and one
+    fold over them carries the count and sum of the current name."""
+    price = "decimal(28,2)"
+    event = lambda name, side, at, amount: F.struct(
+        name.alias("name"), F.lit(side).alias("side"), at.cast("int").alias("at"), amount.cast(price).alias("price"))
     named = F.filter(items, lambda i: i["bidder_name"].isNotNull() & ~falsy(i["total_price"]))
+    sold = F.transform(named, lambda i: event(i["bidder_name"], 0, F.lit(0), i["total_price"]))
+    asked = F.transform(bidders, lambda b, at: event(b["bidder_name"], 1, at, F.lit(0)))
 
-    def mismatch(bidder: Column, priced: Column) -> Column:
-        own = F.filter(priced, lambda i: i["bidder_name"] == bidder["bidder_name"])
-        total = F.aggregate(
-            own, F.lit(0).cast("decimal(28,2)"), lambda acc, i: (acc + i["total_price"]).cast("decimal(28,2)")
-        )
-        return let(F.struct(F.size(own).alias("n"), total.alias("sum")), lambda s: F.when(
+    def step(run: Column, e: Column) -> tuple[Column, Column]:
+        same, item = F.coalesce(run["name"] == e["name"], F.lit(False)), e["side"] == 0
+        n = F.when(same, run["n"]).otherwise(0) + F.when(item, 1).otherwise(0)
+        total = (F.when(same, run["sum"]).otherwise(F.lit(0).cast(price)) + e["price"]).cast(price)
+        state = F.struct(e["name"].alias("name"), n.cast("int").alias("n"), total.alias("sum"))
+        return state, F.when(~item, F.struct(e["at"].alias("at"), n.cast("int").alias("n"), total.alias("sum")))
+
+    start = F.struct(F.lit(None).cast("string").alias("name"), F.lit(0).alias("n"), F.lit(0).cast(price).alias("sum"))
+    return F.array_sort(running_fold(F.array_sort(F.concat(sold, asked)), start, step, f"struct<at:int,n:int,sum:{price}>"))
+
+
+def items_rule(bidders: Column, items: Column) -> Column:
+    """Only items that name their bidder and have a price can count for a bidder."""
+    def mismatch(bidder: Column, own: Column) -> Column:
+        return F.when(
             ~falsy(bidder["bidder_name"], "text") & ~falsy(bidder["total_bid_amount"])
-            & _far(bidder["total_bid_amount"], s["sum"], ITEM_TOLERANCE),
+            & _far(bidder["total_bid_amount"], own["sum"], ITEM_TOLERANCE),
             F.concat(bidder["bidder_name"], F.lit(": total=$"), money_text(bidder["total_bid_amount"]),
-                     F.lit(", items_sum=$"), F.when(s["n"] == 0, "0").otherwise(money_text(s["sum"]))),
-        ))
+                     F.lit(", items_sum=$"), F.when(own["n"] == 0, "0").otherwise(money_text(own["sum"]))),
+        )
 
     def judged(found: Column) -> Column:
         return F.when(F.size(found) > 0, _verdict(
             False, F.concat(F.lit("Bid items sum mismatch: "), F.array_join(found, "; "))
         )).otherwise(_verdict(True, ITEMS_OK))
 
-    texts = let(named, lambda priced: F.array_compact(F.transform(bidders, lambda b: mismatch(b, priced))))
+    texts = F.array_compact(F.zip_with(bidders, _item_sums(bidders, items), mismatch))
     return F.when(falsy(bidders, "list") | falsy(items, "list"), _verdict(True, NO_ITEMS)).otherwise(let(texts, judged))
 
 
@@ -238,15 +255,14 @@ def bid_items_sum(contracts: DataFrame, bidders: DataFrame, items: DataFrame) ->
 def bid_fences(bidders: DataFrame) -> DataFrame:
     """Per contract: number of bids, quartiles and number of bids outside the fences, for contracts of any size.
 
-    Equal amounts are counted together first; the fences come from exact quantiles and are compared with the distinct amounts.
+    Equal amounts are counted together first; the fences come from the exact ranks of the distinct amounts and are compared with them.
     """
-    rows = bidders.where("total_bid_amount is not null").select(KEY, "total_bid_amount")
-    amount = F.col("total_bid_amount").cast("double")
+    ranked = value_ranks(bidders, [KEY], "total_bid_amount")
+    amount = F.col("_v").cast("double")
     step = FENCE * (F.col("q3") - F.col("q1"))
     outside = (amount < F.col("q1") - step) | (amount > F.col("q3") + step)
-    fences = blocked_quantiles(rows, [KEY], "total_bid_amount", {"q1": 0.25, "q3": 0.75}, scale=2).select(KEY, "n", "q1", "q3")
-    levels = rows.groupBy(KEY, "total_bid_amount").agg(F.count(F.lit(1)).alias("_n"))
-    return levels.join(fences, KEY).groupBy(KEY).agg(
+    fences = quantiles_of(ranked, [KEY], {"q1": 0.25, "q3": 0.75}).select(KEY, "n", "q1", "q3")
+    return ranked.join(fences, KEY).groupBy(KEY).agg(
         F.max("n").alias("n"), F.max("q1").alias("q1"), F.max("q3").alias("q3"),
         F.sum(F.when(outside, F.col("_n")).otherwise(0)).alias("outliers"),
     )

@@ -1,12 +1,13 @@
 """Blocked ranks and quantiles against brute force, with one group holding most rows."""
 
 import random
+import time
 from decimal import Decimal
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
+from bidloom.functions import ranks
 from bidloom.functions.ranks import blocked_quantiles, running_count, value_ranks
 from bidloom.operators import report as R
 from bidloom.operators import validate as V
@@ -66,11 +67,46 @@ def test_outlier_rule_equals_numpy_for_groups_of_all_sizes(spark):
         assert r.outliers == ((amounts < q1 - 1.5 * (q3 - q1)) | (amounts > q3 + 1.5 * (q3 - q1))).sum()
 
 
-def test_values_with_more_digits_are_refused(spark):
-    times = spark.createDataFrame([("t", 0.051), ("t", 0.0745)], "k string, v double")
-    assert [r._v for r in value_ranks(times, ["k"], "v", 4).orderBy("_v").collect()] == [510, 745]
-    with pytest.raises(Exception, match="more than 2 fraction digits"):
-        value_ranks(times, ["k"], "v", 2).collect()
+def test_doubles_of_any_digits_and_special_values(spark):
+    rnd = random.Random(7)
+    rows = [("t", 0.051), ("t", 0.0745), ("t", -0.0), ("t", 0.0), ("t", float("nan")), ("t", None), ("u", float("inf")), ("u", -1e300), ("u", 5e-324)]
+    rows += [("big", rnd.lognormvariate(0, 9)) for _ in range(2000)]
+    times = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    ranked = value_ranks(times, ["k"], "v")
+    assert [(r._v, r._n, r._first, r._rows) for r in ranked.where("k = 't'").orderBy("_v").collect()] == [(0.0, 2, 0, 4), (0.051, 1, 2, 4), (0.0745, 1, 3, 4)]
+    assert [(r._v, r._first) for r in ranked.where("k = 'u'").orderBy("_v").collect()] == [(-1e300, 0), (5e-324, 1), (float("inf"), 2)]
+    quartiles = {r.k: (r.a, r.b) for r in blocked_quantiles(times.where("k = 'big'"), ["k"], "v", {"a": 0.25, "b": 0.9}).collect()}
+    assert np.allclose(quartiles["big"], np.quantile([v for k, v in rows if k == "big"], [0.25, 0.9]), rtol=1e-12)
+
+
+def test_large_groups_are_cut_at_their_quantiles_and_ranks_stay_exact(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "BLOCK", 50)
+    monkeypatch.setattr(ranks, "PARTS", 16)
+    rows, df = skewed(spark)
+    values = {}
+    for k, v in rows:
+        values.setdefault(k, []).append(v)
+    found = value_ranks(df, ["k"], "v").collect()
+    assert sum(r._n for r in found) == len(rows)
+    for r in found:
+        assert (r._first, r._rows, r._n) == (sum(v < r._v for v in values[r.k]), len(values[r.k]), values[r.k].count(r._v))
+    whole = value_ranks(df, [], "v").collect()
+    every = sorted(v for _, v in rows)
+    assert all(r._first == sum(v < r._v for v in every) and r._rows == len(every) for r in whole)
+
+
+def test_item_sums_of_long_lists_take_seconds(spark):
+    n = 20_000
+    lists = spark.range(1).select(
+        F.expr(f"transform(sequence(1, {n}), i -> named_struct('bidder_name', concat('B', i % 9973), 'total_bid_amount', cast(i as decimal(18,2))))").alias("bidders"),
+        F.expr(f"transform(sequence(1, {n}), i -> named_struct('bidder_name', concat('B', i % 9973), 'total_price', cast(1 as decimal(18,2))))").alias("items"))
+    start = time.perf_counter()
+    verdict = lists.select(V.items_rule(F.col("bidders"), F.col("items")).alias("v")).first().v
+    assert time.perf_counter() - start < 20
+    sums = {f"B{k}": len(range(k or 9973, n + 1, 9973)) for k in range(9973)}
+    wrong = [(f"B{i % 9973}", i) for i in range(1, n + 1) if abs(i - sums[f"B{i % 9973}"]) > 1]
+    texts = verdict.message.removeprefix("Bid items sum mismatch: ").split("; ")
+    assert not verdict.valid and [t.split(":")[0] for t in texts] == [name for name, _ in wrong][:len(texts)] and len(texts) >= n - 10
 
 
 def test_histogram_and_box(spark):
@@ -80,7 +116,7 @@ def test_histogram_and_box(spark):
     want, _ = np.histogram([float(v) for v in values if v is not None], bins=20)
     assert [bins[i] for i in range(20)] == list(want)
     far = df.union(spark.createDataFrame([("t", Decimal(1000))], df.schema))
-    box = R.boxplot_by_type(far, "awarded_amount", 2).first()
+    box = R.boxplot_by_type(far, "awarded_amount").first()
     assert (box.whisker_low, box.whisker_high, box.outliers) == (0.0, 100.0, 1)
     assert R.award_histogram(df.where("awarded_amount is null")).count() == 0
     flat = R.award_histogram(df.where("awarded_amount = 5")).collect()
