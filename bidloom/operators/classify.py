@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -64,3 +65,78 @@ def document_type(path: Column, first_page: Column) -> Column:
 def classify(docs: DataFrame) -> DataFrame:
     """Add `document_type` to docs(file_path, first_page, ...)."""
     return docs.withColumn("document_type", document_type(F.col("file_path"), F.col("first_page")))
+
+
+#: A table of rules is configuration that every task holds: so many words at most.
+MOST_WORDS = 500_000
+RULE_TABLE = "rule_order int, label string, word_group int, word string"
+
+
+def rule_rows(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
+    """A list of rules as a table, one row a word."""
+    rows = [(n, label, g, word) for n, (label, word_groups) in enumerate(rules) for g, words in enumerate(word_groups) for word in words]
+    return spark.createDataFrame(rows, RULE_TABLE)
+
+
+class RuleIndex:
+    """Rules behind one automaton over all their words, so that a text is read once however many rules there are."""
+
+    def __init__(self, rows: Sequence[tuple[int, str, int, str]], default: str):
+        self.default = default
+        self.labels: dict[int, str] = {}
+        groups: dict[int, set[int]] = {}
+        self.needs: dict[str, set[tuple[int, int]]] = {}
+        for order, label, group, word in rows:
+            if self.labels.setdefault(order, label) != label:
+                raise ValueError(f"rule {order} has two labels")
+            groups.setdefault(order, set()).add(group)
+            self.needs.setdefault(word, set()).add((order, group))
+        self.groups = {order: len(g) for order, g in groups.items()}
+        self.always = self.needs.pop("", set())  # every text has the empty word
+        self.automaton = None
+
+    def words(self, text: str) -> set[str]:
+        import ahocorasick
+
+        if self.automaton is None:
+            self.automaton = ahocorasick.Automaton()
+            for word in self.needs:
+                self.automaton.add_word(word, word)
+            if self.needs:
+                self.automaton.make_automaton()
+        return {word for _, word in self.automaton.iter(text)} if self.needs else set()
+
+    def label(self, text: str | None) -> str:
+        """Label of the rule with the lowest order all of whose groups have a word in the text."""
+        if text is None:
+            return self.default
+        met = set(self.always).union(*(self.needs[word] for word in self.words(text)))
+        found: dict[int, int] = {}
+        for order, _ in met:
+            found[order] = found.get(order, 0) + 1
+        whole = [order for order, n in found.items() if n == self.groups[order]]
+        return self.labels[min(whole)] if whole else self.default
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"automaton": None}  # built again in each worker
+
+
+def classify_by_table(df: DataFrame, text: str, rules: DataFrame, out: str = "label", default: str = S.UNKNOWN) -> DataFrame:
+    """`rule_classify` with the rules of a table (RULE_TABLE): the column `out` is the label of the first rule that holds for the lower-cased
+    column `text`.
+
+    A chain of conditions grows with the rules and looks for each word anew; here all words are looked for in one pass over the text. The
+    rules go to every task, up to MOST_WORDS words; more are refused. Words are taken as they are, so upper case never matches."""
+    rows = [tuple(r) for r in rules.select("rule_order", "label", "word_group", "word").limit(MOST_WORDS + 1).collect()]
+    if len(rows) > MOST_WORDS:
+        raise ValueError(f"more than {MOST_WORDS} words of rules")
+    if any(x is None for row in rows for x in row):
+        raise ValueError("a rule has a null")
+    index = RuleIndex(rows, default)
+
+    @F.pandas_udf("string")
+    def labelled(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in texts:
+            yield part.map(lambda t: index.label(None if t is None or t is pd.NA else t), na_action=None)
+
+    return df.withColumn(out, labelled(F.lower(text)))

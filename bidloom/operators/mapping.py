@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from .. import schemas as S
 
 
-def _default(kind: str) -> dict:
+def default_mapping(kind: str) -> dict:
+    """The expected fields of a type under their own names, list items whole."""
     fields = S.EXPECTED_FIELDS[kind]
     lists = {"bidders": S.BIDDER_FIELDS, "bid_items": S.ITEM_FIELDS}
     mapping = {"mapping_name": f"{kind}_default", "fields": fields, "aliases": {}}
@@ -22,7 +23,7 @@ def _default(kind: str) -> dict:
     return {**mapping, "list_fields": nested} if nested else mapping
 
 
-DEFAULT_MAPPINGS = {kind: _default(kind) for kind in S.EXPECTED_FIELDS}
+DEFAULT_MAPPINGS = {kind: default_mapping(kind) for kind in S.EXPECTED_FIELDS}
 
 
 class MappingConfig:
@@ -44,14 +45,9 @@ class MappingConfig:
             return DEFAULT_MAPPINGS
         return loaded if isinstance(loaded, dict) else DEFAULT_MAPPINGS
 
-    def resolve(self, kind: str, file_name: str | None = None) -> dict:
-        return {
-            **self.mappings.get(kind, {}),
-            "mapping_source": self.source,
-            "mapping_file": str(self.path),
-            "document_type": kind,
-            "file_name": file_name,
-        }
+    def of(self, kind: str) -> dict:
+        """The mapping of a document type; no mapping is empty."""
+        return self.mappings.get(kind) or {}
 
 
 def _targets(present: Sequence[str], mapping: Mapping) -> dict[str, str]:
@@ -97,7 +93,7 @@ def mapped_data(data: Column, kind: Column, config: MappingConfig) -> Column:
         )
         if unchanged:
             value = data[field]
-            listed = [t for t in plans if field in config.resolve(t).get("list_fields", {})]
+            listed = [t for t in plans if field in config.of(t).get("list_fields", {})]
             if listed:
                 value = F.coalesce(value, F.when(kind.isin(*listed), F.array().cast(field_type)))
         else:
@@ -111,7 +107,7 @@ def mapped_data(data: Column, kind: Column, config: MappingConfig) -> Column:
 
 def _field_plan(field: str, doc_type: str, config: MappingConfig) -> tuple[str, str]:
     """How a result field is filled for one document type: as_is, from another field, as mapped list, absent."""
-    mapping, emitted = config.resolve(doc_type), S.EMITTED_FIELDS[doc_type]
+    mapping, emitted = config.of(doc_type), S.EMITTED_FIELDS[doc_type]
     if not mapping.get("fields"):
         return ("as_is", field) if field in emitted else ("absent", "")
     if field in mapping.get("list_fields", {}):
@@ -129,7 +125,7 @@ def _planned(data: Column, field: str, doc_type: str, plan: tuple[str, str], con
     kind = S.FIELD_TYPES[field]
     if plan[0] != "list":
         return data[plan[1]].cast(kind)
-    mapping = config.resolve(doc_type)
+    mapping = config.of(doc_type)
     names = T.DataType.fromDDL(kind).elementType.fieldNames()
     source = data[field] if field in S.EMITTED_FIELDS[doc_type] else F.lit(None).cast(kind)
     return _conform(map_items(source, names, mapping["list_fields"][field]), field, names, mapping).cast(kind)
@@ -148,13 +144,13 @@ def mapping_meta(kind: Column, config: MappingConfig) -> Column:
     """What was applied, per document type: struct(applied, name, source, file, expected_fields)."""
     case = None
     for doc_type in S.EXPECTED_FIELDS:
-        mapping = config.resolve(doc_type)
+        mapping = config.of(doc_type)
         applied = bool(mapping.get("fields"))
         meta = F.struct(
             F.lit(applied).alias("applied"),
             F.lit(mapping.get("mapping_name")).cast("string").alias("mapping_name"),
-            F.lit(mapping["mapping_source"]).alias("mapping_source"),
-            F.lit(mapping["mapping_file"]).alias("mapping_file"),
+            F.lit(config.source).alias("mapping_source"),
+            F.lit(str(config.path)).alias("mapping_file"),
             F.array(*(F.lit(f) for f in mapping.get("fields", []))).cast("array<string>").alias("expected_fields"),
         )
         case = (F if case is None else case).when(kind == doc_type, meta)

@@ -65,29 +65,54 @@ def check_results(df: DataFrame) -> DataFrame:
     return df.withColumn("errors", errors(checks))
 
 
-def constraint_report(df: DataFrame, table: str) -> DataFrame:
-    """Violations per declared constraint of a table: (table_name, constraint_name, violations).
+TABLES = {"contracts": S.CONTRACT_COLUMNS, "bidders": S.BIDDER_COLUMNS, "bid_items": S.ITEM_COLUMNS, "extraction_logs": S.LOG_COLUMNS}
+
 
-    All row checks are one aggregate; uniqueness adds a count per key.
-    """
-    present = set(df.columns)
-    types = {"contracts": S.CONTRACT_COLUMNS, "bidders": S.BIDDER_COLUMNS, "bid_items": S.ITEM_COLUMNS,
-             "extraction_logs": S.LOG_COLUMNS}[table]
+def row_checks(table: str, present: list[str]) -> dict[str, Column]:
+    """Declared constraints of a table that one row can break, by name, for the columns there are."""
     checks: dict[str, Column] = {f"not_null:{c}": F.col(c).isNull() for c in S.NOT_NULL[table] if c in present}
     checks |= {f"length:{c}": F.length(c) > n for c, n in S.MAX_LENGTH[table].items() if c in present}
     checks |= {
         f"fits:{c}": F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()
-        for c, t in types.items() if t.startswith("decimal") and c in present
+        for c, t in TABLES[table].items() if t.startswith("decimal") and c in present
     }
     if table == "extraction_logs":
         checks["domain:status"] = ~F.col("status").isin(*S.LOG_STATUSES)
-    counted = df.agg(*(F.count_if(bad).alias(name) for name, bad in checks.items()))
-    pairs = F.array(*(
-        F.struct(F.lit(n).alias("constraint_name"), F.col(f"`{n}`").alias("violations")) for n in checks
-    ))
-    parts = [counted.select(F.inline(pairs))]
-    if table == "contracts":
-        repeated = df.where("contract_number is not null").groupBy("contract_number").count().where("count > 1")
-        parts.append(repeated.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit("unique:contract_number").alias("constraint_name"), "violations"))
-    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table_name"), "constraint_name", "violations")
+    return checks
+
+
+def database_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Violations of every declared constraint of all given tables: (table_name, constraint_name, violations), from one exchange.
+
+    Rows of all tables are reduced to their key, how many of which table they are, and which checks they break, and united; one
+    aggregation by `contract_number` adds them up, map-side first, so neither a hot key nor the log's missing key is a large group. Per
+    key it shows contracts that share it (`unique`, counted in keys) and children without a contract (`foreign_key`, in rows); a child
+    without a key breaks no foreign key."""
+    names = list(tables)
+    checks = [(t, n, c) for t in names for n, c in row_checks(t, tables[t].columns).items()]
+    key = "contract_number"
+    parts = []
+    for table, df in tables.items():
+        keyed = F.col(key).cast("string") if key in df.columns else F.lit(None).cast("string")
+        flags = [(F.coalesce(c, F.lit(False)) if t == table else F.lit(False)).cast("bigint").alias(f"c{i}") for i, (t, _, c) in enumerate(checks)]
+        parts.append(df.select(keyed.alias(key), *(F.lit(int(t == table)).cast("bigint").alias(f"n_{t}") for t in names), *flags))
+    united = reduce(DataFrame.unionByName, parts)
+    sums = [F.sum(c).alias(c) for c in united.columns if c != key]
+    per_key = united.groupBy(key).agg(*sums)
+    report = {(t, n): F.sum(f"c{i}") for i, (t, n, _) in enumerate(checks)}
+    named = F.col(key).isNotNull()
+    if "contracts" in tables:
+        report["contracts", f"unique:{key}"] = F.count_if(named & (F.col("n_contracts") > 1))
+        for child in ("bidders", "bid_items"):
+            if child in tables:
+                report[child, f"foreign_key:{key}"] = F.sum(F.when(named & (F.col("n_contracts") == 0), F.col(f"n_{child}")).otherwise(0))
+    whole = per_key.agg(*(F.coalesce(c, F.lit(0)).alias(f"r{i}") for i, c in enumerate(report.values())))
+    rows = F.array(*(
+        F.struct(F.lit(t).alias("table_name"), F.lit(n).alias("constraint_name"), F.col(f"r{i}").alias("violations"))
+        for i, (t, n) in enumerate(report)))
+    return whole.select(F.inline(rows))
+
+
+def constraint_report(df: DataFrame, table: str) -> DataFrame:
+    """`database_report` of one table."""
+    return database_report({table: df})

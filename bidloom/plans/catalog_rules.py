@@ -435,3 +435,25 @@ def constraint_report(spark, sf_dir):
     log = star.run_log(spark, sf_dir).select("file_path", "document_type", "status")
     report = Q.constraint_report(doubled, "contracts").unionByName(Q.constraint_report(log, "extraction_logs"))
     return report
+
+
+@query("""SELECT 'bidders' AS table_name, 'foreign_key:contract_number' AS constraint_name, count(*) AS violations FROM b WHERE k IN (SELECT k FROM o
+    WHERE o_orderstatus <> 'F')
+  UNION ALL SELECT 'bid_items', 'foreign_key:contract_number', count(*) FROM it WHERE k IN (SELECT k FROM o WHERE o_orderstatus <> 'F')
+  UNION ALL SELECT 'contracts', 'unique:contract_number', count(*) FROM o WHERE o_orderstatus = 'F' AND k % 3 = 0
+  UNION ALL SELECT 'bidders', 'fits:percentage_diff', count(*) FROM b WHERE tenths >= 100000
+  UNION ALL SELECT 'bidders', 'not_null:bidder_name', count(*) FROM b WHERE house = 3
+  UNION ALL SELECT 'bid_items', 'length:item_code', count(*) FROM it WHERE position = 2""")
+def database_constraints(spark, sf_dir):
+    """Contracts of finished orders, every third one twice; bidders and items of all orders, some with broken values."""
+    done = star.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("k"))
+    old = star.contracts(spark, sf_dir).join(done, "k", "left_semi")
+    tables = {
+        "contracts": old.unionByName(old.where("k % 3 = 0")).select("contract_number", "wbs_element"),
+        "bidders": star.bidders(spark, sf_dir).select(
+            "contract_number", F.when(F.col("position") != 3, F.col("bidder_name")).alias("bidder_name"), "percentage_diff"),
+        "bid_items": star.items(spark, sf_dir).select(
+            "contract_number", F.when(F.col("position") == 2, F.repeat("item_code", 60)).otherwise(F.col("item_code")).alias("item_code")),
+    }
+    wanted = ["foreign_key:contract_number", "unique:contract_number", "fits:percentage_diff", "not_null:bidder_name", "length:item_code"]
+    return Q.database_report(tables).where(F.col("constraint_name").isin(*wanted))

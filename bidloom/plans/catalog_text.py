@@ -236,6 +236,23 @@ def rule_classify_text(spark, sf_dir):
     return star.table(spark, sf_dir, "documents").select("doc_id", C.rule_classify(F.col("text"), TEXT_RULES).alias("label"))
 
 
+@query("""WITH rules AS (SELECT s_suppkey, CAST(s_suppkey % 97 AS VARCHAR) AS b,
+    CASE s_nationkey % 4 WHEN 0 THEN 'the' WHEN 1 THEN 'der' WHEN 2 THEN 'la' ELSE 'el' END AS c FROM supplier),
+  d AS (SELECT doc_id, lower(text) AS t FROM documents),
+  m AS (SELECT doc_id, min(s_suppkey) AS first FROM d JOIN (SELECT b, c, min(s_suppkey) AS s_suppkey FROM rules GROUP BY 1, 2) r
+    ON contains(t, r.b) AND contains(t, r.c) GROUP BY 1)
+  SELECT doc_id, coalesce('rule ' || first, 'unknown') AS label FROM d LEFT JOIN m USING (doc_id)""")
+def rule_table_text(spark, sf_dir):
+    """A rule for each supplier, as a table: a number and one of four articles have to be in the text; the lowest key wins."""
+    nation = F.col("s_nationkey") % 4
+    article = F.when(nation == 0, "the").when(nation == 1, "der").when(nation == 2, "la").otherwise("el")
+    rules = star.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("int").alias("rule_order"), F.concat(F.lit("rule "), F.col("s_suppkey").cast("string")).alias("label"),
+        F.posexplode(F.array((F.col("s_suppkey") % 97).cast("string"), article)).alias("word_group", "word"))
+    docs = star.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return C.classify_by_table(docs, "text", rules).select("doc_id", "label")
+
+
 # ---- scalar fields ---------------------------------------------------------------------------------
 def _contract_texts(spark, sf_dir):
     c = star.contracts(spark, sf_dir)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.text import basename, computed_once, strip
-from ..operators import fields, groups, mapping, status
+from ..operators import fields, mapping, status, types
 from ..operators.classify import document_type
+from ..sources.pages import first_nonblank
 
 #: Optional document columns and their types; absent ones are taken as null.
 OPTIONAL = {
@@ -35,17 +36,8 @@ OPTIONAL = {
 
 
 def raw_data(kind: Column, text: Column, file_name: Column, tables: Column) -> Column:
-    """Struct of everything the document's type yields."""
-    per_type: dict[str, dict[str, Column]] = {}
-    for doc_type in S.EMITTED_FIELDS:
-        found = fields.scalar_fields(doc_type, text, file_name)
-        if doc_type in (S.BID_TABS, S.ITEM_C, S.AS_READ, S.SUMMARY):
-            found["bidders"] = groups.bidders(doc_type, text)
-        if doc_type == S.BID_TABS:
-            found["bid_items"] = groups.bid_tab_items(text, tables)
-        elif doc_type in (S.AS_READ, S.SUMMARY):
-            found["bid_items"] = F.array()
-        per_type[doc_type] = found
+    """Struct of everything the document's type yields, put together from the registered types."""
+    per_type = {name: spec.extracted(text, file_name, tables) for name, spec in types.TYPES.items()}
     members = []
     for field, field_type in S.FIELD_TYPES.items():
         case = F
@@ -56,6 +48,19 @@ def raw_data(kind: Column, text: Column, file_name: Column, tables: Column) -> C
     return F.struct(*members)
 
 
+def _with_second_text(docs: DataFrame) -> DataFrame:
+    """Types that ask for it take the text of a second reader (`alt_text`) where their own is blank."""
+    if "alt_text" not in docs.columns:
+        return docs
+    asked = F.col("document_type").isin(*(n for n, t in types.TYPES.items() if t.second_text)) & F.col("alt_text").isNotNull()
+    blank = F.coalesce(strip(F.col("text")), F.lit("")) == ""
+    numbers = {
+        "page_ends": F.col("alt_page_ends") if "alt_page_ends" in docs.columns else F.lit(None).cast("array<int>"),
+        "text": first_nonblank(F.col("text"), F.col("alt_text")),
+    }
+    return docs.withColumns({c: F.when(asked & blank, v).otherwise(F.col(c)) for c, v in numbers.items()})
+
+
 def _extracted(text: Column, tables: Column, config: mapping.MappingConfig) -> Column:
     kind, name = F.col("document_type"), F.col("file_name")
     readable = (kind != S.UNKNOWN) & text.isNotNull()
@@ -65,7 +70,8 @@ def _extracted(text: Column, tables: Column, config: mapping.MappingConfig) -> C
 def _with_page_key(raw: Column, text: Column, page_ends: Column) -> Column:
     """The key of bid tabs that hold any list is looked for page by page; in all others over the whole text."""
     listed = (F.size(raw["bidders"]) > 0) | (F.size(raw["bid_items"]) > 0)
-    paged = (F.col("document_type") == S.BID_TABS) & listed & (F.size(page_ends) > 1)
+    by_page = [name for name, spec in types.TYPES.items() if spec.key_by_page]
+    paged = F.col("document_type").isin(*by_page) & listed & (F.size(page_ends) > 1)
     key = F.when(paged, fields.key_by_page(text, page_ends)).otherwise(raw["contract_number"])
     return F.when(raw.isNotNull(), raw.withField("contract_number", key))
 
@@ -86,12 +92,13 @@ def process_documents(
 
     Where OCR text is joined in (`ocr_text`) and triage asks for it, extraction is repeated on that text
     only for the flagged rows; the original path stays. Triage then judges the statistics of the OCR text
-    (`ocr_text_length`, `ocr_pages_with_content`; without them those of one page). A row with `ocr_error` keeps
+    (`ocr_text_length`, `ocr_pages_with_content`; without them those of one page). Where a second reader's text is joined in (`alt_text`),
+    types with a `second_text` read it if their own text is blank; triage still judges the first reader's statistics. A row with `ocr_error` keeps
     its first reading, with `ocr_applied` false and the error in its meta.
     """
     config = config or mapping.MappingConfig()
     kind, name = F.col("document_type"), F.col("file_name")
-    typed = with_type(docs)
+    typed = _with_second_text(with_type(docs))
     first = computed_once(typed, _raw=_extracted(F.col("text"), F.col("tables"), config))
     first = computed_once(first, _raw=_with_page_key(F.col("_raw"), F.col("text"), F.col("page_ends")))
     first = _assessed(first, config, F.col("text_length"), F.col("pages_with_content"))

@@ -14,8 +14,8 @@ from ..session import materialise
 from ..sources import sinks
 from ..sources.pages import documents
 from ..sources.snapshots import SnapshotStore
-from ..streaming.gather import use_rocksdb, whole_documents
-from ..streaming.ingest import collect_batches
+from ..streaming.gather import whole_documents
+from ..streaming.ingest import collect_batches, use_rocksdb
 from .documents import process_documents
 from .store import load_batch
 
@@ -29,16 +29,21 @@ def extract_batch(
     state: DataFrame | None = None,
     ocr_pages: DataFrame | None = None,
     config: MappingConfig | None = None,
+    alt_pages: DataFrame | None = None,
 ) -> DataFrame:
     """Results for files(file_path, file_hash, file_size_bytes, file_mtime) from pages(file_path, page_no, text).
 
     With a state, unchanged files are left out before any page text is shuffled and come back as skipped rows.
     Files without pages fail. `ocr_pages` has the same shape as `pages`, plus `ocr_method`, `ocr_duration_seconds` and, if
-    OCR can fail, `ocr_error` (on any row of the file), and is used only where triage asks for it.
+    OCR can fail, `ocr_error` (on any row of the file), and is used only where triage asks for it. `alt_pages` are the pages of a second
+    reader, which types with a `second_text` use where the first found none. A `read_error` of a file fails its document.
     """
     todo = files if state is None else incremental.changed(files, state)
     texts = documents(pages.join(todo.select("file_path"), "file_path", "left_semi")).select(*DOCUMENT)
     docs = todo.join(texts, "file_path", "left")
+    if alt_pages is not None:
+        second = documents(alt_pages.join(todo.select("file_path"), "file_path", "left_semi"))
+        docs = docs.join(second.select("file_path", F.col("text").alias("alt_text"), F.col("page_ends").alias("alt_page_ends")), "file_path", "left")
     if ocr_pages is not None:
         scanned = ocr_pages.join(todo.select("file_path"), "file_path", "left_semi")
         if "ocr_error" not in scanned.columns:

@@ -7,24 +7,17 @@ from itertools import chain, islice
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: What a page row needs. `file_version` tells deliveries of a changed file apart (its hash or time); `page_count` may be on any row.
 PAGE_SCHEMA = "file_path string, file_version string, page_no int, text string, page_count int"
 GATHERED = "file_path string, file_version string, page_no int, text string, page_error string"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
 #: Pages that go out in one piece; a document of any length leaves in pieces of this size.
 PAGES_AT_ONCE = 256
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keep streaming state on the executors' disks instead of their heaps. Set before a query's first run; its checkpoint remembers it."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-
-
 def _marked(numbers: bytes, page_no: int) -> bool:
     return page_no >> 3 < len(numbers) and bool(numbers[page_no >> 3] >> (page_no & 7) & 1)
 
@@ -120,7 +113,7 @@ def whole_documents(page_stream: DataFrame, hold: str | None = "1 day") -> DataF
     number only states the count; negative page numbers are left out. A document that is not whole `hold` after its first row (None: never) comes out as one row with
     `page_error` and no page, and is closed as well. Rows of a closed document are ignored.
 
-    State is keyed by document and lives in RocksDB (`use_rocksdb`), so a run costs what its own rows cost, not what is held.
+    State is keyed by document and lives in RocksDB (`ingest.use_rocksdb`), so a run costs what its own rows cost, not what is held.
     """
     hold_ms = None if hold is None else int(pd.Timedelta(hold).total_seconds() * 1000)
     return (

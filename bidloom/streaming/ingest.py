@@ -22,7 +22,9 @@ def landing_stream(spark: SparkSession, path: str, schema, max_files: int | None
 IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 
 
-def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, idle: bool = True) -> None:
+def run_available(
+    stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, idle: bool = True, mode: str = "append"
+) -> None:
     """Process everything that has arrived, in micro-batches, then stop: the periodic batch job.
 
     Without `idle` only batches with new rows run. A stream with timers on the clock needs that: it always has another idle batch to
@@ -34,6 +36,7 @@ def run_available(stream: DataFrame, sink: Callable[[DataFrame, int], None], che
         query = (
             stream.writeStream.foreachBatch(sink)
             .option("checkpointLocation", checkpoint)
+            .outputMode(mode)
             .trigger(availableNow=True)
             .start()
         )
@@ -52,7 +55,7 @@ def written(spark: SparkSession, schema, path: str) -> DataFrame:
 
 def collect_batches(
     stream: DataFrame, batch: Callable[[DataFrame], DataFrame], purpose: str, home: str | None = None, idle: bool = True,
-    rows_once: bool = False,
+    rows_once: bool = False, mode: str = "append",
 ) -> DataFrame:
     """Run `batch` on every micro-batch and return the written table.
 
@@ -60,7 +63,8 @@ def collect_batches(
     failure replaces its first attempt instead of adding to it. With the same `home` (output and
     checkpoint) a later call takes up only what has arrived since, and the table holds the rows of all calls.
     An empty landing folder gives no rows. `idle` as in `run_available`. With `rows_once` the rows of a micro-batch are written before
-    `batch` reads them, as a stateful stream needs whose rows are read more than once, and a batch without rows is left out.
+    `batch` reads them, as a stateful stream needs whose rows are read more than once, and a batch without rows is left out. `mode` is
+    the stream's output mode.
     """
     spark = stream.sparkSession
     home = home or fresh_path(spark, purpose)
@@ -74,7 +78,7 @@ def collect_batches(
                 return
         batch(df).write.mode("overwrite").parquet(f"{home}/out/batch={batch_id}")
 
-    run_available(stream, write, f"{home}/checkpoint", idle)
+    run_available(stream, write, f"{home}/checkpoint", idle, mode)
     schema = batch(spark.createDataFrame([], stream.schema)).schema
     return written(spark, schema, f"{home}/out/batch=*")
 
@@ -103,9 +107,29 @@ def drop_redelivered(stream: DataFrame, keys: list[str], event_time: str, delay:
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def first_deliveries(stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], keys: list[str], purpose: str, home: str | None = None) -> DataFrame:
-    """One row per key of everything that has arrived, whatever the order and the batch: repeats fall per batch, then over the batches."""
-    return collect_batches(stream, lambda df: prepare(df).dropDuplicates(keys), purpose, home).dropDuplicates(keys)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keep streaming state on the executors' disks instead of their heaps. Set before a query's first run; its checkpoint remembers it."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
+def first_deliveries(
+    stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], keys: list[str], order: list[str], purpose: str, home: str | None = None
+) -> DataFrame:
+    """One row per key of everything that has arrived, whatever the order of files and batches: the first by the columns `order` (say event
+    time, then file), of equal ones the least by all other columns. `prepare` has to be a streaming projection.
+
+    The first row of each key is kept as keyed state in RocksDB, so a run costs what its own rows cost and not what came before. A
+    micro-batch writes the keys it has touched; a key that is delivered again may be written again, and the least of its rows counts.
+    """
+    use_rocksdb(stream.sparkSession)
+    rows = prepare(stream)
+    rest = [c for c in rows.columns if c not in (*keys, *order)]
+    first = rows.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_first"))
+    touched = collect_batches(first, lambda df: df, purpose, home, mode="update")
+    return touched.groupBy(*keys).agg(F.min("_first").alias("_first")).select(*keys, "_first.*").select(*rows.columns)
 
 
 def window_counts(log: DataFrame, event_time: str, size: str) -> DataFrame:

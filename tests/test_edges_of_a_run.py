@@ -100,12 +100,25 @@ def test_streams_over_an_empty_folder_and_unordered_files(spark, tmp_path):
     log = "file_path string, ts timestamp, document_type string, status string, processing_time double"
     empty = str(tmp_path / "empty")
     (tmp_path / "empty").mkdir()
-    assert ST.first_deliveries(ST.landing_stream(spark, empty, log), lambda df: df, ["file_path"], "none").count() == 0
+    assert ST.first_deliveries(ST.landing_stream(spark, empty, log), lambda df: df, ["file_path"], ["ts"], "none").count() == 0
     land = str(tmp_path / "land")
     for name, day in (("a", 9), ("e", 1), ("a", 3), ("g", 2)):
         spark.createDataFrame([(name, datetime.datetime(2024, 1, day), "t", "success", 1.0)], log).coalesce(1).write.mode("append").parquet(land)
     stream = lambda: ST.landing_stream(spark, land, log, max_files=1)
-    assert sorted(r.file_path for r in ST.first_deliveries(stream(), lambda df: df, ["file_path"], "once").collect()) == ["a", "e", "g"]
+    assert sorted(r.file_path for r in ST.first_deliveries(stream(), lambda df: df, ["file_path"], ["ts"], "once").collect()) == ["a", "e", "g"]
     counts = ST.counts_from_batches(
         ST.collect_batches(stream(), lambda df: ST.window_counts(df, "ts", "1 day"), "open"), ["window_start", "document_type"])
     assert {r.window_start.day: r.results for r in counts.collect()} == {1: 1, 2: 1, 3: 1, 9: 1}
+
+
+def test_of_unequal_deliveries_the_first_by_time_stays_in_any_order_of_files(spark, tmp_path):
+    log = "file_path string, ts timestamp, source string, n int"
+    day = lambda d: datetime.datetime(2024, 1, d)
+    files = [[("a", day(3), "f1", 1), ("b", day(1), "f1", 1)], [("a", day(2), "f2", 2), ("b", day(1), "f0", 2)], [("a", day(2), "f2", 1), ("c", day(9), "f3", None)]]
+    for number, order in enumerate(((0, 1, 2), (2, 1, 0))):
+        land, home = str(tmp_path / f"land{number}"), str(tmp_path / f"home{number}")
+        for k in order:  # a run after each file
+            spark.createDataFrame(files[k], log).coalesce(1).write.mode("append").parquet(land)
+            table = ST.first_deliveries(ST.landing_stream(spark, land, log), lambda df: df, ["file_path"], ["ts", "source"], "first", home)
+        assert sorted((r.file_path, r.ts.day, r.source, r.n) for r in table.collect()) == [("a", 2, "f2", 1), ("b", 1, "f0", 2), ("c", 9, "f3", None)]
+        assert [spark.read.parquet(f"{home}/out/batch={b}").count() for b in range(3)] == [2, 2, 2], "a run writes the keys of its own rows"

@@ -5,8 +5,8 @@ import itertools
 from bidloom.operators.mapping import MappingConfig
 from bidloom.plans import run
 from bidloom.sources.pages import documents
-from bidloom.streaming.gather import use_rocksdb, whole_documents
-from bidloom.streaming.ingest import collect_batches, landing_stream
+from bidloom.streaming.gather import whole_documents
+from bidloom.streaming.ingest import collect_batches, landing_stream, use_rocksdb
 
 CONFIG = MappingConfig("/nowhere/source")
 SPLIT = "file_path string, file_version string, page_no int, text string, page_count int"

@@ -118,7 +118,9 @@ def test_scan_fingerprint_and_listing(spark, tmp_path):
     row = FS.fingerprint(found).first()
     assert found.count() == 1 and row.file_hash == hashlib.sha256(b"abc").hexdigest() and row.file_size_bytes == 3
     assert row.file_mtime_iso.endswith("+00:00")
-    assert FS.scan_files(spark, str(tmp_path), max_bytes=1).count() == 0
+    refused = FS.scan_files(spark, str(tmp_path), max_bytes=1)
+    assert refused.count() == found.count() and refused.where("content is not null or read_error is null").count() == 0
+    assert FS.fingerprint(refused).where("file_hash is null and read_error like 'file of % bytes; at most 1 are read'").count() == found.count()
     keys = spark.createDataFrame([("raw/one.pdf",), ("raw/two.txt",), ("raw/three.PDF",), ("old/x.pdf",)], "key string")
     assert sorted(r.key for r in FS.list_keys(keys, "raw/", max_items=2).collect()) == ["raw/one.pdf", "raw/three.PDF"]
     assert FS.list_keys(keys, "raw/", max_items=0).count() == 2

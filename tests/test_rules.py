@@ -164,13 +164,13 @@ def test_mapping_file_and_fallbacks(tmp_path, monkeypatch):
     target.parent.mkdir()
     target.write_text(json.dumps({S.AWARD: {"mapping_name": "mine", "fields": ["contract_number"]}}))
     config = M.MappingConfig(folder)
-    assert config.resolve(S.AWARD)["mapping_name"] == "mine" and config.source == "external"
+    assert config.of(S.AWARD)["mapping_name"] == "mine" and config.source == "external"
     target.write_text("{broken")
     assert M.MappingConfig(folder).mappings is M.DEFAULT_MAPPINGS
     other = tmp_path / "other.json"
     other.write_text(json.dumps({S.AWARD: {"mapping_name": "env"}}))
     monkeypatch.setenv("FILE_MAPPING_PATH", str(other))
-    assert M.MappingConfig(folder).resolve(S.AWARD)["mapping_name"] == "env"
+    assert M.MappingConfig(folder).of(S.AWARD)["mapping_name"] == "env"
 
 
 def test_external_mapping_changes_the_document_plan(spark, tmp_path):
@@ -220,3 +220,22 @@ def test_percent_formats_and_empty_runs(spark):
     assert R.run_summary(df.limit(0)).count() == 0
     judged = df.limit(0).withColumn("valid", F.lit(True))
     assert R.validation_summary(judged).first().pass_rate == "N/A"
+
+
+def test_all_constraints_from_one_exchange(spark):
+    contracts = spark.createDataFrame([("A", "w"), ("A", "w"), ("B", "w" * 101), (None, "w"), ("D", None)], "contract_number string, wbs_element string")
+    bidders = spark.createDataFrame([("A", "x", 1.0), ("C", None, 99999.0), ("C", "y" * 256, None), (None, "z", None)], "contract_number string, bidder_name string, percentage_diff double")
+    items = spark.createDataFrame([("D", "1")] * 3 + [("E", "2")] * 4, "contract_number string, item_number string")
+    log = spark.createDataFrame([("f", "success"), (None, "lost"), ("g", None)], "file_path string, status string")
+    tables = {"contracts": contracts, "bidders": bidders, "bid_items": items, "extraction_logs": log}
+    report = Q.database_report(tables)
+    found = {(r.table_name, r.constraint_name): r.violations for r in report.collect()}
+    assert {k: v for k, v in found.items() if v} == {
+        ("contracts", "not_null:contract_number"): 1, ("contracts", "length:wbs_element"): 1, ("contracts", "unique:contract_number"): 1,
+        ("bidders", "not_null:bidder_name"): 1, ("bidders", "length:bidder_name"): 1, ("bidders", "fits:percentage_diff"): 1,
+        ("bidders", "foreign_key:contract_number"): 2, ("bid_items", "foreign_key:contract_number"): 4,
+        ("extraction_logs", "not_null:file_path"): 1, ("extraction_logs", "domain:status"): 1}
+    plan = report._jdf.queryExecution().toString().split("== Physical Plan ==")[1].split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange ") == 2, "one by key, one for the sum of the sums"
+    nothing = {n: t.where("1 = 0") for n, t in tables.items()}
+    assert {r.violations for r in Q.database_report(nothing).collect()} == {0}
