@@ -53,7 +53,7 @@ class WholeDocuments(StatefulProcessor):
         if count is not None and waiting + len(fresh) >= count:
             held = chain(self.pages.get() if waiting else (), fresh.items())
             yield from self._pieces(key, held)
-            self._close(count)
+            self._close(count, waiting)
             return
         if fresh:
             self.pages.appendList(list(fresh.items()))
@@ -70,7 +70,7 @@ class WholeDocuments(StatefulProcessor):
         if known is None or known[3]:
             return
         yield self._broken(key, f"{known[1]} of {'an unknown number of' if known[0] is None else known[0]} pages arrived")
-        self._close(known[0])
+        self._close(known[0], known[1])
 
     def _pieces(self, key: Any, held: Iterator[tuple[int, str]]) -> Iterator[pd.DataFrame]:
         some = list(islice(held, PAGES_AT_ONCE))
@@ -87,8 +87,9 @@ class WholeDocuments(StatefulProcessor):
     def _broken(key: Any, error: str) -> pd.DataFrame:
         return pd.DataFrame({"file_path": [key[0]], "file_version": [key[1]], "page_no": [None], "text": [None], "page_error": [error]})
 
-    def _close(self, count: int | None) -> None:
-        self.pages.clear()
+    def _close(self, count: int | None, waiting: int) -> None:
+        if waiting:
+            self.pages.clear()
         self.known.update((count, 0, b"", True))
 
     def close(self) -> None:

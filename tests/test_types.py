@@ -14,7 +14,6 @@ from bidloom.operators import types as D
 from bidloom.operators.mapping import MappingConfig
 from bidloom.plans import run
 from bidloom.session import materialise
-from bidloom.sources import pages as P
 from tests.test_load_and_files import empty_tables
 from tests.test_run import FILES, PAGES, T
 
@@ -78,7 +77,6 @@ def test_refused_files_fail_and_blank_texts_take_the_second_readers(spark):
     amounts = {n: [float(b.total_bid_amount) for b in got[n].data.bidders] for n in ("DA00001", "DA00002")}
     assert amounts == {"DA00001": [2000.0], "DA00002": [1000.0]}
     assert got["DA00003"].data.awarded_to is None and got["DA00003"].status == "partial", "award letters have one reader"
-    assert P.first_nonblank is not None
 
 
 def test_thousands_of_rules_from_a_table_equal_the_chain(spark):
