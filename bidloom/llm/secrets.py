@@ -47,11 +47,25 @@ def base_spans(text: str) -> list[Span]:
 
 
 #: An assignment: a name (also quoted or dotted), an operator, then the place where its value begins.
-_TARGET = re.compile(r"""(?<![\w.-])["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["']?[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?=\S)""")
-_QUOTED = re.compile(r"\"((?:[^\"\\\n]|\\.)*)\"|'((?:[^'\\\n]|\\.)*)'")
-_BARE = re.compile(r"[A-Za-z0-9+/_.=$@!%^&*~-]+")
+_TARGET = re.compile(r"""(?<![\w.-])["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["']?[\x20\t]*(?::=|=>|(?P<more>\+=)|\??=(?!=)|:(?![:/]))[\x20\t]*(?=\S)""")
+#: Literals in three, two or one quotes, with the prefixes that languages know. The group that took part is the content.
+_QUOTED = re.compile(
+    r"[bBrRuUfFL@]{0,2}(?:"
+    r'"""((?:[^"\\]|\\.|"(?!""))*+)"""|' r"'''((?:[^'\\]|\\.|'(?!''))*+)'''|"
+    r"\"((?:[^\"\\\n]|\\.)*+)\"|'((?:[^'\\\n]|\\.)*+)'|`([^`\n]*+)`)", re.DOTALL)
+#: An unquoted value. It ends before the next pair of a query string.
+_BARE = re.compile(r"(?:[A-Za-z0-9+/_.=$@!%^*~-]|&(?![A-Za-z_][A-Za-z0-9_.-]*+=))+")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.]*")
+#: A name as shells and templates write it: $NAME, ${NAME}, {{ NAME }}.
+_REFERENCE = re.compile(r"\$([A-Za-z_][A-Za-z0-9_]*+)|\$\{([A-Za-z_][A-Za-z0-9_]*+)\}|\{\{\x20*+([A-Za-z_][A-Za-z0-9_.]*+)\x20*+\}\}")
+_OPEN = re.compile(r"\([\s(]*+")
 _PLUS = re.compile(r"[\x20\t]*\+[\x20\t]*")
+_INSIDE_PLUS = re.compile(r"\s*+\+\s*+")
+_BESIDE = re.compile(r"[\x20\t]*+(?:\\\n[\x20\t]*+)?(?=[bBrRuUfFL@]{0,2}[\"'])")
+_INSIDE_BESIDE = re.compile(r"\s*+(?=[bBrRuUfFL@]{0,2}[\"'])")
+#: An XML element without elements inside.
+_ELEMENT = re.compile(r"<([A-Za-z_][A-Za-z0-9_.:-]*+)(?:\s[^<>]*+)?>([^<>]++)</([A-Za-z_][A-Za-z0-9_.:-]*+)\s*+>")
+_NAME_SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-"
 
 #: Weight of the parts of a target's name.
 SENSITIVE = {
@@ -127,38 +141,58 @@ class Binding(NamedTuple):
 
 
 def bindings(text: str) -> list[Binding]:
-    """Name-literal pairs in order: quoted literals, bare values, sums of literals and names, and names bound earlier.
+    """Name-literal pairs: quoted literals, bare values, sums and rows of literals and names, names bound earlier; then XML elements.
 
-    A name that is bound again to something without a literal stands for no constant from there on.
+    A name that is bound again to something without a literal stands for no constant from there on; `+=` adds to what it stands for.
     """
     known: dict[str, Value] = {}
-    out = []
-    for m in _TARGET.finditer(text):
-        value = _expression(text, m.end(), known)
+    out, at = [], 0
+    while m := _TARGET.search(text, at):
+        value, at = _expression(text, m.end(), known)
+        if m["more"] and value.length:
+            value = known.get(m["name"], Value()) + value
         if value.length:
             out.append(Binding(m["name"], value))
             known[m["name"]] = value
-        else:
+        elif not m["more"]:
             known.pop(m["name"], None)
+    for m in _ELEMENT.finditer(text):
+        literal = m[2].strip()
+        if literal and m[1] == m[3]:
+            start = m.start(2) + len(m[2]) - len(m[2].lstrip())
+            out.append(Binding(m[1].rpartition(":")[2], Value(literal, (start, start + len(literal)))))
     return out
 
 
-def _expression(text: str, at: int, known: dict[str, Value]) -> Value:
-    value, first = Value(), True
+def _referred(m: re.Match | None, known: dict[str, Value]) -> Value | None:
+    return known.get(m[m.lastindex]) if m else None
+
+
+def _expression(text: str, at: int, known: dict[str, Value]) -> tuple[Value, int]:
+    """The value that begins at `at`, and where to look for the next assignment: in what was read, as literals may hold assignments
+    themselves, but behind a bare value, of which only a name at its end can be the next target."""
+    value, first, begin = Value(), True, at
+    opened = _OPEN.match(text, at)
+    plus, beside = (_INSIDE_PLUS, _INSIDE_BESIDE) if opened else (_PLUS, _BESIDE)
+    at = opened.end() if opened else at
     while True:
+        quoted = False
         if (m := _QUOTED.match(text, at)):
-            group = 1 if m[1] is not None else 2
-            value += Value(m[group], m.span(group))
+            group, quoted = m.lastindex, True
+            constant = _referred(_REFERENCE.fullmatch(text, *m.span(group)), known)
+            value += constant if constant is not None else Value(m[group], m.span(group))
         elif (m := _NAME.match(text, at)) and m[0] in known and not _BARE.match(text, m.end()):
             value += known[m[0]]
+        elif (constant := _referred(m := _REFERENCE.match(text, at), known)) is not None and not _BARE.match(text, m.end()):
+            value += constant
         elif first and (m := _BARE.match(text, at)):  # configuration files leave values unquoted
-            end = m.end() - len(m[0]) + len(m[0].rstrip("."))
-            return Value(text[at:end], (at, end))
+            literal = m[0].rstrip(".")
+            return Value(literal, (at, at + len(literal))), at + len(m[0].rstrip("=").rstrip(_NAME_SIGNS))
         else:
-            return value
-        more = _PLUS.match(text, m.end())
+            return value, begin
+        more = plus.match(text, m.end()) or (beside.match(text, m.end()) if quoted else None)
         if not more:
-            return value
+            return value, begin
         at, first = more.end(), False
 
 

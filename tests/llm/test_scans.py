@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import time
 
@@ -88,6 +89,66 @@ def test_long_sums_stay_fast():
     assert time.perf_counter() - began < 20
 
 
+def test_more_syntax():
+    assert literals('db_password += "q8Zr!2mfa0Lx7"') == ["q8Zr!2mfa0Lx7"]
+    assert literals('a = "Zx9!kkQ2p"\na += "Lm#77aa"\nprivate_key = a\n') == ["Zx9!kkQ2p", "Lm#77aa"]
+    assert literals('A = "Zx9!kkQ2p" "Lm#77aa"\nprivate_key = A') == ["Zx9!kkQ2p", "Lm#77aa"]
+    assert literals('private_key = ("Zx9!kkQ2p"\n    b\'Lm#77aa\')') == ["Zx9!kkQ2p", "Lm#77aa"]
+    assert literals('private_key = ("Zx9!kkQ2p"\n    + "Lm#77aa")') == ["Zx9!kkQ2p", "Lm#77aa"]
+    assert literals('private_key = """q8Zr!2\nmfa0Lx7"""') == []  # white space inside
+    assert literals('private_key = """q8Zr!"2mfa0Lx7"""') == ['q8Zr!"2mfa0Lx7']
+    assert literals("private_key = r\'\'\'q8Zr!2mfa0Lx7\'\'\'") == ["q8Zr!2mfa0Lx7"]
+    assert literals("const apiKey = `q8Zr!2mfa0Lx7`") == ["q8Zr!2mfa0Lx7"]
+    for reference in ("$K", "${K}", '"$K"', '"${K}"', "{{ K }}"):
+        assert literals(f'K="q8Zr!2mfa0Lx7"\nPRIVATE_KEY={reference}\n') == ["q8Zr!2mfa0Lx7"], reference
+    assert literals("<db><password>q8Zr!2mfa0Lx7</password></db>") == ["q8Zr!2mfa0Lx7"]
+    assert literals('<x:secret kind="a">\n q8Zr!2mfa0Lx7\n</x:secret>') == ["q8Zr!2mfa0Lx7"]
+    assert literals("<password>q8Zr!2mfa0Lx7</passwd> <colour>q8Zr!2mfa0Lx7</colour>") == []
+    assert literals("user=me&auth=q8Zr!2mfa0Lx7&next=1") == ["q8Zr!2mfa0Lx7"]
+    assert literals("x = private_key = 'q8Zr!2mfa0Lx7'") == ["q8Zr!2mfa0Lx7"] == literals("x=y=private_key='q8Zr!2mfa0Lx7'")
+
+
+def test_literals_of_random_programs_equal_an_evaluation():
+    rng = random.Random(6)
+    names = ["alpha", "beta", "db_password", "authToken", "gamma.delta", "private_key", "colour", "token_length"]
+    signs = "abcXYZ0189!#%"
+    for _ in range(300):
+        text, known, want = "", {}, set()
+        for _ in range(rng.randrange(1, 12)):
+            name, op = rng.choice(names), rng.choice([" = ", "=", " += ", ": ", " := "])
+            line, pieces = name + op, []
+            for k in range(rng.choice([1, 1, 2, 3])):
+                if known and rng.random() < 0.4 and (source := rng.choice(sorted(known))):
+                    line += (" + " if k else "") + source
+                    pieces += known[source]
+                else:
+                    literal = "".join(rng.choices(signs, k=rng.randrange(1, 14)))
+                    quote = rng.choice(["'", '"', '"""', "`"])
+                    line += (" + " if k else "") + quote
+                    pieces.append((len(text) + len(line), literal))
+                    line += literal + quote
+            pieces = (known.get(name, []) if op == " += " else []) + pieces
+            known[name], text = pieces, text + line + "\n"
+            value = "".join(x for _, x in pieces)
+            if secrets.name_weight(name) * secrets.literal_weight(secrets.Value(value)) >= secrets.THRESHOLD:
+                want.update((a, a + len(x)) for a, x in pieces)
+        base = plain_spans(text)
+        want = sorted((a, z) for a, z in want if not any(s <= a and z <= e for _, s, e in base))
+        assert [(s.start, s.end) for s in secrets.find_spans(text) if s.kind == "literal"] == want, text
+
+
+def test_doubling_a_text_doubles_the_time():
+    shapes = ["token=1" + "&a=b" * 100_000, "token=" + "a=" * 100_000, "token=" + "a.b=c&" * 60_000, "k=1+" * 100_000 + "token",
+              "token: " + "a:b " * 100_000, "token=" + "(" * 300_000, "a=(" * 100_000 + "token", "token=" + '"a' * 150_000,
+              "token" + "='" * 150_000, "token=" + '"""a' * 100_000, "<a>" * 100_000 + "token", "token" + "<a b" * 100_000,
+              "token=" + "{{" * 150_000, "token=" + "{{a " * 100_000, "token=" + "$a" * 150_000, "x=`" * 100_000 + "token",
+              'token="a" ' + '"b" ' * 80_000, "token=\\\n" * 50_000, "a-b=" * 100_000 + "token", "a+=" * 100_000 + "token"]
+    for text in shapes:
+        began = time.perf_counter()
+        secrets.find_spans(text)
+        assert time.perf_counter() - began < 5, text[:20]
+
+
 def test_base_spans_stay_and_covered_literals_are_not_listed_again():
     text = 'token = "00e0f0a0b0c0d0e0f0"'
     assert secrets.digest(secrets.find_spans(text)) == f"assign:0:{len(text) - 1},hex:9:27"
