@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import materialise
 
 #: Hash digits (hexadecimal) read at each level, and the number of levels.
-DIGITS, LEVELS = 3, 3
+DIGITS, LEVELS = 3, 4
 
 
 def size_of(text: Column) -> Column:
@@ -41,33 +41,57 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...], most: int) -> Dat
 
 
 def thresholds(sized: DataFrame, weights: tuple[int, ...], most: int) -> DataFrame:
-    """s (the source), source_size, target, whole, prefix, closer: what decides about the documents of a source.
+    """s (the source), source_size, target, whole, prefix, budget, below, upto, rows: what decides about the documents of a source.
 
-    The budget beyond whole copies ends in one hash bucket, which is looked at with the next digits, and so on; `prefix` is the
-    last cell and `closer` whether taking it comes closer to the budget than leaving it.
+    The budget beyond whole copies ends in one hash bucket, which is looked at with the next digits, and so on until it holds one
+    row. `prefix` is this last cell, with `below` words before it, `upto` words with it, and `rows` rows.
     """
     targets = materialise(source_targets(sized, weights, most), "targets").select(
         F.col("source").alias("s"), "source_size", "target",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).alias("whole"))
-    bounds = targets.filter("source_size > 0 AND target > whole * source_size").select(
-        "s", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"), F.lit("").alias("prefix"), F.lit(0).cast("long").alias("below"))
-    for step in range(1, LEVELS + 1):
-        bounds = materialise(_boundary(sized, bounds, step * DIGITS), "bounds")
-    closer = (F.col("below") < F.col("budget")) & (F.col("upto") - F.col("budget") <= F.col("budget") - F.col("below"))
-    bounds = bounds.select(F.col("s").alias("b"), "prefix", closer.alias("closer"))
+    bounds = _refined(sized, targets.filter("source_size > 0 AND target > whole * source_size").select(
+        "s", (F.col("target") - F.col("whole") * F.col("source_size")).alias("budget"), F.lit(0).cast("long").alias("below")), LEVELS)
+    bounds = bounds.withColumnRenamed("s", "b")
     return materialise(targets.join(bounds, F.col("s").eqNullSafe(F.col("b")), "left").drop("b"), "thresholds")
 
 
 def cell_of(doc_id: Column, text: Column) -> Column:
-    return F.substring(F.md5(F.concat_ws(":", doc_id.cast("string"), text).cast("binary")), 1, DIGITS * LEVELS)
+    """The first digits of md5 of the id and the text; a null id counts as `-`, a null text is no text at all."""
+    return _digits(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), text), LEVELS)
+
+
+def _digits(key: Column, levels: int) -> Column:
+    return F.substring(F.md5(key.cast("binary")), 1, DIGITS * levels)
 
 
 def _copies(cell: Column) -> Column:
-    prefix = F.col("t.prefix")
-    extra = F.coalesce((cell < prefix) | ((cell == prefix) & F.col("t.closer")), F.lit(False))
+    closer = (F.col("t.below") < F.col("t.budget")) & (F.col("t.upto") - F.col("t.budget") <= F.col("t.budget") - F.col("t.below"))
+    extra = F.when(cell.startswith(F.col("t.prefix")), closer).otherwise(cell < F.col("t.prefix"))
     return (F.col("t.whole") + F.when(extra, 1).otherwise(0)).cast("long")
 
 
+def _with_copies(rows: DataFrame, decided: DataFrame) -> DataFrame:
+    """`rows(d, source, size, cell)` with how often each is taken, `copies`, and the columns of `decided`.
+
+    Rows with the same id and text lie in one cell. If a budget ends in a cell of several rows, these are written with a number
+    each, and the budget that is left is divided among them by the hash of the number, as it was among all.
+    """
+    joined = rows.join(decided.alias("t"), F.col("source").eqNullSafe(F.col("t.s")))
+    columns = ["d", "size", *[F.col(f"t.{c}") for c in ("source_size", "target")]]
+    tied = F.coalesce((F.col("t.rows") > 1) & F.col("cell").startswith(F.col("t.prefix")), F.lit(False))
+    alone = joined.filter(~tied).select(*columns, _copies(F.col("cell")).alias("copies"))
+    if decided.filter("rows > 1").isEmpty():
+        return alone
+    numbered = materialise(
+        joined.filter(tied).select("d", "source", "size", F.monotonically_increasing_id().alias("number")), "tied").withColumn(
+        "cell", _digits(F.col("number").cast("string"), LEVELS))
+    bounds = _refined(numbered, decided.filter("rows > 1").select("s", "budget", "below"), LEVELS)
+    inner = materialise(decided.select("s", "source_size", "target", "whole").join(
+        bounds.withColumnRenamed("s", "b"), F.col("s").eqNullSafe(F.col("b"))).drop("b"), "tied-thresholds")
+    divided = numbered.join(inner.alias("t"), F.col("source").eqNullSafe(F.col("t.s")))
+    return alone.unionByName(divided.select(*columns, _copies(F.col("cell")).alias("copies")))
+
+
 def _sized(documents: DataFrame) -> DataFrame:
     return materialise(
         documents.select(
@@ -83,32 +107,42 @@ def mix(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     come to the target within the words of one threshold cell. The threshold is found digit by digit: token sums by source and
     hash bucket give the bucket in which the budget ends, and only that bucket is looked at with the next digits.
 
-    The hash is md5 of the id and the text, so reruns agree, and rows with the same id and text share a decision. Null and blank
-    texts have size 0 and take 0; a source without words has target 0; null sources are a source of their own; null ids are fine;
+    The hash is md5 of the id and the text, so reruns agree. Rows with the same id and text are told apart only if the budget ends
+    among them; which of them is taken makes no difference to the result. Null and blank texts have size 0 and take 0; a source without words has target 0; null sources are a source of their own; null ids are fine;
     an empty table gives an empty result; other columns are ignored.
     """
     sized = _sized(documents)
-    decided = thresholds(sized, weights, most)
-    return sized.join(decided.alias("t"), F.col("source").eqNullSafe(F.col("s"))).select(
-        "doc_id", "source", "size", "source_size", "target", (F.col("size") * _copies(F.col("cell"))).alias("taken"))
+    rows = sized.select(F.struct("doc_id", "source").alias("d"), "source", "size", "cell")
+    return _with_copies(rows, thresholds(sized, weights, most)).select(
+        "d.doc_id", "d.source", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3) -> DataFrame:
-    """The rows of `documents` that the mix takes, with all their columns and `copies`, how often each is taken."""
-    decided = thresholds(_sized(documents), weights, most).select("s", "whole", "prefix", "closer")
-    kept = documents.columns
-    joined = documents.alias("d").join(decided.alias("t"), F.col("d.source").cast("string").eqNullSafe(F.col("t.s")))
-    return joined.select(
-        *[F.col(f"d.`{c}`") for c in kept if c != "copies"], _copies(cell_of(F.col("d.doc_id"), F.col("d.text"))).alias("copies")
-    ).filter(F.col("copies") > 0)
+    """The rows of `documents` that the mix takes, with all their columns and `copies`, how often each is taken (a column of that
+    name is replaced). Repeated rows are taken as rows of their own; an empty table gives an empty result."""
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns if c != "copies"]).alias("d"), F.col("source").cast("string").alias("source"),
+        size_of(F.col("text")).alias("size"), cell_of(F.col("doc_id"), F.col("text")).alias("cell"))
+    return _with_copies(rows, thresholds(_sized(documents), weights, most)).select("d.*", "copies").filter(F.col("copies") > 0)
+
+
+def _refined(rows: DataFrame, bounds: DataFrame, levels: int) -> DataFrame:
+    """The cell of `rows(source, size, cell)` in which the budget of each row of `bounds(s, budget, below)` ends."""
+    bounds = bounds.withColumn("prefix", F.lit(""))
+    for step in range(1, levels + 1):
+        bounds = materialise(_boundary(rows, bounds.select("s", "budget", "below", "prefix"), step * DIGITS), "bounds")
+        if bounds.filter("rows > 1").isEmpty():
+            break
+    return bounds
 
 
 def _boundary(sized: DataFrame, bounds: DataFrame, digits: int) -> DataFrame:
     """The bucket of `digits` hash digits in which each source's budget ends, `below` and `upto` the words before it and with it."""
     inside = sized.join(bounds, F.col("source").eqNullSafe(F.col("s")) & F.col("cell").startswith(F.col("prefix")))
-    buckets = inside.groupBy("s", "budget", "below", F.substring("cell", 1, digits).alias("prefix")).agg(F.sum("size").alias("words"))
+    buckets = inside.groupBy("s", "budget", "below", F.substring("cell", 1, digits).alias("prefix")).agg(
+        F.sum("size").alias("words"), F.count(F.when(F.col("size") > 0, 1)).alias("rows"))
     upto = F.col("below") + F.sum("words").over(Window.partitionBy("s").orderBy("prefix"))
     return (
         buckets.withColumn("upto", upto).withColumn("below", F.col("upto") - F.col("words"))
         .filter((F.col("upto") > F.col("budget")) & (F.col("below") <= F.col("budget")))
-        .select("s", "budget", "prefix", "below", "upto"))
+        .select("s", "budget", "prefix", "below", "upto", "rows"))

@@ -121,7 +121,7 @@ SQL = {
     "op6_mixing": r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-    substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), text)), 1, 9) AS cell
+    md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), '-'), text)) AS place, row_number() OVER () AS n
   FROM documents),
 s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number
@@ -136,11 +136,10 @@ t AS (SELECT source, source_size, least(cap, weight * max(level) OVER ()) AS tar
 q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
 r AS (
   SELECT doc_id, size, source_size, target, whole, target - whole * source_size AS budget,
-    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY cell) AS BIGINT) AS upto,
-    CAST(sum(size) OVER (PARTITION BY d.source, cell) AS BIGINT) AS here
+    CAST(sum(size) OVER (PARTITION BY d.source ORDER BY place, n) AS BIGINT) AS upto
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-  CAST(size * (whole + CASE WHEN upto <= budget OR (upto - here < budget AND upto - budget <= budget - (upto - here)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+  CAST(size * (whole + CASE WHEN upto <= budget OR (upto - size < budget AND upto - budget <= budget - (upto - size)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM r""",
     "op7_decontamination": r"""
 WITH d AS (

@@ -50,6 +50,18 @@ def test_mixing_of_awkward_rows(spark, tmp_path):
     assert mixing.mix(empty(spark)).collect() == [] and mixing.mixed_documents(empty(spark)).collect() == []
 
 
+def test_mixing_divides_repeated_rows(spark, tmp_path):
+    rows = [(1, "one two three", "en", "x", 1)] * 1000 + [(i, "w " * 30, "en", "y", 1) for i in range(100)]
+    rows += [(3, "w " * 40, "en", None, 1)] * 50 + [(None, "five", "en", "x", 1)] * 10
+    con = awkward(tmp_path, spark, rows)
+    got = compare(mixing.mix(frame(spark, rows)).drop("source"), con, queries.SQL["op6_mixing"])
+    assert len(got) == len(rows)
+    for r in mixing.mix(frame(spark, rows)).groupBy("source").agg({"taken": "sum", "target": "max", "size": "max"}).collect():
+        assert abs(r["sum(taken)"] - r["max(target)"]) <= r["max(size)"] / 2 + 1e-6, r
+    words = mixing.mix(frame(spark, rows)).filter("source IS NULL").agg({"taken": "sum"}).first()[0]
+    assert mixing.mixed_documents(frame(spark, rows)).filter("source IS NULL").agg({"copies": "sum"}).first()[0] == words // 40
+
+
 def test_decontamination_of_awkward_rows(spark, tmp_path):
     rows = awkward_rows()
     base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma"
