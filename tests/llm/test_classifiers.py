@@ -91,6 +91,50 @@ def test_bradley_terry_ranks():
     assert quality.weighted_cut(np.array([1.0, 2, 3, 4]), np.ones(4), 0.5) == 2.5
 
 
+def plain_features(text):
+    """The shares that replaced switches, counted word by word."""
+    words = (text or "").split()
+    n, repeats = len(words), 0
+    for k in range(n):
+        repeats += words[k] in words[k - k % 100:k]
+    lines = [x for x in (text or "").split("\n") if x.strip()]
+    again = sum(x in lines[:k] for k, x in enumerate(lines))
+    most = max(words.count(w) for w in words)
+    different = sum(w not in words[:k] for k, w in enumerate(words))
+    return [(most - 1) / (n + 20), again / (len(lines) + 2), repeats / n, 1 - np.log(different + 1) / np.log(n + 1)]
+
+
+def test_measures_of_repetition():
+    rng = random.Random(2)
+    for n in (1, 2, 19, 20, 99, 100, 101, 399, 400, 401, 900):
+        text = "".join(rng.choice(["a", "bc", "def", "ghij", "k1", "l-m"]) + rng.choice([" ", " ", "\n"]) for _ in range(n))
+        got = quality.features(text)
+        assert np.allclose([got[7], got[16], got[17], got[18]], plain_features(text)), n
+    varied = " ".join(f"word{i}" for i in range(398))
+    before, after = (np.array(quality.features(varied + " x" * k)) for k in (1, 3))
+    assert np.abs(before - after).max() < 0.1
+    once = " ".join(rng.choice(["tree", "house", "river", "stone"]) + str(rng.randrange(300)) for _ in range(350))
+    first, tenfold = quality.features(once), quality.features(" ".join([once] * 10))
+    assert all(tenfold[k] >= first[k] for k in (7, 16, 18)) and tenfold[18] > first[18] + 0.1 and abs(tenfold[17] - first[17]) < 0.05
+
+
+def test_weights_and_cut_equal_a_plain_fit():
+    rng = random.Random(5)
+    good = [" ".join(rng.choices(["river", "stone", "walked", "over", "the", "bridge"], k=rng.randrange(5, 60))) + "." for _ in range(60)]
+    bad = [" ".join(rng.choices(["BUY", "NOW", "$$$", "click", "!!!"], k=rng.randrange(5, 60))) for _ in range(40)]
+    sample = [(t, 1) for t in good] + [(t, 0) for t in bad]
+    ranking = quality.Ranking(sample, 0.4, 0.3)
+    x = (np.array([quality.features(t) for t, _ in sample]) - ranking.mean) / ranking.scale
+    draw = np.random.default_rng(5)
+    d = x[:60][draw.integers(0, 60, quality.PAIRS)] - x[60:][draw.integers(0, 40, quality.PAIRS)]
+    pull = d.T @ (1 / (1 + np.exp(d @ ranking.w))) / len(d) - 1e-4 * ranking.w  # gradient of the loss is zero at its least
+    assert np.abs(pull).max() < 1e-4
+    raw = x @ ranking.w
+    assert raw[60:].max() < ranking.cut < raw[:60].min()
+    scores = ranking.scores(np.array([quality.features(t) for t, _ in sample]))
+    assert ((scores >= 0.3) == (np.array([y for _, y in sample]) == 1)).all()
+
+
 def test_rare_and_ordinary_words_find_their_neighbours(spark):
     rng = random.Random(8)
     words = [f"{a}{b}{c}" for a in "bdfg" for b in "aeiou" for c in ("lm", "rn", "st")]
