@@ -2,7 +2,7 @@
 
 A corpus has far more (document, word) pairs than (block, word) pairs, so what has to meet across the cluster is one row for
 each distinct string of a block. Documents themselves stay in compressed payloads of local ids until the answers come back.
-A block is bounded by bytes of text (one longer document makes a block of its own), so no task ever gathers more than that.
+A block ends with the text that brings it to its bytes, so it exceeds them by less than that one text, and no task ever gathers more.
 """
 
 from __future__ import annotations
@@ -12,11 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, functions as F
 
 #: Bytes of text after which a block is closed.
 BLOCK_BYTES = 48 << 20
+#: What a row counts beside its text.
+ROW_BYTES = 8
 
 _OPTIONS = pa.ipc.IpcWriteOptions(compression="zstd")
 
@@ -80,12 +83,17 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
 
 
 def grouped_texts(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, bool]]:
-    """Slices of at most 500 rows, and whether the block ends with it."""
+    """Slices of at most 500 rows, and whether the block ends with it. A block ends with the row that brings it to `most` bytes."""
     size, waiting = 0, None
     for part in small(batches):
-        if waiting is not None:
-            yield waiting, size >= most
-            size = 0 if size >= most else size
-        waiting, size = part, size + part.column(text).nbytes
+        ends = np.cumsum(pc.fill_null(pc.binary_length(part.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + ROW_BYTES)
+        start = 0
+        while start < part.num_rows:
+            if waiting is not None:
+                yield waiting, size >= most
+                size = 0 if size >= most else size
+            before = int(ends[start - 1]) if start else 0
+            stop = min(part.num_rows, int(np.searchsorted(ends, before + most - size)) + 1)
+            waiting, size, start = part.slice(start, stop - start), size + int(ends[stop - 1]) - before, stop
     if waiting is not None:
         yield waiting, True

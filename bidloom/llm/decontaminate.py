@@ -210,6 +210,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, slop: int | None = 2) ->
     nothing; null items too. Null item ids match and are listed as null; items with equal ids count as one. Repeated rows keep a
     row each. With an empty benchmark nothing matches; empty documents give an empty result. Other columns are ignored.
     """
+    if slop is not None and not 0 <= slop < GAP:
+        raise ValueError(f"slop has to be from 0 to {GAP - 1}, as documents of a block lie {GAP} positions apart")
     index = positional_index(documents)
     found = None
     for windows, more in _chunks(benchmark):

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -100,3 +101,22 @@ def test_model_learns_order_and_sums_to_one():
 def test_contexts_stop_at_documents():
     one, two = lbl.contexts(np.array([1, 2, 3, 4, 5]), np.array([0, 1, 1, 3, 5]), 9)
     assert one.tolist() == [9, 9, 2, 9, 4] and two.tolist() == [9, 9, 9, 9, 9]
+
+
+def test_blocks_exceed_their_bytes_by_one_text_at_most():
+    import pyarrow as pa
+
+    from bidloom.llm.blocks import ROW_BYTES, grouped_texts
+
+    rng = random.Random(1)
+    for sizes in ([300_000] * 200, [rng.choice([0, 10, 5000, 900_000]) for _ in range(1500)], [5] * 3000, [], [2_000_000] * 3):
+        texts = ["x" * n if n != 10 else None for n in sizes]
+        batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[k:k + 700], pa.string())}) for k in range(0, len(texts), 700)]
+        got, block = [], []
+        for part, last in grouped_texts(iter(batches), "text", 1 << 20):
+            block += part.column("text").to_pylist()
+            if last:
+                bytes_of = [len(t or "") + ROW_BYTES for t in block]
+                assert sum(bytes_of[:-1]) < 1 << 20
+                got, block = got + block, []
+        assert got == texts and not block

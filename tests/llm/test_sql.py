@@ -98,6 +98,15 @@ def test_near_matches(spark):
     assert got == {1: 1, 2: 1, 3: 0, 4: 0}
 
 
+def test_near_matches_do_not_run_over_documents(spark):
+    docs = frame(spark, [(1, "alpha beta", None, None, None), (2, "gamma delta", None, None, None)], parts=1)
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta")], "item_id long, text string")
+    assert decontaminate.contamination(docs, bench, slop=decontaminate.GAP - 1).filter("n_near_items > 0").count() == 0
+    for slop in (decontaminate.GAP, 80, -1):
+        with pytest.raises(ValueError):
+            decontaminate.contamination(docs, bench, slop=slop)
+
+
 def test_topk_of_awkward_vectors(spark):
     import random
 
