@@ -18,8 +18,10 @@ from .samples import labelled_sample
 
 #: Most labelled documents learnt from, by label.
 SAMPLE = {1: 2500, 0: 10000}
-#: Neighbours that vote, most frequent terms that are held as rows of a matrix, and texts whose cosines are computed at once.
-NEIGHBOURS, DENSE, TOGETHER = 15, 512, 64
+#: Neighbours that vote, most frequent terms that are bounded by block maxima, examples in a block, and texts that are searched together.
+NEIGHBOURS, DENSE, BLOCK, TOGETHER = 15, 1024, 8, 64
+#: More than rounding in single precision can do to a cosine; a text of which more than one in MOST_OPEN examples stays open meets them all.
+SLACK, MOST_OPEN = 1e-5, 32
 #: A term weighs LEAST_WEIGHT to 1 + LEAST_WEIGHT times its TF-IDF, half way where chance explains one such term among all in 1 / CHANCE samples.
 LEAST_WEIGHT, CHANCE = 0.02, 0.05
 _EDGES = ".,;:!?\"'()[]{}<>*%&$#|~^_-+=/\\`…«»„“”‚‘’"
@@ -38,7 +40,7 @@ def words_of(text: str) -> list[str]:
 
 
 class Examples:
-    """Unit TF-IDF vectors of labelled documents over all their terms, as inverted lists; lists of frequent terms are rows of a matrix.
+    """Unit TF-IDF vectors of labelled documents over all their terms, as inverted lists; lists of frequent terms have block maxima.
 
     TF-IDF is scaled by how surely a term goes with a label (log-likelihood ratio against the number of terms). The scale is never 0, so
     all terms take part. Only examples without words have a zero vector, cosine 0 with everything, and are not indexed.
@@ -72,15 +74,17 @@ class Examples:
 
     def counts_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a text and their counts; `known` keeps the terms of words from text to text."""
-        found, times = [], []
-        for word, n in Counter(words_of(text)).items():
+        found, sizes = [], []
+        words = Counter(words_of(text))
+        for word in words:
             ids = known.get(word)
             if ids is None:
                 ids = known[word] = tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms)
             found += ids
-            times += [n] * len(ids)
-        ids, place = np.unique(np.array(found, np.int64), return_inverse=True)
-        return ids.astype(np.int32), np.bincount(place, times, len(ids)).astype(np.int32)
+            sizes.append(len(ids))
+        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
+        ids, place = np.unique(np.array(found, np.int32), return_inverse=True)
+        return ids, np.bincount(place, times, len(ids)).astype(np.int32)
 
     def vector_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
         return self._unit(*self.counts_of(text, known))
@@ -100,56 +104,97 @@ class Examples:
         rows = np.repeat(np.arange(len(counts), dtype=np.uint16), [len(i) for i, _ in counts])
         ids = np.concatenate([i for i, _ in counts]).astype(np.int32) if counts else np.empty(0, np.int32)
         tf = np.concatenate([n for _, n in counts]) if counts else np.empty(0, np.int32)
+        tf = tf.astype(np.min_scalar_type(int(tf.max(initial=0))))
         order = np.argsort(ids, kind="stable")
         self.norms = np.array([math.sqrt(w @ w) for w in (self._raw(*c) for c in counts)])
         self._lists(np.bincount(ids, minlength=len(self.terms)).astype(np.int32), rows[order], tf[order])
 
     def _lists(self, sizes: np.ndarray, rows: np.ndarray, tf: np.ndarray) -> None:
-        self.sizes, self.tf = sizes, tf
+        """Lists of rare terms with their weights; of the DENSE most frequent terms counts and weights by example, and block maxima."""
+        self.sizes, self.rows, self.tf = sizes, rows, tf
         self.lists = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
+        dense, blocks = min(DENSE, len(sizes)), -(-len(self.norms) // BLOCK)
+        often = self.lists[dense]
         ids = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.rows, self.weights = rows, self._raw(ids, tf) / self.norms[rows]
-        often = self.lists[min(DENSE, len(sizes))]
-        self.matrix = np.zeros((min(DENSE, len(sizes)), len(self.norms)))
-        self.matrix[ids[:often], rows[:often]] = self.weights[:often]
+        self.weights = self._raw(ids[often:], tf[often:]) / self.norms[rows[often:]]
+        self.counts = np.zeros((blocks * BLOCK, dense), tf.dtype)
+        self.counts[rows[:often], ids[:often]] = tf[:often]
+        self.often = np.zeros((blocks * BLOCK, dense), np.float32)
+        self.often[rows[:often], ids[:often]] = self._raw(ids[:often], tf[:often]) / self.norms[rows[:often]]
+        self.bounds = np.ascontiguousarray(self.often.reshape(blocks, BLOCK, dense).max(1).T)
 
     def __reduce__(self):
-        """Sent to tasks as counts, compressed; lists and matrix are made again once in each worker."""
+        """Sent to tasks as counts, compressed; lists, weights and maxima are made again once in each worker."""
         state = {k: getattr(self, k) for k in ("idf", "label", "base", "silent", "slope", "shift", "norms", "sizes", "rows", "tf")}
         data = zlib.compress(pickle.dumps(("\n".join(self.terms), state), 5), 1)
         return _unpacked, (hashlib.sha256(data).hexdigest(), data)
 
-    def cosines(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Of each vector with every example."""
-        often = np.zeros((len(vectors), len(self.matrix)))
+    def _rare_part(self, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Sums over the lists of the rare terms of a vector, by block and place in the block."""
+        n, dense = np.searchsorted(ids, self.often.shape[1]), self.lists[self.often.shape[1]]
+        first = self.lists[ids[n:]]
+        sizes = self.lists[ids[n:] + 1] - first
+        places = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        sums = np.bincount(self.rows[places], np.repeat(w[n:], sizes) * self.weights[places - dense], len(self.often))
+        return sums.astype(float).reshape(-1, BLOCK)
+
+    def _exact(self, rows: np.ndarray, ids: np.ndarray, w: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        """Cosines with some examples in double precision, from counts."""
+        n = np.searchsorted(ids, self.often.shape[1])
+        tf = self.counts[rows[:, None], ids[:n]].astype(float)
+        weights = np.where(tf > 0, 1 + np.log(np.maximum(tf, 1)), 0.0) * self.idf[ids[:n]]
+        return weights @ w[:n] / self.norms[rows] + rare.ravel()[rows]
+
+    def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS,
+               without: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the exact top k by cosine among those above 0, ties (12 digits) to the smaller example.
+
+        The lists of rare terms are summed. For frequent terms the block maxima bound what a block of examples can add: the blocks of
+        the largest bounds are opened first, their kth cosine closes all blocks and then all examples whose bound is below it. Where
+        too many stay open, all examples are computed, several vectors in one product. Single precision decides only beyond SLACK; what
+        is left is computed in double precision."""
+        if not len(self.norms):
+            return [(np.empty(0, np.int64), np.empty(0))] * len(vectors)
+        q = np.zeros((len(vectors), self.often.shape[1]), np.float32)
         for row, (ids, w) in enumerate(vectors):
-            n = np.searchsorted(ids, len(self.matrix))
-            often[row, ids[:n]] = w[:n]
-        out = often @ self.matrix
+            n = np.searchsorted(ids, q.shape[1])
+            q[row, ids[:n]] = w[:n]
+        limits = q @ self.bounds
+        out: list = [None] * len(vectors)
+        open_ones = []
         for row, (ids, w) in enumerate(vectors):
-            n = np.searchsorted(ids, len(self.matrix))
-            first = self.lists[ids[n:]]
-            sizes = self.lists[ids[n:] + 1] - first
-            places = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-            if len(places):
-                out[row] += np.bincount(self.rows[places], np.repeat(w[n:], sizes) * self.weights[places], out.shape[1])
+            rare = self._rare_part(ids, w)
+            rare.ravel()[len(self.norms):] = -2
+            if without is not None:
+                rare.ravel()[without] = -2
+            limit = rare.max(1) + limits[row]
+            n = min(len(limit), 2 * k // BLOCK + 2)
+            best = np.argpartition(limit, -n)[-n:]
+            least = _kth((rare[best] + (self.often.reshape(-1, BLOCK, q.shape[1])[best] @ q[row])).ravel(), k) - SLACK
+            blocks = np.flatnonzero(limit >= least)
+            inside, place = np.nonzero(rare[blocks] + limits[row, blocks][:, None] >= least)
+            rows = blocks[inside] * BLOCK + place
+            if len(rows) * MOST_OPEN > len(self.norms):
+                open_ones.append((row, rare))
+            else:
+                out[row] = self._finish(rows, rare.ravel()[rows] + self.often[rows] @ q[row], ids, w, rare, k)
+        if open_ones:
+            sums = q[[row for row, _ in open_ones]] @ self.often.T
+            every = np.arange(len(self.norms))
+            for (row, rare), dense in zip(open_ones, sums):
+                out[row] = self._finish(every, rare.ravel()[every] + dense[every], *vectors[row], rare, k)
         return out
 
+    def _finish(self, rows: np.ndarray, near: np.ndarray, ids: np.ndarray, w: np.ndarray, rare: np.ndarray, k: int):
+        rows = rows[near >= max(_kth(near, k), 0) - SLACK]
+        cosines = self._exact(rows, ids, w, rare)
+        some = cosines > 0
+        rows, cosines = rows[some], cosines[some]
+        first = np.lexsort((rows, -np.round(cosines, 12)))[:k]
+        return rows[first], cosines[first]
+
     def nearest(self, ids: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Exact top k by cosine, ties to the smaller example."""
-        return self._top(self.cosines([(ids, w)])[0], k, without)
-
-    @staticmethod
-    def _top(cosines: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        if without is not None:
-            cosines[without] = 0
-        if len(cosines) > k:
-            rows = np.flatnonzero(cosines >= max(np.partition(cosines, -k)[-k] - 1e-11, 0))
-        else:
-            rows = np.arange(len(cosines))
-        rows = rows[cosines[rows] > 0]
-        rows = rows[np.lexsort((rows, -np.round(cosines[rows], 12)))[:k]]
-        return rows, cosines[rows]
+        return self.search([(ids, w)], k, without)[0]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Log odds of the votes, each weighing as its squared cosine, so that far neighbours hardly count against the share of label 1."""
@@ -177,12 +222,16 @@ class Examples:
 
     def score(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
         """Score, nearest examples and their cosines for each vector."""
-        found = [self._top(c) for at in range(0, len(vectors), TOGETHER) for c in self.cosines(vectors[at:at + TOGETHER])]
+        found = [x for at in range(0, len(vectors), TOGETHER) for x in self.search(vectors[at:at + TOGETHER])]
         return [
             (1 / (1 + math.exp(-np.clip(self.slope * self.vote(rows, cosines) + self.shift, -30, 30))) if len(rows) else float(self.silent),
              rows, cosines) for rows, cosines in found]
 
 
+def _kth(values: np.ndarray, k: int) -> float:
+    return float(np.partition(values, -k)[-k]) if len(values) >= k else -1.0
+
+
 _HELD: dict[str, Examples] = {}
 
 

@@ -1,3 +1,4 @@
+import pickle
 import random
 import zlib
 
@@ -61,6 +62,33 @@ def test_nearest_equals_all_cosines():
             assert rows.tolist() == want.tolist() and np.allclose(found, cosines[want])
 
 
+def test_block_maxima_lose_no_neighbour():
+    rng = random.Random(6)
+    words, bad = [f"{a}{b}{c}" for a in "bdfgklm" for b in "aeiou" for c in ("lm", "rn", "st", "ck")], [f"vile{i}" for i in range(9)]
+    sample = [(" ".join(rng.choices(words, k=rng.randrange(3, 60)) + rng.choices(bad, k=rng.randrange(4) * (i % 5 == 0))), int(i % 5 == 0)) for i in range(700)]
+    sample += [sample[k] for k in range(0, 700, 50)]  # ties
+    texts = [" ".join(rng.choices(words, k=n) + rng.choices(bad, k=n % 3)) for n in range(1, 70)] + ["", "unknown", sample[3][0]]
+    examples = pickle.loads(pickle.dumps(toxicity.Examples(sample)))  # as the tasks get them
+    vectors = [examples.vector_of(t, {}) for t in texts]
+    dense = np.zeros((len(sample), len(examples.terms)))
+    for row, (text, _) in enumerate(sample):
+        ids, w = examples.vector_of(text, {})
+        dense[row, ids] = w
+    for most_open in (1, 4, 1000):  # all texts, some and none meet every example
+        toxicity.MOST_OPEN, kept = most_open, toxicity.MOST_OPEN
+        scored = examples.score(vectors)
+        toxicity.MOST_OPEN = kept
+        for (ids, w), (score, rows, found) in zip(vectors, scored):
+            cosines = dense[:, ids] @ w
+            want = np.lexsort((np.arange(len(sample)), -np.round(cosines, 12)))[:toxicity.NEIGHBOURS]
+            want = want[cosines[want] > 0]
+            assert rows.tolist() == want.tolist() and np.allclose(found, cosines[want], atol=1e-12)
+            votes = [sum(cosines[r] ** 2 for r in want if sample[r][1] == y) for y in (0, 1)]
+            base = (sum(y for _, y in sample) + 0.5) / (len(sample) + 1)
+            odds = examples.slope * np.log((votes[1] + base) / (votes[0] + 1 - base)) + examples.shift
+            assert abs(score - (1 / (1 + np.exp(-odds)) if len(want) else examples.silent)) < 1e-9
+
+
 def test_awkward_rows_and_missing_labels(spark):
     rows = awkward_rows()
     docs = frame(spark, rows)
