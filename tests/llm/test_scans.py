@@ -202,3 +202,44 @@ def test_awkward_rows(spark):
     got = licenses.license_scan(frame(spark, rows)).collect()
     assert len(got) == len(rows) and sum(r.n_matches for r in got) == 5000
     assert licenses.license_scan(empty(spark)).collect() == []
+
+
+def test_named_licences_and_whole_notices():
+    assert found("// SPDX-License-Identifier: BSD-3-Clause\nint x;") == ["BSD-3-Clause"]
+    assert found("# SPDX-License-Identifier: GPL-2.0-only\n") == ["GPL-2.0-only"] == found("SPDX-License-Identifier: GPL-2.0")
+    assert found("SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */") == ["GPL-2.0-only WITH Linux-syscall-note"]
+    assert found("SPDX-License-Identifier: GPL-2.0+") == [] == found("SPDX-License-Identifier: GPL-2.0+\nint x;")
+    for name in licenses.SPDX_IDS:
+        assert found(f"/* x */\n * SPDX-License-Identifier: {name}\n */") == [name]
+    s = licenses.SENTENCES
+    text = lambda *names: "\n\n".join(s[n].capitalize() + "." for n in names)
+    assert found(text("mit-grant", "mit-notice", "mit-warranty", "mit-liability")) == ["MIT"]
+    assert found(text("isc-grant", "isc-warranty")) == ["ISC"] and found(text("0bsd-grant", "isc-warranty")) == ["0BSD"]
+    assert found(text("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty")) == ["BSD-2-Clause"]
+    assert found(text("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty")) == ["BSD-3-Clause"]
+    assert found(text("bsd-grant", "bsd-source", "bsd-binary", "bsd-advertising", "bsd-endorse")) == ["BSD-4-Clause"]
+    assert found(text("lgpl21-free", "lgpl-hope", "lgpl-details")) == ["LGPL-2.1-or-later"]
+    assert found(text("agpl3-free", "gpl-hope", "agpl-details")) == ["AGPL-3.0-or-later"]
+    assert found(text("gpl2-free", "gpl-hope", "gpl-details", "classpath")) == ["GPL-2.0-or-later WITH Classpath-exception-2.0"]
+    assert found("This is free and unencumbered software released into the public domain.") == ["Unlicense"]
+    assert found("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.") == ["CC-BY-NC-SA-4.0"]
+
+
+def test_rules_equal_a_plain_reading():
+    """Every rule in order at every place, over random sequences of known and unknown sentences."""
+    rng = random.Random(12)
+    names = sorted({n for r in licenses.RULES if len(r.sentences) > 1 for n in r.sentences})
+    for _ in range(400):
+        picked = [rng.choice(names) for _ in range(rng.randrange(12))]
+        if rng.random() < 0.7:
+            picked[3:3] = rng.choice([r for r in licenses.RULES if len(r.sentences) > 1]).sentences
+        sentences = [s for n in picked for s in [licenses.SENTENCES[n]] + ["some other words"] * rng.choice((0, 0, 0, 1, 3))]
+        back = {v: k for k, v in licenses.SENTENCES.items()}
+        places = [(back[x], k) for k, x in enumerate(sentences) if x in back]
+        want, at = [], 0
+        while at < len(places):
+            fits = [r for r in licenses.RULES if tuple(n for n, _ in places[at:at + len(r.sentences)]) == r.sentences and all(
+                b - a <= licenses.BETWEEN for (_, a), (_, b) in zip(places[at:], places[at + 1:at + len(r.sentences)]))]
+            want += [fits[0].license] if fits else []
+            at += len(fits[0].sentences) if fits else 1
+        assert found("\n\n".join(x.capitalize() + "." for x in sentences)) == want, sentences
