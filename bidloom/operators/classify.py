@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -79,20 +80,27 @@ def rule_rows(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
 
 
 class RuleIndex:
-    """Rules behind one automaton over all their words, so that a text is read once however many rules there are."""
+    """Rules behind one automaton over all their words, so that a text is read once however many rules there are.
+
+    A rule is looked at only if a word of its rarest group is in the text, rarest by how many rules name its words, so that a word
+    that many rules share costs a text nothing."""
 
     def __init__(self, rows: Sequence[tuple[int, str, int, str]], default: str):
         self.default = default
         self.labels: dict[int, str] = {}
-        groups: dict[int, set[int]] = {}
-        self.needs: dict[str, set[tuple[int, int]]] = {}
+        groups: dict[int, dict[int, set[str]]] = {}
+        named: Counter[str] = Counter()
         for order, label, group, word in rows:
             if self.labels.setdefault(order, label) != label:
                 raise ValueError(f"rule {order} has two labels")
-            groups.setdefault(order, set()).add(group)
-            self.needs.setdefault(word, set()).add((order, group))
-        self.groups = {order: len(g) for order, g in groups.items()}
-        self.always = self.needs.pop("", set())  # every text has the empty word
+            groups.setdefault(order, {}).setdefault(group, set()).add(word)
+            named[word] += 1
+        self.groups = {order: [frozenset(g) for g in by.values()] for order, by in groups.items()}
+        self.needs = set(named) - {""}  # every text has the empty word
+        self.rules_at: dict[str, list[int]] = {}
+        for order in sorted(self.groups):
+            for word in min(self.groups[order], key=lambda g: sum(named[w] for w in g)):
+                self.rules_at.setdefault(word, []).append(order)
         self.automaton = None
 
     def words(self, text: str) -> set[str]:
@@ -110,12 +118,16 @@ class RuleIndex:
         """Label of the rule with the lowest order all of whose groups have a word in the text."""
         if text is None:
             return self.default
-        met = set(self.always).union(*(self.needs[word] for word in self.words(text)))
-        found: dict[int, int] = {}
-        for order, _ in met:
-            found[order] = found.get(order, 0) + 1
-        whole = [order for order, n in found.items() if n == self.groups[order]]
-        return self.labels[min(whole)] if whole else self.default
+        words = self.words(text) | {""}
+        best = None
+        for word in words & self.rules_at.keys():
+            for order in self.rules_at[word]:
+                if best is not None and order >= best:
+                    break
+                if not any(g.isdisjoint(words) for g in self.groups[order]):
+                    best = order
+                    break
+        return self.default if best is None else self.labels[best]
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"automaton": None}  # built again in each worker
@@ -125,13 +137,26 @@ def classify_by_table(df: DataFrame, text: str, rules: DataFrame, out: str = "la
     """`rule_classify` with the rules of a table (RULE_TABLE): the column `out` is the label of the first rule that holds for the lower-cased
     column `text`.
 
-    A chain of conditions grows with the rules and looks for each word anew; here all words are looked for in one pass over the text. The
-    rules go to every task, up to MOST_WORDS words; more are refused. Words are taken as they are, so upper case never matches."""
-    rows = [tuple(r) for r in rules.select("rule_order", "label", "word_group", "word").limit(MOST_WORDS + 1).collect()]
+    A chain of conditions grows with the rules and looks for each word anew; here all words are looked for in one pass over the text. Of
+    rules that ask for the same words only the first can win, so only it goes to the tasks, up to MOST_WORDS words in all; more are
+    refused. Words are taken as they are, so upper case never matches."""
+    rules = rules.select("rule_order", "label", "word_group", "word")
+    if not rules.where(reduce(Column.__or__, [F.col(c).isNull() for c in rules.columns])).isEmpty():
+        raise ValueError("a rule has a null")
+    words = rules.groupBy("rule_order", "word_group").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.sort_array(F.collect_set("word")).alias("words"))
+    whole = words.groupBy("rule_order").agg(
+        F.min("low").alias("label"), F.max("high").alias("other"), F.sort_array(F.collect_set("words")).alias("groups"))
+    first = whole.groupBy("groups").agg(
+        F.min(F.struct("rule_order", "label")).alias("rule"), F.max(F.when(F.col("label") != F.col("other"), F.col("rule_order"))).alias("twice"))
+    rows = [tuple(r) for r in first.select("rule.*", "twice", F.posexplode("groups").alias("word_group", "words")).select(
+        "rule_order", "label", "word_group", F.explode("words").alias("word"), "twice").limit(MOST_WORDS + 1).collect()]
     if len(rows) > MOST_WORDS:
         raise ValueError(f"more than {MOST_WORDS} words of rules")
-    if any(x is None for row in rows for x in row):
-        raise ValueError("a rule has a null")
+    for *_, twice in rows:
+        if twice is not None:
+            raise ValueError(f"rule {twice} has two labels")
+    rows = [row[:-1] for row in rows]
     index = RuleIndex(rows, default)
 
     @F.pandas_udf("string")

@@ -1,6 +1,7 @@
 """A seventh document type without an edit in the library, rules as a table, files that are refused, the second reader's text."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -99,3 +100,27 @@ def test_thousands_of_rules_from_a_table_equal_the_chain(spark):
     assert index.label(None) == "none"
     empty = spark.createDataFrame([], C.RULE_TABLE)
     assert {r.label for r in C.classify_by_table(df, "t", empty).collect()} == {"unknown"}
+
+
+def test_rules_that_ask_for_the_same_words_are_kept_once(spark, monkeypatch):
+    """More rules than words may be sent to tasks, but few different ones: the first of them wins and the table is not refused."""
+    monkeypatch.setattr(C, "MOST_WORDS", 50)
+    rules = spark.range(3000).selectExpr(
+        "cast(2999 - id as int) rule_order", "concat('r', 2999 - id) label", "explode(array(0, 1)) word_group", "id % 5 n").selectExpr(
+        "rule_order", "label", "word_group", "if(word_group = 0, cast(n as string), 'the') word")
+    df = spark.createDataFrame([(0, "the 3"), (1, "3 an"), (2, "THE 4 and 1"), (3, None)], "i int, t string")
+    got = {r.i: r.label for r in C.classify_by_table(df, "t", rules).collect()}
+    assert got == {0: "r1", 1: "unknown", 2: "r0", 3: "unknown"}
+    two = rules.unionByName(rules.limit(1).selectExpr("rule_order", "'other' label", "word_group", "word"))
+    with pytest.raises(ValueError, match="two labels"):
+        C.classify_by_table(df, "t", two)
+
+
+def test_a_word_that_many_rules_share_costs_a_text_nothing():
+    rows = [(n, f"r{n}", g, w) for n in range(20000) for g, w in enumerate((f"w{n}", "the"))]
+    index = C.RuleIndex(rows, "none")
+    index.words = lambda text: set(text.split())
+    started = time.perf_counter()
+    assert [index.label(f"the w{n} w{n + 1}") for n in range(2000)] == [f"r{n}" for n in range(2000)]
+    assert index.label("w7") == "none"
+    assert time.perf_counter() - started < 1
