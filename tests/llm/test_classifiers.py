@@ -185,3 +185,36 @@ def test_a_sampled_id_on_many_rows_gives_one_text(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
     sample = labelled_sample(docs, labels, "toxic", F.lit(True), {1: 5, 0: 5})
     assert len(sample) == 2 and sorted(y for _, y in sample) == [0, 1]
+
+
+def test_quality_learns_from_every_label(spark, monkeypatch):
+    """Blocks of a few rows, one worse document in fifty: each label counts, and the cut is that of all scores."""
+    monkeypatch.setattr(quality, "BLOCK_ROWS", 40)
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices(["river", "Stone", "walked,", "over", "the", "bridge", "x9", "| "], k=rng.randrange(4, 50)))) for i in range(900)]
+    labels = spark.createDataFrame([(i, int(i % 50 != 0)) for i, _ in rows], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    learnt = [(t, int(i % 50 != 0)) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    share = sum(1 - y for _, y in learnt) / len(learnt)
+    blocks = quality.learnt_blocks(docs, labels, quality.fold(F.col("doc_id"), 5) != 0)
+    parts = [p for b in blocks.toArrow().to_batches() for p in quality._payloads([b])]
+    assert len(parts) > 10 and sum(int(own.sum()) for *_, own in parts) == len(set(learnt))
+    assert all(len(quality._differences(n, x, y)) >= 8 * len(y[y == 1]) > 0 for n, x, y, _ in parts)
+    ranking = quality.fit(docs, labels)
+    x = np.array([quality.features(t) for t, _ in sorted(set(learnt))])
+    y = np.array([y for _, y in sorted(set(learnt))])
+    assert np.allclose(ranking.mean, x.mean(0)) and np.allclose(ranking.scale, np.maximum(x.std(0), 1e-3))
+    raw = (x - ranking.mean) / ranking.scale @ ranking.w
+    weight = np.where(y == 1, (1 - share) / (y == 1).sum(), share / (y == 0).sum())
+    assert abs(ranking.cut - quality.weighted_cut(raw, weight, share)) < 1e-9
+    assert (quality.fit(docs, labels).w == ranking.w).all()
+
+
+def test_the_cut_is_found_in_bins(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BINS", 3)
+    rng = np.random.default_rng(3)
+    for v in (rng.normal(size=200), np.round(rng.normal(size=200)), np.zeros(5), np.array([1.0, 2, 3, 4])):
+        df = spark.createDataFrame([(float(a), 1) for a in v], "v double, y int")
+        for share in (0.0, 0.3, 0.5, 1.0):
+            got = quality.distributed_cut(df, {0: 0.0, 1: 1 / len(v)}, share)
+            assert abs(got - quality.weighted_cut(v, np.full(len(v), 1 / len(v)), share)) < 1e-12, (share, len(v))
