@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.ranks import BLOCK
 
+#: Rows that a task sorts, about; larger tables are dealt to more tasks than `spark.sql.shuffle.partitions`.
+TASK_ROWS = 1_000_000
+
 
 def next_value(
     left: DataFrame, right: DataFrame, keys: Sequence[str], position: str, value: str, out: str, block: int = BLOCK
@@ -17,7 +20,8 @@ def next_value(
 
     Both sides are merged and scanned once per positional block, not compared pairwise. A row that finds
     nothing in its own block takes the first value of the next block that has one, so a key of any size is
-    spread over as many tasks as it has blocks.
+    spread over as many tasks as it has blocks. What a task sorts does not grow with the tables: the rows are counted first.
+    Pass written tables (`session.materialise`), as each side is read again for that.
     """
     keys = list(keys)
     rest = [c for c in left.columns if c not in (*keys, position)]
@@ -29,7 +33,8 @@ def next_value(
     theirs = right.where(F.col(value).isNotNull()).select(
         *keys, position, cut, F.lit(None).cast(row_type).alias("_row"), F.col(value).alias("_value")
     )
-    merged = ours.unionByName(theirs)
+    tasks = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(left.count() + right.count()) // TASK_ROWS))
+    merged = ours.unionByName(theirs).repartition(tasks, *keys, "_block")
 
     # at equal positions the value comes first, so it lies behind the row and is not taken
     order = [F.col(position), F.when(F.col("_row").isNull(), 0).otherwise(1)]
@@ -37,6 +42,7 @@ def next_value(
     scanned = merged.withColumn("_here", F.first("_value", ignorenulls=True).over(ahead)).where("_row is not null")
 
     blocks = merged.groupBy(*keys, "_block").agg(F.min_by("_value", F.when(F.col("_value").isNotNull(), F.col(position))).alias("_first"))
+    blocks = blocks.repartition(tasks, *keys)
     later = Window.partitionBy(*keys).orderBy("_block").rowsBetween(1, Window.unboundedFollowing)
     beyond = blocks.select(*keys, "_block", F.first("_first", ignorenulls=True).over(later).alias("_beyond"))
     found = scanned.join(beyond, [*keys, "_block"])

@@ -75,7 +75,7 @@ def bidders_bid_tabs(spark, sf_dir):
 
 @query("""SELECT contract_number, house AS position, bidder_name, CAST(next_total AS DOUBLE) AS next_total FROM b""")
 def asof_next_total(spark, sf_dir):
-    b = star.bidders(spark, sf_dir)
+    b = materialise(star.bidders(spark, sf_dir).select("contract_number", "position", "bidder_name", "total_bid_amount"), "bids")
     left = b.select("contract_number", (F.col("position") * 2).alias("at"), "position", "bidder_name")
     right = b.select(
         "contract_number", (F.col("position") * 2 + 1).alias("at"),

@@ -239,3 +239,16 @@ def test_item_lines_equal_a_row_wise_reading(spark):
                 want.append((m[1], m[2], " ".join(words) or None, unit, prices[0] if prices else None,
                              prices[1] if len(prices) > 1 else prices[0] if prices else None))
         assert got[i] == want, text
+
+
+def test_an_as_of_match_is_dealt_by_its_rows(spark, monkeypatch, capsys):
+    from bidloom.operators import asof
+
+    monkeypatch.setattr(asof, "TASK_ROWS", 50)
+    left = spark.range(400).selectExpr("id % 40 k", "id div 40 at", "id")
+    right = spark.range(400).selectExpr("id % 40 k", "id div 40 at", "if(id % 3 = 0, id, null) v")
+    got = asof.next_value(left, right, ["k"], "at", "v", "next")
+    got.explain()
+    assert re.search(r"hashpartitioning\([^)]*, 16\), REPARTITION_BY_NUM", capsys.readouterr().out)
+    for r in got.collect():
+        assert r.next == next((i for i in range(r.id + 40, 400, 40) if i % 3 == 0), None)
