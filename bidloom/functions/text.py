@@ -48,8 +48,8 @@ def strip(col: Column) -> Column:
 
 
 def squeeze(col: Column) -> Column:
-    """Collapse every whitespace run to one space and trim."""
-    return strip(F.regexp_replace(col, rx(r"\s+"), " "))
+    """Collapse every whitespace run to one space and trim. A run that is one space already is not matched."""
+    return strip(F.regexp_replace(col, rx(r"[^\S ]\s*+| \s++"), " "))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -58,8 +58,10 @@ def blank_to_null(col: Column) -> Column:
 
 
 def unmarked(text: Column) -> Column:
-    """Replace the two marker characters, should a text hold them, by another control character."""
-    return F.translate(text, MATCH + FIELD, "\u0003\u0003")
+    """Replace the two marker characters, should a text hold them, by another control character.
+
+    Translating goes character by character, looking for a marker does not."""
+    return let(text, lambda t: F.when(t.contains(MATCH) | t.contains(FIELD), F.translate(t, MATCH + FIELD, "\u0003\u0003")).otherwise(t))
 
 
 def first_match(text: Column, *patterns: tuple[str, int]) -> Column:
@@ -122,22 +124,46 @@ def running_fold(
     return F.flatten(F.aggregate(let(items, chunks), F.struct(start.alias("state"), lists.alias("out")), many, lambda acc: acc["out"]))
 
 
+def running_states(items: Column, start: Column, step: Callable[[Column, Column], Column], kind: str, chunk: int = 256) -> Column:
+    """Fold `items` from the left; the state after each of them, as an array: `step(state, item)` gives the next state, of type `kind`.
+
+    The last element of what is gathered is the state, so that a step makes no struct. Appending to an array copies it: elements are
+    gathered a chunk at a time and the chunks flattened at the end, so that no long array is copied for each of its elements.
+    """
+    last = F.lit(-1)
+
+    def chunks(whole: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(whole) - 1, F.lit(0)), F.lit(chunk))
+        return F.transform(starts, lambda at: F.slice(whole, at + 1, chunk))
+
+    def inside(part: Column, state: Column) -> Column:
+        first = F.array(state.cast(kind))
+        return F.aggregate(part, first, lambda acc, item: F.array_append(acc, step(F.element_at(acc, last), item).cast(kind)))
+
+    def many(acc: Column, part: Column) -> Column:
+        # each chunk begins with the state it was given
+        return F.array_append(acc, inside(part, F.element_at(F.element_at(acc, last), last)))
+
+    none = F.array(F.array(start.cast(kind)))
+    gathered = F.aggregate(let(items, chunks), none, many, lambda acc: F.slice(acc, 2, F.size(acc)))
+    return F.flatten(F.transform(gathered, lambda part: F.slice(part, 2, F.size(part))))
+
+
 def located_captures(text: Column, pattern: str, groups: Sequence[int]) -> Column:
     """All matches in order as struct(start, stop, fields); offsets count characters from 0."""
     marked = F.regexp_replace(
         text, pattern, MATCH + FIELD.join(["$0", *(f"${g}" for g in groups)]) + MATCH
     )
-    pieces = F.transform(F.split(marked, MATCH), lambda p: F.split(p, FIELD))
 
-    def step(at: Column, piece: Column) -> tuple[Column, Column]:
-        # a gap has one part, a match has the matched text and its groups
-        stop = at + F.length(piece[0])
-        hit = F.struct(
-            at.alias("start"), stop.alias("stop"), F.slice(piece, 2, len(groups)).alias("fields")
-        )
-        return stop, F.when(F.size(piece) > 1, hit)
+    def located(pieces: Column) -> Column:
+        # a gap has one part, a match has the matched text and its groups; they alternate
+        lengths = F.transform(pieces, lambda p: F.length(F.substring_index(p, FIELD, 1)))
+        odd = F.filter(pieces, lambda _, i: i % 2 == 1)
+        return let(running_states(lengths, F.lit(0), lambda at, n: at + n, "int"), lambda stops: F.transform(odd, lambda m, i: F.struct(
+            F.get(stops, i * 2).alias("start"), F.get(stops, i * 2 + 1).alias("stop"),
+            F.slice(F.split(m, FIELD), 2, len(groups)).alias("fields"))))
 
-    return running_fold(pieces, F.lit(0), step, "struct<start:int,stop:int,fields:array<string>>")
+    return let(F.split(marked, MATCH), located)
 
 
 def text_lines(text: Column) -> Column:

@@ -14,7 +14,7 @@ from .. import schemas as S
 from ..functions.parse import parse_int, parse_money, parse_number, parse_quantity, percent_in
 from ..functions.ranks import running_count
 from ..functions.text import (
-    blank_to_null, capture_line, captures, let, located_captures, running_fold, rx, squeeze, strip, text_lines, unmarked,
+    blank_to_null, capture_line, captures, let, located_captures, running_states, rx, squeeze, strip, text_lines, unmarked,
 )
 
 # ---- fixed values: line patterns ----------------------------------------------------------------------
@@ -95,7 +95,7 @@ def bidder_fields(kind: str, line: Column) -> Column:
     """Captured texts (name, place, amount, rank, percent, line); a single part if the line is no bid."""
     keep = (line != "") & ~is_header_line(kind, line)
     parts = capture_line(line, *LINE_PATTERNS[kind])
-    return F.when(keep, F.when(F.size(parts) > 1, F.array_append(parts, line)))
+    return F.when(keep, let(parts, lambda p: F.when(F.size(p) > 1, F.array_append(p, line))))
 
 
 def bidder_from_fields(kind: str, part: Column) -> Column:
@@ -163,7 +163,7 @@ def item_c_bidders(text: Column) -> Column:
     return F.filter(parsed, lambda b: b["total_bid_amount"].isNotNull() & b["percentage_diff"].isNotNull())
 
 
-_EVENT = "struct<at:int,side:int,ordinal:int,name:string,place:string,amount:decimal(18,2)>"
+_EVENT = "struct<at:int,side:int,ordinal:int,amount:decimal(18,2)>"
 
 
 def bid_tab_bidders(text: Column) -> Column:
@@ -172,47 +172,37 @@ def bid_tab_bidders(text: Column) -> Column:
     Bidders and totals are merged by position and folded once from the end, carrying the nearest
     total to the right.
     """
-    clean = unmarked(text)
-    bidders = F.transform(
-        located_captures(clean, BID_TAB_BIDDER, (1, 2)),
-        lambda m, i: F.struct(
-            m["stop"].alias("at"),
-            F.lit(1).alias("side"),
-            (i + 1).cast("int").alias("ordinal"),
-            strip(m["fields"][0]).alias("name"),
-            strip(m["fields"][1]).alias("place"),
-            F.lit(None).cast("decimal(18,2)").alias("amount"),
-        ).cast(_EVENT),
-    )
+    return let(unmarked(text), _bid_tab_bidders)
+
+
+def _bid_tab_bidders(clean: Column) -> Column:
     totals = F.filter(
         F.transform(
             located_captures(clean, rx(TOTAL), (1,)),
             lambda m: F.struct(
-                m["start"].alias("at"),
-                F.lit(0).alias("side"),
-                F.lit(0).alias("ordinal"),
-                F.lit(None).cast("string").alias("name"),
-                F.lit(None).cast("string").alias("place"),
-                parse_money(m["fields"][0]).alias("amount"),
+                m["start"].alias("at"), F.lit(0).alias("side"), F.lit(0).alias("ordinal"), parse_money(m["fields"][0]).alias("amount"),
             ).cast(_EVENT),
         ),
         lambda t: t["amount"].isNotNull(),
     )
-    # at equal positions the total sorts first, hence is met last from the right: it must start after
-    from_right = F.reverse(F.array_sort(F.concat(bidders, totals)))
 
-    def step(nearest: Column, event: Column) -> tuple[Column, Column]:
-        is_total = event["side"] == 0
-        filled = F.when(~is_total, event.withField("amount", nearest))
-        return F.when(is_total, event["amount"]).otherwise(nearest), filled
+    def matched(found: Column) -> Column:
+        bidders = F.transform(found, lambda m, i: F.struct(
+            m["stop"].alias("at"), F.lit(1).alias("side"), (i + 1).cast("int").alias("ordinal"),
+            F.lit(None).cast("decimal(18,2)").alias("amount")).cast(_EVENT))
+        # at equal positions the total sorts first, hence is met last from the right: it must start after
+        return let(F.sort_array(F.concat(bidders, totals), asc=False), lambda from_right: let(
+            running_states(
+                from_right, F.lit(None), lambda nearest, event: F.when(event["side"] == 0, event["amount"]).otherwise(nearest), "decimal(18,2)"),
+            # one amount for each event, of which the bidders' are kept and put back in order
+            lambda nearest: _priced(found, F.reverse(F.filter(nearest, lambda _, i: from_right[i]["side"] == 1)))))
 
-    matched = F.reverse(running_fold(from_right, F.lit(None).cast("decimal(18,2)"), step, _EVENT))
-    return with_section_ranks(
-        F.transform(
-            matched, lambda e: _bidder(e["name"], e["place"], e["amount"], e["ordinal"], F.lit(None))
-        ),
-        clean,
-    )
+    return with_section_ranks(let(located_captures(clean, BID_TAB_BIDDER, (1, 2)), matched), clean)
+
+
+def _priced(found: Column, amounts: Column) -> Column:
+    return let(amounts, lambda nearest: F.transform(found, lambda m, i: _bidder(
+        strip(m["fields"][0]), strip(m["fields"][1]), F.get(nearest, i), i + 1, F.lit(None))))
 
 
 def section_ranks(text: Column) -> Column:

@@ -241,6 +241,30 @@ def test_item_lines_equal_a_row_wise_reading(spark):
         assert got[i] == want, text
 
 
+def test_locations_are_those_of_python_over_several_chunks(spark):
+    from bidloom.functions import text as X
+
+    texts = ["x" * 7, "", "a1b22", *("".join(f"{'é' * (n % 3)}k{n} " for n in range(size)) for size in (127, 128, 129, 700)), None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select(
+        "i", X.located_captures(F.col("t"), r"([a-z])(\d+)", (1, 2)).alias("found")).collect()
+    for i, found in rows:
+        want = texts[i] and [(m.start(), m.end(), list(m.groups())) for m in re.finditer(r"([a-z])(\d+)", texts[i])]
+        assert (found and [(f.start, f.stop, f.fields) for f in found]) == (want or ([] if texts[i] == "" else want)), i
+    sums = spark.range(1).select(X.running_states(F.sequence(F.lit(1), F.lit(1000)), F.lit(0), lambda a, n: a + n, "bigint").alias("s")).first().s
+    assert sums == [n * (n + 1) // 2 for n in range(1, 1001)]
+
+
+def test_runs_of_whitespace_and_markers(spark):
+    from bidloom.functions import text as X
+
+    texts = ["a b", " a  b ", "a\tb", "a \t b\n", "a\u00a0b", "a \u00a0c", "\u0001a\u0002", "plain", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", X.squeeze("t").alias("s"), X.unmarked(F.col("t")).alias("u"))
+    for i, squeezed, clean in rows.collect():
+        t = texts[i]
+        assert squeezed == (t and re.sub(r"\s+", " ", t).strip()), i
+        assert clean == (t and t.replace("\u0001", "\u0003").replace("\u0002", "\u0003")), i
+
+
 def test_an_as_of_match_is_dealt_by_its_rows(spark, monkeypatch, capsys):
     from bidloom.operators import asof
 
