@@ -237,7 +237,9 @@ def learnt_blocks(documents: DataFrame, labels: DataFrame, learn: Column) -> Dat
         F.col("doc_id").isNotNull() & F.col("text").isNotNull() & learn)
     rows = texts.mapInArrow(shares, "doc_id long, h long, x array<double>").join(y, "doc_id")
     rows = rows.groupBy("doc_id", "y").agg(F.min(F.struct("h", "x")).alias("t"))
-    rows = materialise(rows.groupBy(F.col("t.h").alias("h"), "y").agg(F.min("t.x").alias("x")), "quality-labelled")
+    rows = rows.groupBy(F.col("t.h").alias("h"), "y").agg(F.min("t.x").alias("x"))
+    # as many files as there will be blocks or so, however many partitions the shuffle has: each file costs its task several processes
+    rows = materialise(rows.coalesce(math.ceil(max(1, y.count()) / BLOCK_ROWS)), "quality-labelled")
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if len(n) < 2:
         return None

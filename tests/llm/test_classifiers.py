@@ -218,3 +218,27 @@ def test_the_cut_is_found_in_bins(spark, monkeypatch):
         for share in (0.0, 0.3, 0.5, 1.0):
             got = quality.distributed_cut(df, {0: 0.0, 1: 1 / len(v)}, share)
             assert abs(got - quality.weighted_cut(v, np.full(len(v), 1 / len(v)), share)) < 1e-12, (share, len(v))
+
+
+def test_labelled_rows_are_written_in_as_many_files_as_they_fill(spark, monkeypatch):
+    """However many partitions the shuffle has: files cost processes."""
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("some text "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 2).alias("quality"))
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    written, write = {}, quality.materialise
+
+    def counted(df, purpose):
+        done = write(df, purpose)
+        written[purpose] = len(done.inputFiles())
+        return done
+
+    monkeypatch.setattr(quality, "materialise", counted)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        quality.learnt_blocks(docs, labels, F.lit(True))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert written["quality-labelled"] == 1
