@@ -85,8 +85,10 @@ def parse_int(value: Column) -> Column:
 
 
 def percent_in(line: Column) -> Column:
-    """First number directly followed by a percent sign."""
-    return F.regexp_extract(line, rx(r"([-+]?\d+(?:\.\d+)?)\s*%"), 1).try_cast("double")
+    """First number directly followed by a percent sign. Lines without the sign, which are most, are not searched, and no empty text
+    is cast: that costs an exception."""
+    found = F.regexp_extract(line, rx(r"([-+]?\d+(?:\.\d+)?)\s*%"), 1)
+    return F.when(line.contains("%"), blank_to_null(found).try_cast("double"))
 
 
 def percent_text(part: Column, whole: Column) -> Column:

@@ -48,8 +48,10 @@ def strip(col: Column) -> Column:
 
 
 def squeeze(col: Column) -> Column:
-    """Collapse every whitespace run to one space and trim. A run that is one space already is not matched."""
-    return strip(F.regexp_replace(col, rx(r"[^\S ]\s*+| \s++"), " "))
+    """Collapse every whitespace run to one space and trim. A run that is one space already is not matched.
+
+    Of what `strip` removes only the space and four separators, which are no white space to patterns, can be left."""
+    return F.btrim(F.regexp_replace(col, rx(r"[^\S ]\s*+| \s++"), " "), F.lit(" \u001c\u001d\u001e\u001f"))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.text import basename
+from ..functions.text import basename, let
 
 #: (label, groups): every group must have at least one of its words in the text.
 Rule = tuple[str, Sequence[Sequence[str]]]
@@ -35,17 +35,18 @@ CONTENT_RULES: list[Rule] = [
 
 
 def rule_classify(text: Column, rules: Sequence[Rule], default: str = S.UNKNOWN) -> Column:
-    """Label of the first rule that holds for the lower-cased text."""
-    low = F.lower(text)
-
-    def holds(groups: Sequence[Sequence[str]]) -> Column:
+    """Label of the first rule that holds for the text, which is lower-cased once for all words."""
+    def holds(low: Column, groups: Sequence[Sequence[str]]) -> Column:
         any_of = [reduce(Column.__or__, [low.contains(word) for word in group]) for group in groups]
         return reduce(Column.__and__, any_of)
 
-    case = reduce(
-        lambda acc, rule: acc.when(holds(rule[1]), F.lit(rule[0])), rules[1:], F.when(holds(rules[0][1]), F.lit(rules[0][0]))
-    )
-    return case.otherwise(F.lit(default))
+    def first(low: Column) -> Column:
+        case = reduce(
+            lambda acc, rule: acc.when(holds(low, rule[1]), F.lit(rule[0])), rules[1:],
+            F.when(holds(low, rules[0][1]), F.lit(rules[0][0])))
+        return case.otherwise(F.lit(default))
+
+    return let(F.lower(text), first)
 
 
 def classify_filename(path: Column) -> Column:
@@ -59,8 +60,8 @@ def classify_content(first_page: Column) -> Column:
 
 def document_type(path: Column, first_page: Column) -> Column:
     """File name decides; the page is looked at only when it does not."""
-    by_name = classify_filename(path)
-    return F.when(by_name != S.UNKNOWN, by_name).otherwise(classify_content(first_page))
+    return let(
+        classify_filename(path), lambda by_name: F.when(by_name != S.UNKNOWN, by_name).otherwise(classify_content(first_page)))
 
 
 def classify(docs: DataFrame) -> DataFrame:

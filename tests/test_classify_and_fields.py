@@ -1,10 +1,12 @@
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from bidloom import schemas as S
 from bidloom.functions import parse as P
+from bidloom.functions.text import rx, squeeze, strip
 from bidloom.operators import classify as C
 from bidloom.operators import fields as X
 
@@ -116,3 +118,27 @@ def test_counties_and_description(spark):
 def test_normalize_key(spark):
     assert one(spark, X.normalize_key, " da123 ") == "DA123"
     assert one(spark, X.normalize_key, "  ") is None
+
+
+def test_a_text_is_lower_cased_once_for_all_rules(spark):
+    docs = spark.createDataFrame([("a/Bid Tab.pdf", "x"), ("a/b.pdf", "ITEM C: % diff"), ("a/b.pdf", None), (None, "BIDS AS READ")],
+                                 "file_path string, first_page string")
+    typed = C.classify(docs)
+    assert [r.document_type for r in typed.collect()] == ["bid_tabs", "item_c_report", "unknown", "bids_as_read"]
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 2  # the file name and the first page
+
+
+def test_percent_in_a_line_without_one_casts_nothing(spark):
+    lines = ["A 1.5%", "A -2 % 3%", "A %", "1 A", "", None, "x1.2.3%"]
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, t string").select("i", P.percent_in(F.col("t")).alias("p"))
+    assert [r.p for r in sorted(df.collect())] == [1.5, -2.0, None, None, None, None, 2.3]
+
+
+def test_squeeze_leaves_nothing_that_strip_takes(spark):
+    rng = random.Random(9)
+    signs = "ab \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(9))) for _ in range(2000)]
+    df = spark.createDataFrame([(x,) for x in texts], "t string").select(
+        squeeze(F.col("t")).alias("a"), strip(F.regexp_replace("t", rx(r"\s+"), " ")).alias("b"))
+    assert df.where("NOT (a <=> b)").count() == 0
