@@ -6,14 +6,14 @@ import hashlib
 import math
 import pickle
 import zlib
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .blocks import fold, small
+from .blocks import fold, local_ids, small
 from .samples import labelled_sample
 
 #: Most labelled documents learnt from, by label.
@@ -49,21 +49,28 @@ class Examples:
     def __init__(self, sample: list[tuple[str, int]]):
         y = np.array([label for _, label in sample], np.int8)
         self.base = (y.sum() + 0.5) / (len(y) + 1)
-        df: Counter = Counter()
-        df1: Counter = Counter()
-        for text, label in sample:
-            terms = {t for w in set(words_of(text)) for t in terms_of_word(w)}
-            df.update(terms)
-            if label:
-                df1.update(terms)
-        order = sorted(df, key=lambda t: (-df[t], t))
-        self.terms = {t: i for i, t in enumerate(order)}
-        n, ones = np.array([df[t] for t in order], float), np.array([df1[t] for t in order], float)
-        del df, df1, order
-        self.idf = (np.log((1 + len(y)) / (1 + n)) + 1) * _certainty(n, ones, int(y.sum()), len(y))
+        numbers = local_ids()
         known: dict[str, tuple[int, ...]] = {}
-        counts = [self.counts_of(text, known) for text, _ in sample]
+        counts = [_counted(text, known, lambda word: tuple(numbers[t] for t in terms_of_word(word))) for text, _ in sample]
         del known
+        n, ones = (
+            sum((np.bincount(ids, minlength=len(numbers)) for (ids, _), label in zip(counts, y) if label in some), np.zeros(len(numbers)))
+            for some in ((0, 1), (1,)))
+        # terms are numbered by falling frequency
+        names = list(numbers)
+        del numbers
+        order = np.array(sorted(range(len(names)), key=lambda i: (-n[i], names[i])), np.int64)
+        self.terms = {names[i]: place for place, i in enumerate(order.tolist())}
+        del names
+        placed = np.empty(len(order), np.int32)
+        placed[order] = np.arange(len(order), dtype=np.int32)
+        n, ones = n[order], ones[order]
+        for i, (ids, times) in enumerate(counts):
+            ids = placed[ids]
+            by_id = np.argsort(ids)
+            counts[i] = ids[by_id], times[by_id]
+        del order, placed
+        self.idf = (np.log((1 + len(y)) / (1 + n)) + 1) * _certainty(n, ones, int(y.sum()), len(y))
         kept = [i for i, (ids, _) in enumerate(counts) if len(ids)]
         self.label = y[kept]
         # cosine 0 with all examples: the share of label 1 among all of them
@@ -74,17 +81,7 @@ class Examples:
 
     def counts_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a text and their counts; `known` keeps the terms of words from text to text."""
-        found, sizes = [], []
-        words = Counter(words_of(text))
-        for word in words:
-            ids = known.get(word)
-            if ids is None:
-                ids = known[word] = tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms)
-            found += ids
-            sizes.append(len(ids))
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(words)), sizes)
-        ids, place = np.unique(np.array(found, np.int32), return_inverse=True)
-        return ids, np.bincount(place, times, len(ids)).astype(np.int32)
+        return _counted(text, known, lambda word: tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms))
 
     def vector_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
         return self._unit(*self.counts_of(text, known))
@@ -98,7 +95,7 @@ class Examples:
         return ids, w / math.sqrt(w @ w) if len(w) else w
 
     def _raw(self, ids: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        return (1 + np.log(tf)) * self.idf[ids]
+        return (1 + np.log(tf, dtype=float)) * self.idf[ids]  # of small integers numpy takes logarithms in half precision
 
     def _build(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
         rows = np.repeat(np.arange(len(counts), dtype=np.uint16), [len(i) for i, _ in counts])
@@ -110,13 +107,16 @@ class Examples:
         self._lists(np.bincount(ids, minlength=len(self.terms)).astype(np.int32), rows[order], tf[order])
 
     def _lists(self, sizes: np.ndarray, rows: np.ndarray, tf: np.ndarray) -> None:
-        """Lists of rare terms with their weights; of the DENSE most frequent terms counts and weights by example, and block maxima."""
+        """Lists of rare terms, those of counts above 1 with their logarithms; of the DENSE most frequent terms counts and weights by
+        example, and block maxima."""
         self.sizes, self.rows, self.tf = sizes, rows, tf
         self.lists = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         dense, blocks = min(DENSE, len(sizes)), -(-len(self.norms) // BLOCK)
         often = self.lists[dense]
         ids = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        self.weights = self._raw(ids[often:], tf[often:]) / self.norms[rows[often:]]
+        several = np.flatnonzero(tf[often:] > 1) + often
+        self.more = np.searchsorted(several, self.lists[dense:])
+        self.more_rows, self.more_logs = rows[several], np.log(tf[several], dtype=float)
         self.counts = np.zeros((blocks * BLOCK, dense), tf.dtype)
         self.counts[rows[:often], ids[:often]] = tf[:often]
         self.often = np.zeros((blocks * BLOCK, dense), np.float32)
@@ -130,13 +130,19 @@ class Examples:
         return _unpacked, (hashlib.sha256(data).hexdigest(), data)
 
     def _rare_part(self, ids: np.ndarray, w: np.ndarray) -> np.ndarray:
-        """Sums over the lists of the rare terms of a vector, by block and place in the block."""
-        n, dense = np.searchsorted(ids, self.often.shape[1]), self.lists[self.often.shape[1]]
-        first = self.lists[ids[n:]]
-        sizes = self.lists[ids[n:] + 1] - first
-        places = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        sums = np.bincount(self.rows[places], np.repeat(w[n:], sizes) * self.weights[places - dense], len(self.often))
-        return sums.astype(float).reshape(-1, BLOCK)
+        """Sums over the lists of the rare terms of a vector, by block and place in the block.
+
+        A posting weighs 1 + log(count), mostly 1: the logarithms are added from the lists of counts above 1, the norms divide the sums."""
+        dense = self.often.shape[1]
+        n = np.searchsorted(ids, dense)
+        ids, w = ids[n:], w[n:] * self.idf[ids[n:]]
+        places, sizes = _places(self.lists[ids], self.lists[ids + 1])
+        sums = np.bincount(self.rows[places], np.repeat(w, sizes), len(self.often)).astype(float, copy=False)  # without places they are integers
+        places, sizes = _places(self.more[ids - dense], self.more[ids - dense + 1])
+        if len(places):
+            sums += np.bincount(self.more_rows[places], np.repeat(w, sizes) * self.more_logs[places], len(self.often))
+        sums[:len(self.norms)] /= self.norms
+        return sums.reshape(-1, BLOCK)
 
     def _exact(self, rows: np.ndarray, ids: np.ndarray, w: np.ndarray, rare: np.ndarray) -> np.ndarray:
         """Cosines with some examples in double precision, from counts."""
@@ -146,8 +152,9 @@ class Examples:
         return weights @ w[:n] / self.norms[rows] + rare.ravel()[rows]
 
     def search(self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int = NEIGHBOURS,
-               without: int | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each vector the exact top k by cosine among those above 0, ties (12 digits) to the smaller example.
+               without: Sequence[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each vector the exact top k by cosine among those above 0, ties (12 digits) to the smaller example, leaving out one
+        example each if `without` names them.
 
         The lists of rare terms are summed. For frequent terms the block maxima bound what a block of examples can add: the blocks of
         the largest bounds are opened first, their kth cosine closes all blocks and then all examples whose bound is below it. Where
@@ -166,17 +173,18 @@ class Examples:
             rare = self._rare_part(ids, w)
             rare.ravel()[len(self.norms):] = -2
             if without is not None:
-                rare.ravel()[without] = -2
+                rare.ravel()[without[row]] = -2
             limit = rare.max(1) + limits[row]
             n = min(len(limit), 2 * k // BLOCK + 2)
             best = np.argpartition(limit, -n)[-n:]
             least = _kth((rare[best] + (self.often.reshape(-1, BLOCK, q.shape[1])[best] @ q[row])).ravel(), k) - SLACK
             blocks = np.flatnonzero(limit >= least)
-            inside, place = np.nonzero(rare[blocks] + limits[row, blocks][:, None] >= least)
-            rows = blocks[inside] * BLOCK + place
-            if len(rows) * MOST_OPEN > len(self.norms):
+            still = rare[blocks] + limits[row, blocks][:, None] >= least
+            if np.count_nonzero(still) * MOST_OPEN > len(self.norms):
                 open_ones.append((row, rare))
             else:
+                inside, place = np.nonzero(still)
+                rows = blocks[inside] * BLOCK + place
                 out[row] = self._finish(rows, rare.ravel()[rows] + self.often[rows] @ q[row], ids, w, rare, k)
         if open_ones:
             sums = q[[row for row, _ in open_ones]] @ self.often.T
@@ -193,8 +201,8 @@ class Examples:
         first = np.lexsort((rows, -np.round(cosines, 12)))[:k]
         return rows[first], cosines[first]
 
-    def nearest(self, ids: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS, without: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        return self.search([(ids, w)], k, without)[0]
+    def nearest(self, ids: np.ndarray, w: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
+        return self.search([(ids, w)], k)[0]
 
     def vote(self, rows: np.ndarray, cosines: np.ndarray) -> float:
         """Log odds of the votes, each weighing as its squared cosine, so that far neighbours hardly count against the share of label 1."""
@@ -206,7 +214,8 @@ class Examples:
     def _calibrate(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[float, float]:
         """Logistic regression of the label on the vote of an example's neighbours other than itself, with smoothed targets."""
         some = range(0, len(counts), max(1, len(counts) // 1500))
-        x = np.array([self.vote(*self.nearest(*self._unit(*counts[i]), without=i)) for i in some])
+        parts = [some[at:at + TOGETHER] for at in range(0, len(some), TOGETHER)]
+        x = np.array([self.vote(*found) for part in parts for found in self.search([self._unit(*counts[i]) for i in part], without=part)])
         y = np.array([float(self.label[i]) for i in some])
         if not len(y) or y.min() == y.max():
             return 1.0, 0.0
@@ -228,6 +237,26 @@ class Examples:
              rows, cosines) for rows, cosines in found]
 
 
+def _places(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the ranges from `first` to before `last`, one range after the other, and the sizes of the ranges."""
+    sizes = last - first
+    places = np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+    places += np.arange(len(places))
+    return places, sizes
+
+
+def _counted(text: str, known: dict[str, tuple[int, ...]], ids_of) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct term ids of a text and their counts; `ids_of` gives those of a word that is not in `known` yet."""
+    words = words_of(text)
+    try:
+        found = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
+    except KeyError:
+        known.update((word, ids_of(word)) for word in set(words).difference(known))
+        found = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
+    ids, times = np.unique(found, return_counts=True)
+    return ids, times.astype(np.int32)
+
+
 def _kth(values: np.ndarray, k: int) -> float:
     return float(np.partition(values, -k)[-k]) if len(values) >= k else -1.0
 
