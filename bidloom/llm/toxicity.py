@@ -95,7 +95,7 @@ class Examples:
         return ids, w / math.sqrt(w @ w) if len(w) else w
 
     def _raw(self, ids: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        return (1 + np.log(tf, dtype=float)) * self.idf[ids]  # of small integers numpy takes logarithms in half precision
+        return (1 + np.log(tf)) * self.idf[ids]
 
     def _build(self, counts: list[tuple[np.ndarray, np.ndarray]]) -> None:
         rows = np.repeat(np.arange(len(counts), dtype=np.uint16), [len(i) for i, _ in counts])
@@ -116,7 +116,8 @@ class Examples:
         ids = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
         several = np.flatnonzero(tf[often:] > 1) + often
         self.more = np.searchsorted(several, self.lists[dense:])
-        self.more_rows, self.more_logs = rows[several], np.log(tf[several], dtype=float)
+        # rounded as in `_raw`: of small integers numpy takes logarithms in half precision
+        self.more_rows, self.more_logs = rows[several], (1 + np.log(tf[several])).astype(float) - 1
         self.counts = np.zeros((blocks * BLOCK, dense), tf.dtype)
         self.counts[rows[:often], ids[:often]] = tf[:often]
         self.often = np.zeros((blocks * BLOCK, dense), np.float32)
