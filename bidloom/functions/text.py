@@ -55,8 +55,9 @@ def squeeze(col: Column) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    # not nullif on the column itself: inside CASE or coalesce it evaluates its argument, often a regex, twice
-    return F.call_function("transform", F.array(col), F.expr("v -> nullif(v, '')"))[0]
+    # not nullif on the column itself: inside CASE or coalesce it evaluates its argument, often a regex, twice; nor a lambda, which is
+    # interpreted
+    return F.get(F.array_remove(F.array(col), F.lit("")), F.lit(0))
 
 
 def unmarked(text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bidloom import schemas as S
 from bidloom.functions import parse as P
-from bidloom.functions.text import rx, squeeze, strip
+from bidloom.functions.text import blank_to_null, rx, squeeze, strip
 from bidloom.operators import classify as C
 from bidloom.operators import fields as X
 
@@ -142,3 +142,10 @@ def test_squeeze_leaves_nothing_that_strip_takes(spark):
     df = spark.createDataFrame([(x,) for x in texts], "t string").select(
         squeeze(F.col("t")).alias("a"), strip(F.regexp_replace("t", rx(r"\s+"), " ")).alias("b"))
     assert df.where("NOT (a <=> b)").count() == 0
+
+
+def test_blank_to_null_calls_no_lambda(spark):
+    rows = spark.createDataFrame([("",), (None,), (" ",), ("a",)], "t string")
+    made = rows.select(blank_to_null(F.col("t")).alias("t"))
+    assert [r.t for r in made.collect()] == [None, None, " ", "a"]
+    assert "lambda" not in made._jdf.queryExecution().optimizedPlan().toString()
