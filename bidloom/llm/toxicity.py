@@ -6,8 +6,8 @@ import hashlib
 import math
 import pickle
 import zlib
+from array import array
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ SAMPLE = {1: 2500, 0: 10000}
 NEIGHBOURS, DENSE, BLOCK, TOGETHER = 15, 1024, 8, 64
 #: More than rounding in single precision can do to a cosine; a text of which more than one in MOST_OPEN examples stays open meets them all.
 SLACK, MOST_OPEN = 1e-5, 32
+#: Texts of a search that are bounded whether bounds help or not.
+TRIED = 8
 #: A term weighs LEAST_WEIGHT to 1 + LEAST_WEIGHT times its TF-IDF, half way where chance explains one such term among all in 1 / CHANCE samples.
 LEAST_WEIGHT, CHANCE = 0.02, 0.05
 _EDGES = ".,;:!?\"'()[]{}<>*%&$#|~^_-+=/\\`…«»„“”‚‘’"
@@ -50,7 +52,7 @@ class Examples:
         y = np.array([label for _, label in sample], np.int8)
         self.base = (y.sum() + 0.5) / (len(y) + 1)
         numbers = local_ids()
-        known: dict[str, tuple[int, ...]] = {}
+        known: dict[str, bytes] = {}
         counts = [_counted(text, known, lambda word: tuple(numbers[t] for t in terms_of_word(word))) for text, _ in sample]
         del known
         n, ones = (
@@ -79,11 +81,11 @@ class Examples:
         self._build(counts)
         self.slope, self.shift = self._calibrate(counts)
 
-    def counts_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    def counts_of(self, text: str, known: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Terms of a text and their counts; `known` keeps the terms of words from text to text."""
         return _counted(text, known, lambda word: tuple(self.terms[t] for t in terms_of_word(word) if t in self.terms))
 
-    def vector_of(self, text: str, known: dict[str, tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray]:
+    def vector_of(self, text: str, known: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray]:
         return self._unit(*self.counts_of(text, known))
 
     def vector(self, tf: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -110,6 +112,7 @@ class Examples:
         """Lists of rare terms, those of counts above 1 with their logarithms; of the DENSE most frequent terms counts and weights by
         example, and block maxima."""
         self.sizes, self.rows, self.tf = sizes, rows, tf
+        self.room = np.empty(0, np.int64)
         self.lists = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
         dense, blocks = min(DENSE, len(sizes)), -(-len(self.norms) // BLOCK)
         often = self.lists[dense]
@@ -137,14 +140,33 @@ class Examples:
         dense = self.often.shape[1]
         n = np.searchsorted(ids, dense)
         ids, w = ids[n:], w[n:] * self.idf[ids[n:]]
-        places, sizes = _places(self.lists[ids], self.lists[ids + 1])
-        sums = np.bincount(self.rows[places], np.repeat(w, sizes), len(self.often)).astype(float, copy=False)  # without places they are integers
-        places, sizes = _places(self.more[ids - dense], self.more[ids - dense + 1])
-        if len(places):
-            sums += np.bincount(self.more_rows[places], np.repeat(w, sizes) * self.more_logs[places], len(self.often))
+        sums = np.zeros(len(self.often))
+        if len(ids):
+            places, sizes = self._places(self.lists[ids], self.lists[ids + 1])
+            sums = np.bincount(self.rows.take(places, mode="clip"), np.repeat(w, sizes), len(self.often))
+        first, last = self.more[ids - dense], self.more[ids - dense + 1]
+        some = first < last
+        if some.any():
+            places, sizes = self._places(first[some], last[some])
+            sums += np.bincount(self.more_rows[places], np.repeat(w[some], sizes) * self.more_logs[places], len(self.often))
         sums[:len(self.norms)] /= self.norms
         return sums.reshape(-1, BLOCK)
 
+    def _places(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the ranges from `first` to before `last`, none of them empty, one range after the other, and the sizes of the ranges.
+
+        They are sums of steps: 1 inside a range, from the end of one to the start of the next between two. Memory is kept from text to
+        text, as fresh memory costs more than the sums; the numbers hold until the next call."""
+        sizes = last - first
+        ends = np.cumsum(sizes)
+        if ends[-1] > len(self.room):
+            self.room = np.empty(int(ends[-1]) * 5 // 4, np.int64)
+        places = self.room[:ends[-1]]
+        places.fill(1)
+        places[0] = first[0]
+        places[ends[:-1]] = first[1:] - last[:-1] + 1
+        return np.cumsum(places, out=places), sizes
+
     def _exact(self, rows: np.ndarray, ids: np.ndarray, w: np.ndarray, rare: np.ndarray) -> np.ndarray:
         """Cosines with some examples in double precision, from counts."""
         n = np.searchsorted(ids, self.often.shape[1])
@@ -159,7 +181,8 @@ class Examples:
 
         The lists of rare terms are summed. For frequent terms the block maxima bound what a block of examples can add: the blocks of
         the largest bounds are opened first, their kth cosine closes all blocks and then all examples whose bound is below it. Where
-        too many stay open, all examples are computed, several vectors in one product. Single precision decides only beyond SLACK; what
+        too many stay open, all examples are computed, several vectors in one product; bounds are left out once they did not help more
+        than three in four of the vectors before, and TRIED at least. Single precision decides only beyond SLACK; what
         is left is computed in double precision."""
         if not len(self.norms):
             return [(np.empty(0, np.int64), np.empty(0))] * len(vectors)
@@ -175,6 +198,9 @@ class Examples:
             rare.ravel()[len(self.norms):] = -2
             if without is not None:
                 rare.ravel()[without[row]] = -2
+            if row >= TRIED and len(open_ones) * 4 > row * 3:
+                open_ones.append((row, rare))
+                continue
             limit = rare.max(1) + limits[row]
             n = min(len(limit), 2 * k // BLOCK + 2)
             best = np.argpartition(limit, -n)[-n:]
@@ -189,9 +215,9 @@ class Examples:
                 out[row] = self._finish(rows, rare.ravel()[rows] + self.often[rows] @ q[row], ids, w, rare, k)
         if open_ones:
             sums = q[[row for row, _ in open_ones]] @ self.often.T
-            every = np.arange(len(self.norms))
+            every, n = np.arange(len(self.norms)), len(self.norms)
             for (row, rare), dense in zip(open_ones, sums):
-                out[row] = self._finish(every, rare.ravel()[every] + dense[every], *vectors[row], rare, k)
+                out[row] = self._finish(every, rare.ravel()[:n] + dense[:n], *vectors[row], rare, k)
         return out
 
     def _finish(self, rows: np.ndarray, near: np.ndarray, ids: np.ndarray, w: np.ndarray, rare: np.ndarray, k: int):
@@ -238,23 +264,16 @@ class Examples:
              rows, cosines) for rows, cosines in found]
 
 
-def _places(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the ranges from `first` to before `last`, one range after the other, and the sizes of the ranges."""
-    sizes = last - first
-    places = np.repeat(first - np.cumsum(sizes) + sizes, sizes)
-    places += np.arange(len(places))
-    return places, sizes
-
-
-def _counted(text: str, known: dict[str, tuple[int, ...]], ids_of) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct term ids of a text and their counts; `ids_of` gives those of a word that is not in `known` yet."""
+def _counted(text: str, known: dict[str, bytes], ids_of) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct term ids of a text and their counts; `ids_of` gives those of a word that is not in `known` yet, which keeps them as
+    the bytes of an array, so that those of a text are joined without a number each."""
     words = words_of(text)
     try:
-        found = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
+        found = b"".join(map(known.__getitem__, words))
     except KeyError:
-        known.update((word, ids_of(word)) for word in set(words).difference(known))
-        found = np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int32)
-    ids, times = np.unique(found, return_counts=True)
+        known.update((word, array("i", ids_of(word)).tobytes()) for word in set(words).difference(known))
+        found = b"".join(map(known.__getitem__, words))
+    ids, times = np.unique(np.frombuffer(found, np.int32), return_counts=True)
     return ids, times.astype(np.int32)
 
 
@@ -291,7 +310,7 @@ def _certainty(n: np.ndarray, ones: np.ndarray, all_ones: int, everything: int)
 
 def _scorer(examples: Examples, held_fold: int, cut: float):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[int, ...]] = {}
+        known: dict[str, bytes] = {}
         for batch in small(batches):
             scores, evidence = [], []
             vectors = [examples.vector_of(text or "", known) for text in batch.column("text").to_pylist()]

@@ -89,6 +89,29 @@ def test_block_maxima_lose_no_neighbour():
             assert abs(score - (1 / (1 + np.exp(-odds)) if len(want) else examples.silent)) < 1e-9
 
 
+def test_bounds_are_left_out_where_they_close_nothing(monkeypatch):
+    rng = random.Random(5)
+    words = [f"word{i}" for i in range(60)]
+    text = lambda: " ".join(rng.choices(words, k=40))
+    examples = toxicity.Examples([(text(), i % 2) for i in range(400)])
+    vectors = [examples.vector_of(text(), {}) for _ in range(40)]
+    alone = [examples.nearest(*v) for v in vectors]
+    calls, kth = [], toxicity._kth
+    monkeypatch.setattr(toxicity, "_kth", lambda values, k: calls.append(len(values)) or kth(values, k))
+    together = examples.search(vectors)
+    assert len(calls) == len(vectors) + toxicity.TRIED  # one for the end of each search, one for each text that is bounded
+    for (rows, cosines), (others, same) in zip(together, alone):
+        assert rows.tolist() == others.tolist() and np.allclose(cosines, same, rtol=0, atol=1e-12)
+
+
+def test_places_of_ranges():
+    examples = toxicity.Examples([("one two", 0), ("two three", 1)])
+    for first, last in (([3], [4]), ([5, 0, 2], [9, 1, 4]), ([0, 1, 2], [1, 2, 30])):
+        places, sizes = examples._places(np.array(first), np.array(last))
+        assert places.tolist() == [x for a, b in zip(first, last) for x in range(a, b)]
+        assert sizes.tolist() == [b - a for a, b in zip(first, last)]
+
+
 def test_examples_left_out_one_each():
     sample = [(f"word{i % 7} other{i % 5} more{i % 3}", i % 2) for i in range(60)]
     examples = toxicity.Examples(sample)
